@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # Plan modules in catalogue order.
-_MODULES = ("integrity", "manifest")
+_MODULES = ("integrity", "manifest", "publish")
 
 
 def _load():
