@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # Plan modules in catalogue order.
-_MODULES = ("integrity", "manifest", "publish", "ingest", "olap")
+_MODULES = ("integrity", "manifest", "publish", "ingest", "olap", "model", "incremental")
 
 
 def _load():

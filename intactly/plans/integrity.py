@@ -9,9 +9,23 @@ from pyspark.sql import types as T
 from intactly.functions import fingerprint as fp
 from intactly.operators import integrity, profile
 from intactly.sources import files as file_sources
+from intactly.session import scratch_path
 from intactly.sources.tables import month_of, read_table
 
 
+def q00_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Projection with a concatenated label and a typed null, written and read back."""
+    li = read_table(spark, sf_dir, "lineitem")
+    proj = li.selectExpr("l_orderkey AS id", "concat('value-', l_orderkey) AS label",
+                         "CAST(NULL AS DOUBLE) AS missing")
+    path = scratch_path(spark, "q00-roundtrip")
+    proj.write.mode("errorifexists").parquet(path)
+    back = spark.read.parquet(path)
+    return back.agg(F.count(F.lit(1)).alias("rows"), F.sum("id").alias("id_sum"),
+                    F.count("missing").alias("missing_values"),
+                    F.count_distinct("label").alias("labels"))
+
+
 def q01_decode_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and all-column fingerprint of lineitem per ship month.
 
@@ -71,6 +85,7 @@ def q08_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "q00_smoke": q00_smoke,
     "q01_decode_rowcount": q01_decode_rowcount,
     "q02_fingerprint": q02_fingerprint,
     "q03_inventory": q03_inventory,
@@ -113,6 +128,11 @@ DOCUMENT_COLS = [("doc_id", "int"), ("text", "str"), ("lang", "str"), ("source",
                  ("n_chars", "int")]
 
 SQL = {
+    "q00_smoke": """
+        SELECT count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS id_sum,
+               count(CAST(NULL AS DOUBLE)) AS missing_values,
+               count(DISTINCT 'value-' || l_orderkey) AS labels
+        FROM lineitem""",
     "q01_decode_rowcount": f"""
         SELECT strftime(l_shipdate, '%Y-%m') AS month, count(*) AS rows,
                CAST(sum({digest_sql(canon_row_sql(LINEITEM_COLS))}) AS DECIMAL(38,0)) AS fingerprint
