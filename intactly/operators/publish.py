@@ -15,6 +15,8 @@ independent read. A receipt is written only when every item is accepted.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -65,31 +67,38 @@ def _read_target(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def publish_rows(spark: SparkSession, manifest: DataFrame, target_path: str) -> DataFrame:
-    """Create-only publish of manifest rows into a Parquet object table (B1, B2).
+TARGET_SCHEMA = "key string, payload string, run_id string, written_at timestamp"
 
-    Only keys absent from the target are appended; existing keys are never
-    rewritten. The returned outcomes come from re-reading the target after
-    the write. Duplicated keys inside one manifest are first-writer-wins by
-    (key, sha256) so a single run never writes two versions of a key.
+
+def publish_rows(spark: SparkSession, manifest: DataFrame, target_path: str) -> DataFrame:
+    """Create-only publish of manifest rows into a Parquet object table.
+
+    Only keys absent from the target are appended, each row tagged with this
+    run's id and write time; existing keys are never rewritten, and a run
+    with nothing to create writes nothing. Outcomes come from re-reading the
+    target: per key the first writer (earliest write, then run id) is the
+    stored object, so a concurrent run that appended the same key sees it as
+    reused or as a conflict, never as its own upload.
     """
-    schema = "key string, payload string, bytes bigint, sha256 string"
-    before = _read_target(spark, target_path, schema)
+    run_id = uuid.uuid4().hex
+    before = _read_target(spark, target_path, TARGET_SCHEMA)
     creates = (manifest.join(before.select("key"), "key", "left_anti")
-               .groupBy("key").agg(F.min_by(F.struct("payload", "bytes", "sha256"), F.col("sha256"))
-                                   .alias("o"))
-               .select("key", "o.payload", "o.bytes", "o.sha256"))
-    creates.write.mode("append").parquet(target_path)
-    after = spark.read.parquet(target_path)
-    readback = after.select("key", F.octet_length("payload").cast("bigint").alias("bytes"),
-                            F.sha2("payload", 256).alias("sha256"))
-    created = creates.select("key", F.lit(True).alias("_created"))
-    result = outcomes(manifest.drop("payload"), readback).join(created, "key", "left")
-    # A key that was absent before this run and now matches was uploaded by it.
+               .groupBy("key").agg(F.min_by(F.col("payload"), F.col("sha256")).alias("payload"))
+               .withColumn("run_id", F.lit(run_id))
+               .withColumn("written_at", F.current_timestamp()))
+    if not creates.isEmpty():
+        creates.write.mode("append").parquet(target_path)
+    stored = _read_target(spark, target_path, TARGET_SCHEMA)
+    first = (stored.groupBy("key")
+             .agg(F.min_by(F.struct("payload", "run_id"), F.struct("written_at", "run_id")).alias("w"))
+             .select("key", F.octet_length("w.payload").cast("bigint").alias("bytes"),
+                     F.sha2(F.col("w.payload"), 256).alias("sha256"), F.col("w.run_id").alias("_run")))
+    result = outcomes(manifest.drop("payload"), first.drop("_run")).join(
+        first.select("key", "_run"), "key", "left")
     return result.withColumn(
         "outcome",
-        F.when((F.col("outcome") == "reused") & F.col("_created").isNotNull(), F.lit("uploaded"))
-        .otherwise(F.col("outcome"))).drop("_created")
+        F.when((F.col("outcome") == "reused") & (F.col("_run") == run_id), F.lit("uploaded"))
+        .otherwise(F.col("outcome"))).drop("_run")
 
 
 def receipt_entries(objects: DataFrame, verification: Column | None = None) -> DataFrame:
