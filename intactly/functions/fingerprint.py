@@ -5,9 +5,14 @@ Summing (rather than XOR-ing) keeps it duplicate-sensitive, and because
 it is an ordinary aggregate Spark computes it with a partial (map-side)
 aggregate, so a hot group never has to be gathered in one task.
 
-The canonical text of a row only uses renderings every engine agrees on:
-integers, decimals of fixed scale, formatted timestamps, and strings.
-Doubles are never rendered raw; they go through ``decimal(38, scale)``.
+The canonical text of a row only uses renderings every engine agrees on and
+that are cheap to produce: integers, strings, timestamps as epoch
+microseconds, and doubles as whole micro-units (``trunc(x · 10^6)``), never
+their raw text.
+
+The exact sum is kept in three 16-bit ``bigint`` partial sums (no overflow
+below 1.4·10^14 rows per group), combined into a ``decimal(38,0)`` once per
+group, so the per-row work stays in fast long arithmetic.
 """
 
 from __future__ import annotations
@@ -19,18 +24,22 @@ from pyspark.sql import types as T
 # Canonical rendering.
 SEPARATOR = "\u001f"
 NULL_MARK = "\\N"
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DATE_FORMAT = "yyyy-MM-dd"
 DOUBLE_SCALE = 6
 PREFIX_HEX_DIGITS = 12
+PIECE_BITS = 16
 
 
 def canonical(col: Column, dtype: T.DataType, double_scale: int = DOUBLE_SCALE) -> Column:
     """Renders one value as text that is stable across engines."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        text = col.cast(T.DecimalType(38, double_scale)).cast("string")
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        text = F.date_format(col, TIMESTAMP_FORMAT)
+        text = (col.cast("double") * F.lit(float(10 ** double_scale))).cast("bigint").cast("string")
+    elif isinstance(dtype, T.TimestampNTZType):
+        # wall-clock micros since the epoch, independent of the session time zone
+        text = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
+                                col).cast("string")
+    elif isinstance(dtype, T.TimestampType):
+        text = F.unix_micros(col).cast("string")
     elif isinstance(dtype, T.DateType):
         text = F.date_format(col, DATE_FORMAT)
     elif isinstance(dtype, T.BinaryType):
@@ -50,14 +59,31 @@ def canonical_row(df: DataFrame, columns: list[str] | None = None,
     return F.concat_ws(SEPARATOR, *[canonical(F.col(n), fields[n], double_scale) for n in names])
 
 
+def digest48(text: Column) -> Column:
+    """First 48 bits of SHA-256 of ``text`` as a non-negative bigint."""
+    return F.conv(F.substring(F.sha2(text, 256), 1, PREFIX_HEX_DIGITS), 16, 10).cast("bigint")
+
+
 def digest_prefix(text: Column) -> Column:
-    """First 48 bits of SHA-256 of ``text`` as an exact decimal(38,0)."""
-    prefix = F.substring(F.sha2(text, 256), 1, PREFIX_HEX_DIGITS)
-    return F.conv(prefix, 16, 10).cast(T.DecimalType(38, 0))
+    """``digest48`` as an exact decimal(38,0) (for row-level output)."""
+    return digest48(text).cast(T.DecimalType(38, 0))
+
+
+def sum48(digest: Column) -> Column:
+    """Exact Σ of 48-bit values as decimal(38,0), aggregated as three long partial sums."""
+    mask = (1 << PIECE_BITS) - 1
+    hi = F.shiftright(digest, 2 * PIECE_BITS)
+    mid = F.shiftright(digest, PIECE_BITS).bitwiseAND(F.lit(mask))
+    lo = digest.bitwiseAND(F.lit(mask))
+    dec = T.DecimalType(38, 0)
+    total = (F.coalesce(F.sum(hi), F.lit(0)).cast(dec) * F.lit(1 << (2 * PIECE_BITS)).cast(dec)
+             + F.coalesce(F.sum(mid), F.lit(0)).cast(dec) * F.lit(1 << PIECE_BITS).cast(dec)
+             + F.coalesce(F.sum(lo), F.lit(0)).cast(dec))
+    return total.cast(dec)
 
 
 def row_digest(df: DataFrame, columns: list[str] | None = None) -> Column:
-    return digest_prefix(canonical_row(df, columns))
+    return digest48(canonical_row(df, columns))
 
 
 def fingerprint_aggs(df: DataFrame, columns: list[str] | None = None,
@@ -65,8 +91,7 @@ def fingerprint_aggs(df: DataFrame, columns: list[str] | None = None,
     """Aggregates ``rows`` and ``fingerprint`` for use inside ``agg``."""
     return [
         F.count(F.lit(1)).alias(f"{prefix}rows"),
-        F.coalesce(F.sum(row_digest(df, columns)), F.lit(0).cast(T.DecimalType(38, 0)))
-        .cast(T.DecimalType(38, 0)).alias(f"{prefix}fingerprint"),
+        sum48(row_digest(df, columns)).alias(f"{prefix}fingerprint"),
     ]
 
 

@@ -17,52 +17,55 @@ from intactly.functions.rules import Rule
 FORMAT_VERSION = 1
 TEXT_FIELDS = ("month", "filename", "sourceUrl", "finalUrl")
 
-
-def _field(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, F.lit(path), "variant")
-
-
-def json_type(v: Column, path: str) -> Column:
-    """JSON type of a field: BIGINT for integral numbers that fit a long, STRING, OBJECT<..>, …"""
-    return F.schema_of_variant(_field(v, path))
-
-
-def _integral(v: Column, path: str) -> Column:
-    return json_type(v, path) == "BIGINT"
-
-
-def _long(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, F.lit(path), "bigint")
-
-
-def _text(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, F.lit(path), "string")
-
-
-def _nonempty_text(v: Column, path: str) -> Column:
-    return (json_type(v, path) == "STRING") & (F.length(_text(v, path)) > 0)
-
-
-def sidecar_rules(json_text: Column) -> list[Rule]:
-    """Field rules of a version-1 sidecar, in the order they are checked."""
-    v = F.try_parse_json(json_text)
-    text_ok = None
-    for name in TEXT_FIELDS:
-        ok = _nonempty_text(v, f"$.{name}")
-        text_ok = ok if text_ok is None else text_ok & ok
+# Fields checked as integral numbers, as non-empty text, as objects.
+INTEGRAL_FIELDS = {"version": "$.formatVersion", "bytes": "$.bytes", "rows": "$.verification.rowCount"}
+STRING_FIELDS = {"month": "$.month", "filename": "$.filename", "source_url": "$.sourceUrl",
+                 "final_url": "$.finalUrl", "sha256": "$.sha256", "retrieved_at": "$.retrievedAt",
+                 "verified_at": "$.verification.verifiedAt"}
+OBJECT_FIELDS = {"root": "$", "spark_schema": "$.verification.sparkSchema"}
+
+
+def sidecar_fields(df: DataFrame, json_col: str) -> DataFrame:
+    """Parses each sidecar once and extracts every checked field once.
+
+    Adds ``t_<f>`` (JSON type of the field: BIGINT for integral numbers that fit
+    a long, STRING, OBJECT<..>, …), ``n_<f>`` for integral fields and ``s_<f>``
+    for text fields. The parse is its own projection, so it is not repeated
+    per rule.
+    """
+    parsed = df.withColumn("_v", F.try_parse_json(F.col(json_col)))
+    v = F.col("_v")
+    fields = []
+    for name, path in {**INTEGRAL_FIELDS, **STRING_FIELDS, **OBJECT_FIELDS}.items():
+        fields.append(F.schema_of_variant(F.try_variant_get(v, F.lit(path), "variant")).alias(f"t_{name}"))
+    for name, path in INTEGRAL_FIELDS.items():
+        fields.append(F.try_variant_get(v, F.lit(path), "bigint").alias(f"n_{name}"))
+    for name, path in STRING_FIELDS.items():
+        fields.append(F.try_variant_get(v, F.lit(path), "string").alias(f"s_{name}"))
+    return parsed.select(*[c for c in df.columns], *fields)
+
+
+def field_rules() -> list[Rule]:
+    """Field rules of a version-1 sidecar over ``sidecar_fields`` output, in check order."""
+    c = F.col
+
+    def integral(name: str) -> Column:
+        return c(f"t_{name}") == "BIGINT"
+
+    def text(name: str) -> Column:
+        return (c(f"t_{name}") == "STRING") & (F.length(c(f"s_{name}")) > 0)
+
+    text_ok = text("month") & text("filename") & text("source_url") & text("final_url")
     return [
-        Rule("json_object", json_type(v, "$").startswith("OBJECT")),
-        Rule("format_version", _integral(v, "$.formatVersion")
-             & (_long(v, "$.formatVersion") == FORMAT_VERSION)),
+        Rule("json_object", c("t_root").startswith("OBJECT")),
+        Rule("format_version", integral("version") & (c("n_version") == FORMAT_VERSION)),
         Rule("text_fields", text_ok),
-        Rule("bytes_positive", _integral(v, "$.bytes") & (_long(v, "$.bytes") > 0)),
-        Rule("sha256_hex", (json_type(v, "$.sha256") == "STRING")
-             & rules.sha256_ok(_text(v, "$.sha256"))),
-        Rule("timestamps", rules.iso_instant_ok(_text(v, "$.retrievedAt"))
-             & rules.iso_instant_ok(_text(v, "$.verification.verifiedAt"))),
-        Rule("row_count", _integral(v, "$.verification.rowCount")
-             & (_long(v, "$.verification.rowCount") >= 0)),
-        Rule("spark_schema_object", json_type(v, "$.verification.sparkSchema").startswith("OBJECT")),
+        Rule("bytes_positive", integral("bytes") & (c("n_bytes") > 0)),
+        Rule("sha256_hex", (c("t_sha256") == "STRING") & rules.sha256_ok(c("s_sha256"))),
+        Rule("timestamps", rules.iso_instant_ok(c("s_retrieved_at"))
+             & rules.iso_instant_ok(c("s_verified_at"))),
+        Rule("row_count", integral("rows") & (c("n_rows") >= 0)),
+        Rule("spark_schema_object", c("t_spark_schema").startswith("OBJECT")),
     ]
 
 
@@ -70,7 +73,7 @@ def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     """One row per sidecar file (whole file as text), with failing rules (A5)."""
     raw = (spark.read.option("wholetext", "true").text(path)
            .withColumn("path", F.input_file_name()))
-    return raw.withColumn("reasons", rules.reasons(sidecar_rules(F.col("value"))))
+    return sidecar_fields(raw, "value").withColumn("reasons", rules.reasons(field_rules()))
 
 
 def read_descriptor(spark: SparkSession, path: str, expected_files: list[str]) -> DataFrame:

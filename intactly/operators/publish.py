@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from intactly.functions import fingerprint as fp
+
 # Outcomes and receipt format.
 ACCEPTED = ("uploaded", "reused")
 CONFLICTS = ("conflict_size", "conflict_digest")
@@ -115,9 +117,8 @@ def receipt_entries(objects: DataFrame, verification: Column | None = None) -> D
 
 def receipt_header(entries: DataFrame, group: list[str]) -> DataFrame:
     """Per receipt: objects, bytes, and an order-insensitive digest of the entries."""
-    digest = F.conv(F.substring(F.sha2(F.col("entry"), 256), 1, 12), 16, 10).cast("decimal(38,0)")
     aggs = [F.count(F.lit(1)).alias("objects"), F.sum("bytes").alias("bytes"),
-            F.sum(digest).cast("decimal(38,0)").alias("entries_digest")]
+            fp.sum48(fp.digest48(F.col("entry"))).alias("entries_digest")]
     return entries.groupBy(*group).agg(*aggs) if group else entries.agg(*aggs)
 
 

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 UNKNOWN_KEY = -1
 
-# Size bounds for broadcasting dimension tables.
+# Size bound for broadcasting a base dimension table.
 NATION_BOUND = 1_000
-DATE_BOUND = 200_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -58,7 +57,13 @@ def surrogate(dim: DataFrame, natural: Sequence[str], name: str) -> DataFrame:
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Column | Sequence[str], key: str,
-           bound: int) -> DataFrame:
-    """Left join to a dimension; a missing member maps to the unknown key −1."""
-    joined = fact.join(checked_broadcast(dim, bound), on, "left")
+           bound: int | None = None) -> DataFrame:
+    """Left join to a dimension; a missing member maps to the unknown key −1.
+
+    With ``bound`` the dimension is broadcast behind ``checked_broadcast``;
+    without it (dimensions derived from the facts) the join is left to AQE,
+    which broadcasts only after measuring the materialised side at run time.
+    """
+    side = checked_broadcast(dim, bound) if bound is not None else dim
+    joined = fact.join(side, on, "left")
     return joined.withColumn(key, F.coalesce(F.col(key), F.lit(UNKNOWN_KEY)))

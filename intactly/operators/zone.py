@@ -28,9 +28,19 @@ COMMIT_SCHEMA = ("month string, batch string, rows bigint, fingerprint decimal(3
                  "committed_at timestamp")
 
 
+def _balanced(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Groups rows of a partition value into few files without one task per value.
+
+    The ``rebalance`` hint shuffles by the partition columns and lets AQE split
+    a large value over several tasks and merge small ones, so a month holding
+    a third of the data is still written in parallel.
+    """
+    return df.hint("rebalance", *cols)
+
+
 def write_months(df: DataFrame, path: str) -> None:
     """Replaces exactly the months present in ``df`` (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_balanced(df, ["month"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month").parquet(path))
 
 
@@ -38,7 +48,7 @@ def write_batch(spark: SparkSession, df: DataFrame, root: str,
                 fingerprint_cols: list[str] | None = None) -> str:
     """Writes ``df`` (with a ``month`` column) as a new batch, then commits it per month."""
     batch = "b" + uuid.uuid4().hex  # never inferred as a number
-    staged = df.withColumn("batch", F.lit(batch))
+    staged = _balanced(df.withColumn("batch", F.lit(batch)), ["month"])
     staged.write.mode("append").partitionBy("month", "batch").parquet(f"{root}/data")
     # Commit rows are computed from what was written, read back.
     written = spark.read.parquet(f"{root}/data").where(F.col("batch") == batch)
@@ -77,7 +87,7 @@ def write_epoch(spark: SparkSession, df: DataFrame, root: str, epoch_id: int,
     de-duplicate commit rows, so a replay never doubles data.
     """
     batch = f"e{epoch_id:012d}"
-    staged = df.withColumn("batch", F.lit(batch))
+    staged = _balanced(df.withColumn("batch", F.lit(batch)), ["month"])
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month", "batch").parquet(f"{root}/data"))
     try:

@@ -34,10 +34,7 @@ def q01_decode_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     on the map side and shuffle one row per (task, month).
     """
     li = read_table(spark, sf_dir, "lineitem")
-    digest = fp.row_digest(li)
-    return (li.groupBy(month_of("l_shipdate").alias("month"))
-            .agg(F.count(F.lit(1)).alias("rows"),
-                 F.sum(digest).cast(T.DecimalType(38, 0)).alias("fingerprint")))
+    return li.groupBy(month_of("l_shipdate").alias("month")).agg(*fp.fingerprint_aggs(li))
 
 
 def q02_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,9 +100,9 @@ _NULL = "'\\N'"
 
 def _canon(expr: str, kind: str) -> str:
     if kind == "double":
-        text = f"CAST(CAST({expr} AS DECIMAL(38,6)) AS VARCHAR)"
+        text = f"CAST(CAST(trunc({expr} * 1000000.0) AS BIGINT) AS VARCHAR)"
     elif kind == "ts":
-        text = f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')"
+        text = f"CAST(epoch_us({expr}) AS VARCHAR)"
     else:
         text = f"CAST({expr} AS VARCHAR)"
     return f"coalesce({text}, {_NULL})"

@@ -77,8 +77,8 @@ def sidecar_json(events: DataFrame) -> DataFrame:
 
 
 def q12_sidecar_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = sidecar_json(read_table(spark, sf_dir, "events"))
-    checks = sidecar.sidecar_rules(F.col("sidecar"))
+    docs = sidecar.sidecar_fields(sidecar_json(read_table(spark, sf_dir, "events")), "sidecar")
+    checks = sidecar.field_rules()
     aggs = [F.count_if(~F.coalesce(r.ok, F.lit(False))).alias(r.name) for r in checks]
     aggs.append(F.count_if(rules.all_pass(checks)).alias("valid"))
     names = [r.name for r in checks] + ["valid"]

@@ -51,19 +51,20 @@ def q41_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q42_fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = enriched_trips(spark, sf_dir)
-    dates = warehouse.date_dimension(t.select(F.col("l_shipdate").alias("d"))).select("date_key", "date_sk")
-    geo = warehouse.surrogate(_geo(spark, sf_dir), ["n_nationkey"], "nation_sk")
-    flags = warehouse.surrogate(t, ["l_returnflag", "l_linestatus"], "flag_sk")
+    # Dimensions come from narrow scans of the base tables, not from the joined facts.
+    li = read_table(spark, sf_dir, "lineitem")
+    dates = warehouse.date_dimension(li.select(F.col("l_shipdate").alias("d"))).select("date_key", "date_sk")
+    geo = warehouse.surrogate(read_table(spark, sf_dir, "nation"), ["n_nationkey"], "nation_sk")
+    flags = warehouse.surrogate(li, ["l_returnflag", "l_linestatus"], "flag_sk")
     fact = t.withColumn("date_key", F.date_format("l_shipdate", "yyyyMMdd").cast("int"))
-    fact = warehouse.lookup(fact, dates, "date_key", "date_sk", warehouse.DATE_BOUND)
+    fact = warehouse.lookup(fact, dates, "date_key", "date_sk")
     fact = warehouse.lookup(fact, geo.select(F.col("n_nationkey").alias("c_nationkey"),
                                              F.col("nation_sk").alias("cust_nation_sk")),
                             "c_nationkey", "cust_nation_sk", warehouse.NATION_BOUND)
     fact = warehouse.lookup(fact, geo.select(F.col("n_nationkey").alias("s_nationkey"),
                                              F.col("nation_sk").alias("supp_nation_sk")),
                             "s_nationkey", "supp_nation_sk", warehouse.NATION_BOUND)
-    fact = warehouse.lookup(fact, flags, ["l_returnflag", "l_linestatus"], "flag_sk",
-                            warehouse.NATION_BOUND)
+    fact = warehouse.lookup(fact, flags, ["l_returnflag", "l_linestatus"], "flag_sk")
     return fact.select("l_orderkey", "l_linenumber", "date_sk", "cust_nation_sk", "supp_nation_sk",
                        "flag_sk", "revenue")
 
@@ -165,11 +166,11 @@ FROM d""",
 WITH t AS {ENRICHED_SQL},
 dates AS (SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key,
                  CAST(dense_rank() OVER (ORDER BY d) AS INTEGER) AS date_sk
-          FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM t)),
+          FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)),
 geo AS (SELECT n_nationkey, CAST(dense_rank() OVER (ORDER BY n_nationkey) AS INTEGER) AS nation_sk FROM nation),
 flags AS (SELECT l_returnflag, l_linestatus,
                  CAST(dense_rank() OVER (ORDER BY l_returnflag, l_linestatus) AS INTEGER) AS flag_sk
-          FROM (SELECT DISTINCT l_returnflag, l_linestatus FROM t))
+          FROM (SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem))
 SELECT t.l_orderkey, t.l_linenumber, coalesce(dates.date_sk, -1) AS date_sk,
        coalesce(cg.nation_sk, -1) AS cust_nation_sk, coalesce(sg.nation_sk, -1) AS supp_nation_sk,
        coalesce(flags.flag_sk, -1) AS flag_sk, t.revenue

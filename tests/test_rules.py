@@ -120,9 +120,9 @@ def test_sidecar_rules(spark):
         "schema_text": VALID.replace('"sparkSchema":{"type":"struct","fields":[]}', '"sparkSchema":"x"'),
         "not_json": "{oops",
     }
-    df = spark.createDataFrame(list(cases.items()), "name string, j string")
+    df = sidecar.sidecar_fields(spark.createDataFrame(list(cases.items()), "name string, j string"), "j")
     got = {r["name"]: r["r"] for r in df.select(
-        "name", rules.first_failure(sidecar.sidecar_rules(F.col("j"))).alias("r")).collect()}
+        "name", rules.first_failure(sidecar.field_rules()).alias("r")).collect()}
     assert got == {"ok": None, "version2": "format_version", "version_text": "format_version",
                    "version_real": "format_version", "empty_month": "text_fields",
                    "bytes_zero": "bytes_positive", "bytes_huge": "bytes_positive",
