@@ -71,7 +71,7 @@ def field_rules() -> list[Rule]:
 
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     """One row per sidecar file (whole file as text), with failing rules (A5)."""
-    raw = (spark.read.option("wholetext", "true").text(path)
+    raw = (spark.read.text(path, wholetext=True)
            .withColumn("path", F.input_file_name()))
     return sidecar_fields(raw, "value").withColumn("reasons", rules.reasons(field_rules()))
 

@@ -103,6 +103,21 @@ def publish_rows(spark: SparkSession, manifest: DataFrame, target_path: str) ->
         .otherwise(F.col("outcome"))).drop("_run")
 
 
+def provenance_records(objects: DataFrame, fields: list[Column]) -> DataFrame:
+    """Version-1 provenance JSON per object, addressed by its own SHA-256.
+
+    Field order is the order of ``fields``; null fields are left out of the JSON.
+    """
+    text = F.to_json(F.struct(F.lit(RECEIPT_VERSION).alias("formatVersion"), *fields))
+    key = F.concat(F.lit("provenance/"), F.sha2(text, 256), F.lit(".json"))
+    return objects.select("*", key.alias("provenance_key"), text.alias("provenance_json"))
+
+
+def write_provenance(records: DataFrame, root: str) -> None:
+    """Appends provenance documents as JSON lines; earlier documents are kept."""
+    records.select(F.col("provenance_json").alias("value")).write.mode("append").text(root)
+
+
 def receipt_entries(objects: DataFrame, verification: Column | None = None) -> DataFrame:
     """One JSON entry per accepted object with a fixed field order.
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from intactly.functions import fingerprint as fp
 from intactly.operators import integrity, profile
 from intactly.sources import files as file_sources
+from intactly.sources import lookup
 from intactly.session import scratch_path
 from intactly.sources.tables import month_of, read_table
 
@@ -70,7 +71,10 @@ def q06_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q07_lookup_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = read_table(spark, sf_dir, "nation")
+    """Lookup profile after a round trip through the strict CSV lookup reader."""
+    path = scratch_path(spark, "q07-lookup")
+    lookup.write_lookup_csv(read_table(spark, sf_dir, "nation"), path)
+    nation = lookup.read_lookup_csv(spark, path, "n_nationkey int, n_name string, n_regionkey int")
     return profile.lookup_profile(nation, "n_nationkey", "n_name")
 
 

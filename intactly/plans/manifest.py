@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intactly.functions import rules, sidecar
-from intactly.operators import history, manifest
+from intactly.operators import history, manifest, publish
 from intactly.sources.tables import month_of, read_table
 
 # Month requests checked by q10 (valid, trimmed, trailing comma,
@@ -193,14 +193,14 @@ def q21_storage_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     pages = read_table(spark, sf_dir, "pages")
     data_key = F.format_string("raw/lang=%s/source=%s/doc-%d.txt", "lang", "source", "doc_id")
-    prov = F.to_json(F.struct(F.lit(1).alias("formatVersion"), data_key.alias("key"),
-                              F.octet_length("text").cast("bigint").alias("bytes"),
-                              F.sha2("text", 256).alias("sha256")))
-    doc_keys = docs.select(
+    prov = publish.provenance_records(
+        docs.withColumn("data_key", data_key),
+        [F.col("data_key").alias("key"), F.octet_length("text").cast("bigint").alias("bytes"),
+         F.sha2("text", 256).alias("sha256")])
+    doc_keys = prov.select(
         F.col("doc_id").alias("item_id"),
-        F.array(F.struct(F.lit("data").alias("kind"), data_key.alias("key")),
-                F.struct(F.lit("provenance").alias("kind"),
-                         F.concat(F.lit("provenance/"), F.sha2(prov, 256), F.lit(".json")).alias("key")))
+        F.array(F.struct(F.lit("data").alias("kind"), F.col("data_key").alias("key")),
+                F.struct(F.lit("provenance").alias("kind"), F.col("provenance_key").alias("key")))
         .alias("keys"))
     path = F.regexp_extract("url", r"^[a-z]+://[^/?#]*([^?#]*)", 1)
     page_keys = pages.select(

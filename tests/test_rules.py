@@ -128,3 +128,40 @@ def test_sidecar_rules(spark):
                    "bytes_zero": "bytes_positive", "bytes_huge": "bytes_positive",
                    "sha_upper": "sha256_hex", "bad_time": "timestamps", "neg_rows": "row_count",
                    "schema_text": "spark_schema_object", "not_json": "json_object"}
+
+
+def test_sidecar_and_descriptor_readers(spark, workdir):
+    import json
+    import os
+    os.makedirs(os.path.join(workdir, "sidecars"))
+    for name, text in {"good": VALID, "bad": VALID.replace('"bytes":10', '"bytes":1.0')}.items():
+        pretty = json.dumps(json.loads(text), indent=2)  # multi-line files, as written by the sink
+        open(os.path.join(workdir, "sidecars", f"{name}.metadata.json"), "w").write(pretty)
+    got = {os.path.basename(r["path"]): r["reasons"]
+           for r in sidecar.read_sidecars(spark, os.path.join(workdir, "sidecars")).collect()}
+    assert got == {"good.metadata.json": [], "bad.metadata.json": ["bytes_positive"]}
+
+    desc = {"formatVersion": 1, "snapshotId": "s1", "retrievedAt": "2026-05-01T00:00:00Z",
+            "files": [{"filename": "a.csv", "sourceUrl": "https://x/a", "bytes": 1, "sha256": "0" * 64,
+                       "revision": "r"},
+                      {"filename": "b.pdf", "sourceUrl": "https://x/b", "bytes": 2, "sha256": "1" * 64,
+                       "revision": "r"}]}
+    path = os.path.join(workdir, "descriptor.json")
+    open(path, "w").write(json.dumps(desc, indent=2))
+    assert sidecar.read_descriptor(spark, path, ["a.csv", "b.pdf"]).first()["reasons"] == []
+    assert sidecar.read_descriptor(spark, path, ["b.pdf", "a.csv"]).first()["reasons"] == ["file_list"]
+
+
+def test_lookup_csv_keeps_literal_na_and_fails_fast(spark, workdir):
+    import os
+    import pytest
+    from intactly.sources import lookup
+    good = os.path.join(workdir, "zones.csv")
+    open(good, "w").write("LocationID,Borough,Zone,service_zone\n1,EWR,Newark Airport,EWR\n"
+                          "264,Unknown,N/A,N/A\n265,N/A,Outside of NYC,N/A\n")
+    rows = {r["LocationID"]: r for r in lookup.read_lookup_csv(spark, good).collect()}
+    assert rows[264]["Zone"] == "N/A" and rows[265]["Borough"] == "N/A"
+    bad = os.path.join(workdir, "bad.csv")
+    open(bad, "w").write("LocationID,Borough,Zone,service_zone\nnot-a-number,x,y,z\n")
+    with pytest.raises(Exception):
+        lookup.read_lookup_csv(spark, bad).collect()
