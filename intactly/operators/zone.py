@@ -71,10 +71,17 @@ def committed(spark: SparkSession, root: str) -> DataFrame:
     return latest.drop("versions")
 
 
-def read_committed(spark: SparkSession, root: str) -> DataFrame:
-    """Zone rows of the latest committed batch of each month; uncommitted data is invisible."""
+def read_committed(spark: SparkSession, root: str, months: list[str] | None = None) -> DataFrame:
+    """Zone rows of the latest committed batch of each month; uncommitted data is invisible.
+
+    With ``months`` only those partitions are listed and read (A10): the
+    filter is on the partition column, so whole directories are pruned.
+    """
     data = spark.read.parquet(f"{root}/data")
     heads = committed(spark, root).select("month", "batch")
+    if months is not None:
+        data = data.where(F.col("month").isin(list(months)))
+        heads = heads.where(F.col("month").isin(list(months)))
     return data.join(heads, ["month", "batch"], "left_semi")
 
 

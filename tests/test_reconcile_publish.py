@@ -118,3 +118,13 @@ def test_zone_rerun_and_uncommitted_batches(spark, workdir):
     # commits record row counts and fingerprints of what was written
     heads = {r["month"]: r["rows"] for r in zone.committed(spark, root).collect()}
     assert heads == {"2026-05": 6, "2026-06": 4}
+
+
+def test_month_restricted_read_prunes_partitions(spark, workdir):
+    root = os.path.join(workdir, "zone")
+    rows = spark.createDataFrame([(i, f"2026-0{5 + i % 3}") for i in range(30)], "id long, month string")
+    zone.write_batch(spark, rows, root)
+    picked = zone.read_committed(spark, root, ["2026-06"])
+    assert picked.count() == 10
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "2026-06" in plan
