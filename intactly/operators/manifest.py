@@ -21,29 +21,48 @@ from pyspark.sql import functions as F
 from intactly.functions import rules
 
 # Pair statuses in precedence order, and actions.
-PAIR_STATUSES = ("pending", "absent", "incomplete", "bad_metadata", "identity_mismatch",
-                 "size_mismatch", "digest_mismatch", "accepted")
+PAIR_STATUSES = ("pending", "absent", "incomplete", "duplicate", "bad_metadata",
+                 "identity_mismatch", "size_mismatch", "digest_mismatch", "accepted")
+
+
+def _per_key(df: DataFrame, key: str, keep: Sequence[str], copies: str) -> DataFrame:
+    """One row per key (a partial aggregate), so joins never pair up copies of a key."""
+    aggs = [F.count(F.lit(1)).alias(copies)]
+    if keep:
+        row = F.struct(*[F.col(c) for c in keep])
+        aggs.append(F.min(row).alias("_row"))
+    out = df.groupBy(key).agg(*aggs)
+    return out.select(key, copies, *[F.col(f"_row.{c}").alias(c) for c in keep]) if keep else out
 
 
 def pair(files: DataFrame, sidecars: DataFrame, key: str) -> DataFrame:
-    """Data file ↔ sidecar pairing, both sides optional."""
-    f = files.withColumn("_file", F.lit(True))
-    s = sidecars.withColumn("_sidecar", F.lit(True))
+    """Data file ↔ sidecar pairing by key, both sides optional.
+
+    Each side is first reduced to one row per key with its number of copies.
+    """
+    f = _per_key(files, key, [], "data_copies")
+    s = _per_key(sidecars, key, [], "sidecar_copies")
     joined = f.join(s, key, "full_outer")
-    has_file = F.coalesce(F.col("_file"), F.lit(False))
-    has_sidecar = F.coalesce(F.col("_sidecar"), F.lit(False))
+    has_file = F.col("data_copies").isNotNull()
+    has_sidecar = F.col("sidecar_copies").isNotNull()
     return (joined.withColumn("has_data", has_file).withColumn("has_sidecar", has_sidecar)
             .withColumn("pairing", F.when(has_file & has_sidecar, F.lit("paired"))
-                        .when(has_file, F.lit("data_only")).otherwise(F.lit("sidecar_only")))
-            .drop("_file", "_sidecar"))
+                        .when(has_file, F.lit("data_only")).otherwise(F.lit("sidecar_only"))))
 
 
 def pair_status(marker: Column, has_data: Column, has_sidecar: Column, metadata_ok: Column,
-                identity_ok: Column, size_ok: Column, digest_ok: Column) -> Column:
-    """Status with fixed precedence: the marker wins even when no file exists."""
+                identity_ok: Column, size_ok: Column, digest_ok: Column,
+                unique: Column | None = None) -> Column:
+    """Status with fixed precedence: the marker wins even when no file exists.
+
+    ``unique`` (false when a key has several data files or sidecars) fails
+    closed as 'duplicate' before any content rule is looked at.
+    """
     return (F.when(marker, F.lit("pending"))
             .when(~has_data & ~has_sidecar, F.lit("absent"))
             .when(~(has_data & has_sidecar), F.lit("incomplete"))
+            .when(~F.coalesce(unique if unique is not None else F.lit(True), F.lit(False)),
+                  F.lit("duplicate"))
             .when(~F.coalesce(metadata_ok, F.lit(False)), F.lit("bad_metadata"))
             .when(~F.coalesce(identity_ok, F.lit(False)), F.lit("identity_mismatch"))
             .when(~F.coalesce(size_ok, F.lit(False)), F.lit("size_mismatch"))
@@ -60,14 +79,15 @@ def reconcile(requests: DataFrame, files: DataFrame, sidecars: DataFrame,
     Action: refresh → 'refreshed'; accepted → 'reused'; absent → 'downloaded';
     anything else fails closed → 'blocked'.
     """
-    f = files.withColumn("_file", F.lit(True))
-    s = sidecars.withColumn("_sidecar", F.lit(True))
+    f = _per_key(files, key, ["bytes", "sha256", "identity"], "_fc")
+    s = _per_key(sidecars, key, ["rec_bytes", "rec_sha256", "rec_identity", "metadata_ok"], "_sc")
     m = markers.select(key).distinct().withColumn("_marker", F.lit(True))
     j = (requests.join(f, key, "left").join(s, key, "left").join(m, key, "left"))
     status = pair_status(
         marker=F.coalesce(F.col("_marker"), F.lit(False)),
-        has_data=F.coalesce(F.col("_file"), F.lit(False)),
-        has_sidecar=F.coalesce(F.col("_sidecar"), F.lit(False)),
+        has_data=F.col("_fc").isNotNull(),
+        has_sidecar=F.col("_sc").isNotNull(),
+        unique=(F.coalesce(F.col("_fc"), F.lit(0)) <= 1) & (F.coalesce(F.col("_sc"), F.lit(0)) <= 1),
         metadata_ok=F.col("metadata_ok"),
         identity_ok=F.col("identity").eqNullSafe(F.col("rec_identity")),
         size_ok=F.col("bytes").eqNullSafe(F.col("rec_bytes")),
@@ -83,16 +103,22 @@ def reconcile(requests: DataFrame, files: DataFrame, sidecars: DataFrame,
 
 def manifest_diff(before: DataFrame, after: DataFrame, key: str,
                   compare: Sequence[str]) -> DataFrame:
-    """added / removed / changed / same per key, in one full outer join."""
-    b = before.select(key, *[F.col(c).alias(f"b_{c}") for c in compare]).withColumn("_b", F.lit(True))
-    a = after.select(key, *[F.col(c).alias(f"a_{c}") for c in compare]).withColumn("_a", F.lit(True))
-    same = F.lit(True)
-    for c in compare:
-        same = same & F.col(f"b_{c}").eqNullSafe(F.col(f"a_{c}"))
-    change = (F.when(F.col("_b").isNull(), F.lit("added"))
-              .when(F.col("_a").isNull(), F.lit("removed"))
+    """added / removed / changed / same per key, in one full outer join.
+
+    Each side is reduced to one row per key first (copies, smallest and
+    largest value tuple), so repeated keys never multiply; for unique keys the
+    comparison is exact.
+    """
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        row = F.struct(*[F.col(c) for c in compare])
+        return df.groupBy(key).agg(F.count(F.lit(1)).alias(f"{tag}_n"), F.min(row).alias(f"{tag}_lo"),
+                                   F.max(row).alias(f"{tag}_hi"))
+    same = (F.col("b_n").eqNullSafe(F.col("a_n")) & F.col("b_lo").eqNullSafe(F.col("a_lo"))
+            & F.col("b_hi").eqNullSafe(F.col("a_hi")))
+    change = (F.when(F.col("b_n").isNull(), F.lit("added"))
+              .when(F.col("a_n").isNull(), F.lit("removed"))
               .when(same, F.lit("same")).otherwise(F.lit("changed")))
-    return b.join(a, key, "full_outer").select(key, change.alias("change"))
+    return side(before, "b").join(side(after, "a"), key, "full_outer").select(key, change.alias("change"))
 
 
 def month_selection(requests: DataFrame, available: DataFrame, text: str = "request",

@@ -39,7 +39,9 @@ def object_manifest(df: DataFrame, key: Column, payload: str) -> DataFrame:
 
 def outcomes(manifest: DataFrame, target: DataFrame) -> DataFrame:
     """Outcome per manifest key against what the target already holds (B1, B2, D3)."""
-    t = target.select("key", F.col("bytes").alias("t_bytes"), F.col("sha256").alias("t_sha256"))
+    # One stored object per key (the smallest, deterministically), so copies never pair up.
+    t = (target.groupBy("key").agg(F.min(F.struct("bytes", "sha256")).alias("_t"))
+         .select("key", F.col("_t.bytes").alias("t_bytes"), F.col("_t.sha256").alias("t_sha256")))
     outcome = (F.when(F.col("t_bytes").isNull() & F.col("t_sha256").isNull(), F.lit("uploaded"))
                .when(~F.col("t_bytes").eqNullSafe(F.col("bytes")), F.lit("conflict_size"))
                .when(~F.col("t_sha256").eqNullSafe(F.col("sha256")), F.lit("conflict_digest"))

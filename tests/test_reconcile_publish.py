@@ -12,17 +12,18 @@ from intactly.operators import manifest, publish, zone
 def test_damage_matrix(spark):
     requests = spark.createDataFrame(
         [(k, k == "d2") for k in ["ok", "no_sidecar", "bad_meta", "d", "d2", "marker", "no_data",
-                                  "absent", "marker_only", "other_source"]],
+                                  "absent", "marker_only", "other_source", "dup"]],
         "key string, refresh boolean")
     files = spark.createDataFrame([
         ("ok", 10, "h", "2026-05"), ("no_sidecar", 10, "h", "2026-05"), ("bad_meta", 10, "h", "2026-05"),
         ("d", 10, "CHANGED", "2026-05"), ("d2", 10, "CHANGED", "2026-05"), ("marker", 10, "h", "2026-05"),
-        ("other_source", 10, "h", "2026-06")],
+        ("other_source", 10, "h", "2026-06"), ("dup", 10, "h", "2026-05")],
         "key string, bytes long, sha256 string, identity string")
     sidecars = spark.createDataFrame([
         ("ok", 10, "h", "2026-05", True), ("bad_meta", 10, "h", "2026-05", False),
         ("d", 10, "h", "2026-05", True), ("d2", 10, "h", "2026-05", True), ("marker", 10, "h", "2026-05", True),
-        ("no_data", 10, "h", "2026-05", True), ("other_source", 10, "h", "2026-05", True)],
+        ("no_data", 10, "h", "2026-05", True), ("other_source", 10, "h", "2026-05", True),
+        ("dup", 10, "h", "2026-05", True), ("dup", 11, "h2", "2026-05", True)],
         "key string, rec_bytes long, rec_sha256 string, rec_identity string, metadata_ok boolean")
     markers = spark.createDataFrame([("marker",), ("marker_only",)], "key string")
     got = {r["key"]: (r["status"], r["action"])
@@ -38,6 +39,7 @@ def test_damage_matrix(spark):
         "absent": ("absent", "downloaded"),
         "marker_only": ("pending", "blocked"),
         "other_source": ("identity_mismatch", "blocked"),
+        "dup": ("duplicate", "blocked"),  # two sidecars for one file fail closed, no pairing
     }
 
 
