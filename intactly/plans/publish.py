@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intactly.operators import publish
+from intactly.operators import publish, retrieval
+from intactly.session import scratch_path
+from intactly.sources import files as file_sources
 from intactly.sources.tables import read_table
 
 
@@ -67,10 +69,33 @@ def q24_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select("group_order", "item_id", "key", "action", "entry")
 
 
+def q26_publish_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create-only publication of the table files into a bucket folder, run twice (M3 over files).
+
+    The first run uploads every file; the rerun must find every object
+    already present with the same bytes ('reused') and write nothing.
+    """
+    inv = file_sources.inventory(spark, sf_dir, "*.parquet")
+    manifest = (file_sources.file_digests(inv)
+                .select(F.concat(F.lit("nyc_raw/"), F.element_at(F.split("path", "/"), -1)).alias("key"),
+                        F.col("path").alias("source"), "bytes", "sha256"))
+    bucket = scratch_path(spark, "q26-bucket")
+    # Each run's outcomes are written as a table in the shared folder: the copy
+    # has side effects, so its result must never be recomputed from lineage.
+    runs = []
+    for name in ("first", "second"):
+        path = scratch_path(spark, f"q26-{name}")
+        retrieval.publish_files(manifest, bucket).write.parquet(path)
+        runs.append(spark.read.parquet(path).select("key", "bytes", F.col("outcome").alias(name)))
+    first, second = runs[0], runs[1].drop("bytes")
+    return first.join(second, "key").select("key", "bytes", "first", "second")
+
+
 QUERIES = {
     "q14_publish_outcome": q14_publish_outcome,
     "q15_publish_summary": q15_publish_summary,
     "q24_receipt": q24_receipt,
+    "q26_publish_files": q26_publish_files,
 }
 
 _OUTCOMES_SQL = """

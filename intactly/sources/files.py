@@ -1,7 +1,7 @@
 """File-level sources: inventory, byte digests, Parquet footers.
 
-The inventory comes from the ``binaryFile`` source with only metadata
-columns selected, so file contents are never loaded by it. Work that needs
+The inventory is listed on executors with ``pyarrow.fs`` (one work item
+per root folder), so file contents are never loaded by it. Work that needs
 the bytes (digest, footer) runs on executors through ``mapInPandas`` over
 the inventory, one file (or one row group) per work item, so thousands of
 files are processed in parallel and no byte passes through the driver.
@@ -25,18 +25,54 @@ FOOTER_SCHEMA = ("path string, row_group int, column string, physical_type strin
 ROW_GROUP_SCHEMA = "path string, row_group int, footer_rows long, error string"
 
 
-def inventory(spark: SparkSession, root: str, glob: str = "*",
+LIST_SCHEMA = "path string, length long, modificationTime timestamp, filename string, error string"
+
+
+def _list_partition(batches: Iterator[pd.DataFrame], glob: str, recursive: bool) -> Iterator[pd.DataFrame]:
+    import fnmatch
+    from pyarrow import fs
+    for pdf in batches:
+        out = []
+        for root in pdf["root"]:
+            try:
+                filesystem, base = fs.FileSystem.from_uri(root)
+                if isinstance(filesystem, fs.LocalFileSystem):
+                    prefix = "file://"
+                else:  # keep the scheme and authority of the root URI
+                    prefix = root[: root.find(base)] if base in root else root.split("://", 1)[0] + "://"
+                for info in filesystem.get_file_info(fs.FileSelector(base, recursive=recursive)):
+                    if info.type == fs.FileType.File and fnmatch.fnmatchcase(info.base_name, glob):
+                        out.append((prefix + info.path, info.size, info.mtime, info.base_name, None))
+            except Exception as exc:  # an unreadable root is reported, not skipped
+                out.append((root, None, None, None, f"{type(exc).__name__}: {exc}"))
+        yield pd.DataFrame(out, columns=["path", "length", "modificationTime", "filename", "error"])
+
+
+def inventory(spark: SparkSession, root: str | list[str], glob: str = "*",
               recursive: bool = False) -> DataFrame:
-    """One row per regular file under ``root``: path, length, modificationTime (A3).
+    """One row per regular file under the root folder(s): path, length, modificationTime (A3).
 
-    Directories are not rows; ``content`` is pruned from the scan.
+    Listing runs on executors, one work item per root folder, and reads no
+    file contents. Unlike Spark's file sources it keeps zero-length files: an
+    empty marker or an emptied data file is a fact to report, not to skip.
+    Directories are not rows; a root that cannot be listed yields one row
+    with ``error`` set (``checked_inventory`` raises instead).
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    return (reader.load(root)
-            .select("path", "length", "modificationTime")
-            .withColumn("filename", F.element_at(F.split("path", "/"), -1)))
+    roots = [root] if isinstance(root, str) else list(root)
+    listed = (spark.createDataFrame([(r,) for r in roots], "root string")
+              .repartition(max(1, min(len(roots), spark.sparkContext.defaultParallelism)))
+              .mapInPandas(lambda it: _list_partition(it, glob, recursive), LIST_SCHEMA))
+    return listed
+
+
+def checked_inventory(spark: SparkSession, root: str | list[str], glob: str = "*",
+                      recursive: bool = False) -> DataFrame:
+    """``inventory`` that fails when a root folder cannot be listed."""
+    inv = inventory(spark, root, glob, recursive)
+    bad = inv.where(F.col("error").isNotNull()).select("path", "error").limit(1).collect()
+    if bad:
+        raise FileNotFoundError(f"cannot list {bad[0]['path']}: {bad[0]['error']}")
+    return inv.drop("error")
 
 
 def _open(path: str):
