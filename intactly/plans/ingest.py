@@ -6,13 +6,13 @@ ship month. Validation rules are ours (the specification leaves them open).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intactly.functions import fingerprint as fp
 from intactly.functions.rules import Rule
 from intactly.operators import harmonise, validate, zone
+from intactly.operators import ingest as ingest_job
 from intactly.session import scratch_path
 from intactly.sources.tables import month_of, read_table, trips
 
@@ -24,6 +24,7 @@ ORDER_STATUSES = {"F": "final", "O": "open"}
 # The month split of q30/q31 and the month re-run by q37.
 SPLIT_AT = "1998-01-01 00:00:00"
 RERUN_MONTH = "1996-01"
+CLEAN_CONTRACT = "l_orderkey bigint, l_linenumber int, month string, revenue decimal(18,4)"
 
 
 def trip_rules() -> list[Rule]:
@@ -117,27 +118,34 @@ def q37_rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q38_branch_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validate once, write the cleaned zone and the warehouse fact, compare them read back."""
-    valid = validated(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = cleaned(valid)
-        zone_path = scratch_path(spark, "q38-zone")
-        fact_path = scratch_path(spark, "q38-fact")
-        zone.write_months(rows, zone_path)
-        (rows.select("l_orderkey", "l_linenumber", "revenue",
-                     F.date_format(F.to_date(F.concat("month", F.lit("-01"))), "yyyyMM")
-                     .cast("int").alias("month_key"))
-         .write.mode("errorifexists").parquet(fact_path))
-    finally:
-        valid.unpersist()
+    """Validate once, write the cleaned zone and the warehouse fact, compare them read back."""
+    early, late = _trip_months(spark, sf_dir)
+    paths = ingest_job.IngestPaths(zone=scratch_path(spark, "q38-zone"),
+                                   rejects=scratch_path(spark, "q38-rejects"),
+                                   fact=scratch_path(spark, "q38-fact"))
+    fact = lambda rows: rows.select(
+        "l_orderkey", "l_linenumber", "revenue", "month",
+        F.date_format(F.to_date(F.concat("month", F.lit("-01"))), "yyyyMM").cast("int").alias("month_key"))
+    ingest_job.ingest(spark, [early, late], trip_rules(), _clean_rows, fact, paths)
     cols = ["l_orderkey", "l_linenumber", "revenue"]
-    zone_back = spark.read.parquet(zone_path)
-    fact_back = spark.read.parquet(fact_path)
+    zone_back = ingest_job.read_cleaned(spark, paths.zone, CLEAN_CONTRACT)
+    fact_back = spark.read.parquet(paths.fact)
     a = zone_back.agg(*fp.fingerprint_aggs(zone_back, cols)).withColumn("branch", F.lit("cleaned_zone"))
     b = fact_back.agg(*fp.fingerprint_aggs(fact_back, cols)).withColumn("branch", F.lit("warehouse"))
     return a.unionByName(b).select("branch", "rows", "fingerprint")
 
 
+def _clean_rows(accepted: DataFrame) -> DataFrame:
+    return accepted.select("l_orderkey", "l_linenumber", "month", revenue().alias("revenue"))
+
+
+def _trip_months(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Trips as two monthly deliveries (before and after the split date)."""
+    t = trips(spark, sf_dir)
+    split = F.col("l_shipdate") < F.lit(SPLIT_AT).cast("timestamp_ntz")
+    return t.where(split), t.where(~split)
+
+
 QUERIES = {
     "q30_harmonised_union": q30_harmonised_union,
     "q31_schema_drift": q31_schema_drift,
