@@ -19,17 +19,27 @@ UNKNOWN_KEY = -1
 NATION_BOUND = 1_000
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; stops reading past the bound."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    within = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if within else df
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
-def geography(nation: DataFrame, region: DataFrame) -> DataFrame:
-    """nation → region snowflake collapsed to one small dimension."""
-    return (nation.join(checked_broadcast(region, NATION_BOUND),
-                        nation.n_regionkey == region.r_regionkey, "left")
-            .select("n_nationkey", "n_name", F.coalesce("r_name", F.lit("UNKNOWN")).alias("r_name")))
+def geography(nation: DataFrame, region: DataFrame) -> tuple[DataFrame, bool]:
+    """nation → region snowflake collapsed to one small dimension.
+
+    Returns the dimension and whether it may be broadcast: both base tables
+    are checked once, and the joined result is bounded by their product.
+    """
+    small = fits(nation, NATION_BOUND) and fits(region, NATION_BOUND)
+    side = F.broadcast(region) if small else region
+    geo = (nation.join(side, nation.n_regionkey == region.r_regionkey, "left")
+           .select("n_nationkey", "n_name", F.coalesce("r_name", F.lit("UNKNOWN")).alias("r_name")))
+    return geo, small
 
 
 def role(dim: DataFrame, prefix: str) -> DataFrame:

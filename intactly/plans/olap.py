@@ -17,23 +17,22 @@ from intactly.sources.tables import read_table, trips
 TOP_K = 5
 
 
-def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _geo(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
     return warehouse.geography(read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region"))
 
 
 def enriched_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips with customer and supplier geography (role-playing lookups, D6/D7)."""
-    geo = _geo(spark, sf_dir)
+    geo, small = _geo(spark, sf_dir)
+    hint = F.broadcast if small else (lambda d: d)
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     t = (trips(spark, sf_dir)
          .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
          .join(supp, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
     cg, sg = warehouse.role(geo, "cust"), warehouse.role(geo, "supp")
-    t = (t.join(warehouse.checked_broadcast(cg, warehouse.NATION_BOUND),
-                F.col("c_nationkey") == F.col("cust_n_nationkey"), "left")
-         .join(warehouse.checked_broadcast(sg, warehouse.NATION_BOUND),
-               F.col("s_nationkey") == F.col("supp_n_nationkey"), "left"))
+    t = (t.join(hint(cg), F.col("c_nationkey") == F.col("cust_n_nationkey"), "left")
+         .join(hint(sg), F.col("s_nationkey") == F.col("supp_n_nationkey"), "left"))
     return t.withColumn("revenue", revenue())
 
 
