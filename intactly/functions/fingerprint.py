@@ -64,11 +64,6 @@ def digest48(text: Column) -> Column:
     return F.conv(F.substring(F.sha2(text, 256), 1, PREFIX_HEX_DIGITS), 16, 10).cast("bigint")
 
 
-def digest_prefix(text: Column) -> Column:
-    """``digest48`` as an exact decimal(38,0) (for row-level output)."""
-    return digest48(text).cast(T.DecimalType(38, 0))
-
-
 def sum48(digest: Column) -> Column:
     """Exact Σ of 48-bit values as decimal(38,0), aggregated as three long partial sums."""
     mask = (1 << PIECE_BITS) - 1
