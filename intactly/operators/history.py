@@ -16,12 +16,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from intactly.functions import rules
 
 _B = "_bucket"
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on ``keys`` where null matches null, so rows with a null key are kept."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        term = left[k].eqNullSafe(renamed[f"_r_{k}"])
+        cond = term if cond is None else cond & term
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def latest_version(df: DataFrame, key: str, order: str, keep: Sequence[str]) -> DataFrame:
     """Current version per key from an append-only history.
 
@@ -34,6 +45,21 @@ def latest_version(df: DataFrame, key: str, order: str, keep: Sequence[str]) ->
     return latest.select(key, *[F.col(f"_latest.{c}").alias(c) for c in [order, *keep]], "versions")
 
 
+def _zero(dtype: T.DataType) -> Column:
+    """A non-null stand-in of the column's type (paired with an is-null flag)."""
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    if isinstance(dtype, T.TimestampType):
+        return F.expr("TIMESTAMP'1970-01-01 00:00:00 UTC'")
+    if isinstance(dtype, T.DateType):
+        return F.expr("DATE'1970-01-01'")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    return F.lit(0).cast(dtype)
+
+
 def ordered_scan(df: DataFrame, key: str, order: Sequence[str], bucket: Column,
                  flag: Column | None = None, lead_of: str | None = None) -> DataFrame:
     """Adds exact per-key sequence facts without gathering a key in one task.
@@ -43,12 +69,22 @@ def ordered_scan(df: DataFrame, key: str, order: Sequence[str], bucket: Column,
       row of the key where ``flag`` held, else null.
     * ``_next`` (when ``lead_of`` is given): value of ``lead_of`` on the next row.
 
-    ``bucket`` must be non-decreasing in ``order`` within a key.
+    ``bucket`` must be non-decreasing in ``order`` within a key. Key and
+    bucket are carried as (is-null flag, non-null value) pairs, so rows with
+    a null key or bucket are kept while the join back stays a plain
+    equi-join on the windows' own partitioning (no second shuffle).
     """
+    staged = df.withColumn(_B, bucket)
+    kt, bt = staged.schema[key].dataType, staged.schema[_B].dataType
+    staged = (staged.withColumn("_kn", F.col(key).isNull())
+              .withColumn("_kv", F.coalesce(F.col(key), _zero(kt)))
+              .withColumn("_bn", F.col(_B).isNull())
+              .withColumn("_bv", F.coalesce(F.col(_B), _zero(bt))))
+    parts = ["_kn", "_kv", "_bn", "_bv"]
     order_cols = [F.col(c) for c in order]
-    local = Window.partitionBy(key, _B).orderBy(*order_cols)
+    local = Window.partitionBy(*parts).orderBy(*order_cols)
     before = local.rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumn(_B, bucket).withColumn("_lidx", F.row_number().over(local))
+    rows = staged.drop(_B).withColumn("_lidx", F.row_number().over(local))
     bucket_aggs = [F.count(F.lit(1)).alias("_n")]
     if flag is not None:
         rows = (rows.withColumn("_lflag", F.when(flag, F.col("_lidx")))
@@ -58,8 +94,9 @@ def ordered_scan(df: DataFrame, key: str, order: Sequence[str], bucket: Column,
         rows = rows.withColumn("_lnext", F.lead(lead_of).over(local))
         bucket_aggs.append(F.min(lead_of).alias("_bmin"))
 
-    per_bucket = rows.groupBy(key, _B).agg(*bucket_aggs)
-    across = Window.partitionBy(key).orderBy(_B)
+    per_bucket = rows.groupBy(*parts).agg(*bucket_aggs)
+    # null buckets (null ordering values) sort first, as they do in the row order
+    across = Window.partitionBy("_kn", "_kv").orderBy(F.col("_bn").desc(), F.col("_bv"))
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.withColumn("_off", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     if flag is not None:
@@ -69,13 +106,13 @@ def ordered_scan(df: DataFrame, key: str, order: Sequence[str], bucket: Column,
         per_bucket = per_bucket.withColumn("_nextmin", F.lead("_bmin").over(across))
     per_bucket = per_bucket.drop("_n", "_bflag", "_gflag", "_bmin")
 
-    out = rows.join(per_bucket, [key, _B], "inner").withColumn("_idx", F.col("_off") + F.col("_lidx"))
+    out = rows.join(per_bucket, parts, "inner").withColumn("_idx", F.col("_off") + F.col("_lidx"))
     if flag is not None:
         out = out.withColumn("_last_flag_idx",
                              F.coalesce(F.col("_off") + F.col("_lprev"), F.col("_pflag")))
     if lead_of is not None:
         out = out.withColumn("_next", F.coalesce(F.col("_lnext"), F.col("_nextmin")))
-    return out.drop(_B, "_lidx", "_lflag", "_lprev", "_off", "_pflag", "_lnext", "_nextmin")
+    return out.drop(*parts, "_lidx", "_lflag", "_lprev", "_off", "_pflag", "_lnext", "_nextmin")
 
 
 def validity_intervals(df: DataFrame, key: str, order: str, bucket: Column) -> DataFrame:
@@ -130,7 +167,7 @@ def first_writer(df: DataFrame, keys: Sequence[str], order: Sequence[str], write
     winners = (tagged.groupBy(*keys)
                .agg(F.min_by(F.struct(F.col(writer).alias("w"), F.col("_digest").alias("d")),
                              rank_key).alias("_win")))
-    return (tagged.join(winners, list(keys), "inner")
+    return (_join_null_safe(tagged, winners, list(keys), "inner")
             .withColumn("winner", F.col("_win.w"))
             .withColumn("write_status",
                         F.when(F.col(writer) == F.col("_win.w"), F.lit("created"))

@@ -71,6 +71,12 @@ def committed(spark: SparkSession, root: str) -> DataFrame:
     return latest.drop("versions")
 
 
+def _semi_null_safe(data: DataFrame, heads: DataFrame) -> DataFrame:
+    """Rows of committed (month, batch) pairs; a null month (no ship date) is a month too."""
+    h = heads.select(F.col("month").alias("_m"), F.col("batch").alias("_b"))
+    return data.join(h, data["month"].eqNullSafe(h["_m"]) & (data["batch"] == h["_b"]), "left_semi")
+
+
 def read_committed(spark: SparkSession, root: str, months: list[str] | None = None) -> DataFrame:
     """Zone rows of the latest committed batch of each month; uncommitted data is invisible.
 
@@ -82,7 +88,7 @@ def read_committed(spark: SparkSession, root: str, months: list[str] | None = No
     if months is not None:
         data = data.where(F.col("month").isin(list(months)))
         heads = heads.where(F.col("month").isin(list(months)))
-    return data.join(heads, ["month", "batch"], "left_semi")
+    return _semi_null_safe(data, heads)
 
 
 def write_epoch(spark: SparkSession, df: DataFrame, root: str, epoch_id: int,
@@ -111,4 +117,4 @@ def read_all_committed(spark: SparkSession, root: str) -> DataFrame:
     """Rows of every committed batch (append-style zones fed by a stream)."""
     data = spark.read.parquet(f"{root}/data")
     commits = spark.read.parquet(f"{root}/_commits").select("month", "batch").distinct()
-    return data.join(commits, ["month", "batch"], "left_semi")
+    return _semi_null_safe(data, commits)

@@ -81,3 +81,15 @@ def test_first_writer(spark):
     got = {r["w"]: (r["winner"], r["write_status"]) for r in history.first_writer(
         df, ["key"], ["t", "w"], "w", F.sha2("body", 256)).collect()}
     assert got == {2: (2, "created"), 3: (2, "reused"), 1: (2, "conflict"), 4: (4, "created")}
+
+
+def test_null_keys_are_kept(spark):
+    df = spark.createDataFrame([(1, None, 1, 200, None), (2, None, 2, 404, None), (3, 5, 1, 200, None)],
+                               "id long, user long, t long, status int, kind string")
+    scanned = history.ordered_scan(df, "user", ["t", "id"], F.floor(F.col("t") / 10), lead_of="t")
+    assert sorted(r["id"] for r in scanned.collect()) == [1, 2, 3]
+    audited = history.attempt_audit(df, "user", ["t", "id"], F.floor(F.col("t") / 10),
+                                    F.col("status"), F.col("kind"))
+    assert audited.count() == 3
+    fw = history.first_writer(df, ["user"], ["t", "id"], "id", F.col("status").cast("string"))
+    assert {r["id"]: r["winner"] for r in fw.collect()} == {1: 1, 2: 1, 3: 3}

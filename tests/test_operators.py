@@ -134,8 +134,20 @@ def test_hot_key_scan_is_partitioned_by_key_and_bucket(spark):
         plan = _plan(out)
         import re
         # the windows over raw rows are partitioned by (key, bucket), never by the key alone
-        assert re.search(r"windowspecdefinition\(k#\d+L, _bucket#\d+L", plan)
-        assert re.search(r"hashpartitioning\(k#\d+L, _bucket#\d+L", plan)
+        assert re.search(r"windowspecdefinition\(_kn#\d+, _kv#\d+L, _bn#\d+, _bv#\d+L", plan)
+        assert re.search(r"hashpartitioning\(_kn#\d+, _kv#\d+L, _bn#\d+, _bv#\d+L", plan)
+        # the per-row side joins on its own partitioning: besides the two row shuffles (row
+        # branch, bucket-aggregate branch) only the small per-bucket table is exchanged (twice)
+        assert plan.count("Exchange hashpartitioning(_kn") == 4
         assert out.count() == 3000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_month_rows_survive_the_committed_zone(spark, workdir):
+    root = os.path.join(workdir, "zone")
+    rows = spark.createDataFrame([(1, "2026-05"), (2, None)], "id long, month string")
+    zone.write_batch(spark, rows, root)
+    assert sorted(r["id"] for r in zone.read_committed(spark, root).collect()) == [1, 2]
+    zone.write_epoch(spark, rows, os.path.join(workdir, "stream"), 1)
+    assert zone.read_all_committed(spark, os.path.join(workdir, "stream")).count() == 2
