@@ -35,6 +35,7 @@ def trip_rules() -> list[Rule]:
         Rule("tax_range", c("l_tax").between(0, 0.08)),
         Rule("returnflag_domain", c("l_returnflag").isin(*RETURN_FLAGS)),
         Rule("linestatus_domain", c("l_linestatus").isin(*LINE_STATUSES)),
+        Rule("order_present", c("o_orderkey").isNotNull()),
         Rule("ship_after_order", c("l_shipdate") >= c("o_orderdate")),
         Rule("price_positive", c("l_extendedprice") > 0),
     ]
@@ -158,7 +159,7 @@ QUERIES = {
     "q38_branch_parity": q38_branch_parity,
 }
 
-TRIPS_SQL = "(SELECT *, strftime(l_shipdate, '%Y-%m') AS month FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
+TRIPS_SQL = "(SELECT *, strftime(l_shipdate, '%Y-%m') AS month FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)"
 
 RULES_SQL = [
     ("quantity_range", "l_quantity BETWEEN 1 AND 50"),
@@ -166,6 +167,7 @@ RULES_SQL = [
     ("tax_range", "l_tax BETWEEN 0 AND 0.08"),
     ("returnflag_domain", "l_returnflag IN ('A', 'N', 'R')"),
     ("linestatus_domain", "l_linestatus IN ('O', 'F')"),
+    ("order_present", "o_orderkey IS NOT NULL"),
     ("ship_after_order", "l_shipdate >= o_orderdate"),
     ("price_positive", "l_extendedprice > 0"),
 ]

@@ -95,7 +95,7 @@ def q13_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = docs.select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"),
                         F.sha2("text", 256).alias("sha256"),
                         F.concat_ws("/", "lang", "source").alias("identity"))
-    recorded = labels.join(docs, "doc_id", "inner")
+    recorded = labels.join(docs, "doc_id", "left")  # a sidecar outlives a deleted document
     sidecars = recorded.select(
         "doc_id",
         (F.octet_length("text") + F.when(F.pmod("doc_id", F.lit(13)) == 0, 1).otherwise(0))
@@ -340,7 +340,7 @@ s AS (SELECT l.doc_id,
              CASE WHEN l.doc_id % 7 = 0 THEN sha256(d.text || chr(10)) ELSE sha256(d.text) END AS rec_sha,
              CASE WHEN l.doc_id % 11 = 0 THEN d.lang || '/other' ELSE d.lang || '/' || d.source END AS rec_ident,
              coalesce(l.quality IN (0, 1) AND l.toxic = 0, false) AS metadata_ok
-      FROM labels l JOIN documents d ON d.doc_id = l.doc_id),
+      FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id),
 m AS (SELECT doc_id FROM documents WHERE doc_id % 17 = 0),
 j AS (SELECT r.doc_id, r.doc_id % 19 = 0 AS refresh,
         CASE WHEN m.doc_id IS NOT NULL THEN 'pending'

@@ -142,7 +142,7 @@ ENRICHED_SQL = f"""(
   SELECT l.*, o.*, strftime(l.l_shipdate, '%Y-%m') AS month, {_REV} AS revenue,
          c.c_nationkey, s.s_nationkey, cg.n_name AS cust_n_name, cg.r_name AS cust_r_name,
          sg.n_name AS supp_n_name, sg.r_name AS supp_r_name
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
   LEFT JOIN {_GEO} cg ON c.c_nationkey = cg.n_nationkey
@@ -181,7 +181,7 @@ LEFT JOIN flags ON flags.l_returnflag = t.l_returnflag AND flags.l_linestatus =
     "q44_month_totals": f"""
 SELECT CASE WHEN GROUPING(month) = 1 THEN 'TOTAL' ELSE month END AS month, count(*) AS rows,
        CAST(sum({_REV}) AS DECIMAL(38,4)) AS revenue
-FROM (SELECT *, strftime(l_shipdate, '%Y-%m') AS month FROM lineitem JOIN orders ON l_orderkey = o_orderkey) t
+FROM (SELECT *, strftime(l_shipdate, '%Y-%m') AS month FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey) t
 GROUP BY ROLLUP (month)""",
     "q45_cube": f"""
 SELECT CASE WHEN GROUPING(cust_r_name) = 1 THEN 'ALL' ELSE cust_r_name END AS region,

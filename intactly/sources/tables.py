@@ -52,10 +52,12 @@ def read_months(spark: SparkSession, path: str, months: Sequence[str]) -> DataFr
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trip-like fact: lineitem joined to its order, with a month label.
 
+    A left join: a line whose order is missing is kept (its order columns are
+    null) so validation can reject it with a reason instead of losing it.
     The join is on the order key; at scale both sides shuffle on it (or are
     read from tables bucketed by it) and AQE splits skewed keys.
     """
     li = read_table(spark, sf_dir, "lineitem")
     od = read_table(spark, sf_dir, "orders")
-    return (li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+    return (li.join(od, li.l_orderkey == od.o_orderkey, "left")
             .withColumn("month", month_of("l_shipdate")))
