@@ -52,6 +52,11 @@ def main() -> None:
             timings[name] = round(time.perf_counter() - t0, 3)
         except Exception as exc:  # keep timing the others
             errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+    # Decode throughput of the honest full-decode query (rows of lineitem per second).
+    rates = {}
+    if "q01_decode_rowcount" in timings:
+        n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+        rates["q01_rows_per_sec"] = round(n / timings["q01_decode_rowcount"])
     match = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "total_query_seconds",
@@ -60,6 +65,7 @@ def main() -> None:
         "queries": timings,
         "sf": float(match.group(1)) if match else sf_dir,
         "cpus": cpus,
+        **rates,
     }
     if errors:
         out["errors"] = errors
