@@ -16,7 +16,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from intactly.functions.rules import Rule, all_pass
+from intactly.functions.rules import Rule
 
 # Deterministic split — key mod 10 below 8 trains (80 %).
 SPLIT_MOD = 10
@@ -88,7 +88,17 @@ def rmse(model: PipelineModel, test: DataFrame, label: str) -> float:
     return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse").evaluate(pred)
 
 
-def score(path: str, df: DataFrame, checks: Sequence[Rule]) -> DataFrame:
-    """Loads the saved artifact and scores only rows that pass the input checks."""
+def score(path: str, df: DataFrame, checks: Sequence[Rule], keep: Sequence[str]) -> DataFrame:
+    """Loads the saved artifact and scores every row that passes the input checks.
+
+    Rows that fail a check are returned too, with a null prediction and the
+    names of the failed checks, so nothing is dropped on the way.
+    """
     model = PipelineModel.load(path)
-    return model.transform(df.where(all_pass(checks)))
+    checked = df.withColumn("input_issues", F.concat_ws(",", *[
+        F.when(~F.coalesce(r.ok, F.lit(False)), F.lit(r.name)) for r in checks]))
+    good = checked.where(F.col("input_issues") == "")
+    scored = model.transform(good).select(*keep, F.col("prediction").cast("double"), "input_issues")
+    refused = checked.where(F.col("input_issues") != "").select(
+        *keep, F.lit(None).cast("double").alias("prediction"), "input_issues")
+    return scored.unionByName(refused)

@@ -57,8 +57,7 @@ def q63_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _data(spark, sf_dir)
     path = scratch_path(spark, "q63-linear")
     model.fit_save(model.pipeline(NUMERIC, CATEGORICAL, LABEL, "linear"), data.where("is_train"), path)
-    scored = model.score(path, data.where("NOT is_train"), input_checks())
-    return scored.select("l_orderkey", "l_linenumber", F.col("prediction").cast("double"))
+    return model.score(path, data.where("NOT is_train"), input_checks(), ["l_orderkey", "l_linenumber"])
 
 
 QUERIES = {
