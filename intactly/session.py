@@ -49,6 +49,31 @@ def build_session(master: str | None = None, app: str = "intactly",
     return spark
 
 
+# Partition sizing targets for large runs.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SPLIT_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def scale_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Partition sizing for a run reading ``input_bytes`` on ``total_cores`` cores.
+
+    The initial shuffle partition count is sized so each reduce partition
+    starts near 128 MiB (at least two waves of tasks); AQE then coalesces
+    small partitions and splits skewed ones at run time, which it can only
+    do well when the initial partitions are fine-grained.
+    """
+    by_size = -(-input_bytes // TARGET_PARTITION_BYTES)
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(2 * total_cores, by_size))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(MAX_SPLIT_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * MAX_SPLIT_BYTES),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def apply_strict(spark: SparkSession) -> None:
     """Pins the strict settings on an existing session (they are runtime confs)."""
     for key, value in STRICT_SETTINGS.items():

@@ -151,3 +151,13 @@ def test_null_month_rows_survive_the_committed_zone(spark, workdir):
     assert sorted(r["id"] for r in zone.read_committed(spark, root).collect()) == [1, 2]
     zone.write_epoch(spark, rows, os.path.join(workdir, "stream"), 1)
     assert zone.read_all_committed(spark, os.path.join(workdir, "stream")).count() == 2
+
+
+def test_scale_settings():
+    from intactly.session import scale_settings
+    big = scale_settings(100 * 1024 ** 4, 8000)          # 100 TiB on 1000 executors × 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    mid = scale_settings(1024 ** 4, 8000)                # 1 TiB
+    assert int(mid["spark.sql.shuffle.partitions"]) == 8192
+    small = scale_settings(10 * 1024 ** 2, 8)            # tiny input: at least two waves
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
