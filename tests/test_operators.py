@@ -157,7 +157,8 @@ def test_scale_settings():
     from intactly.session import scale_settings
     big = scale_settings(100 * 1024 ** 4, 8000)          # 100 TiB on 1000 executors × 8 cores
     assert int(big["spark.sql.shuffle.partitions"]) == 200_000
-    mid = scale_settings(1024 ** 4, 8000)                # 1 TiB
-    assert int(mid["spark.sql.shuffle.partitions"]) == 8192
+    mid = scale_settings(1024 ** 4, 8000)                # 1 TiB: 8192 by size, but two waves of 8000 cores
+    assert int(mid["spark.sql.shuffle.partitions"]) == 16_000
+    assert int(scale_settings(10 * 1024 ** 4, 8000)["spark.sql.shuffle.partitions"]) == 81_920
     small = scale_settings(10 * 1024 ** 2, 8)            # tiny input: at least two waves
     assert int(small["spark.sql.shuffle.partitions"]) == 16
