@@ -10,7 +10,7 @@ from intactly.operators import integrity, profile
 from intactly.sources import files as file_sources
 from intactly.sources import lookup
 from intactly.session import scratch_path
-from intactly.sources.tables import month_of, read_table
+from intactly.sources.tables import TABLES, month_of, read_table
 
 
 def q00_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +84,16 @@ def q08_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.column_profile(joined)
 
 
+def q09_decode_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every table fully decoded through the noop sink, rows counted by ``observe``.
+
+    Nothing is pruned and no footer count is used: each job materialises
+    every column of every row; only the per-table totals reach the driver.
+    """
+    counts = [(name, integrity.decoded_row_count(read_table(spark, sf_dir, name))) for name in TABLES]
+    return spark.createDataFrame(counts, "table_name string, decoded_rows bigint")
+
+
 QUERIES = {
     "q00_smoke": q00_smoke,
     "q01_decode_rowcount": q01_decode_rowcount,
@@ -94,6 +104,7 @@ QUERIES = {
     "q06_footers": q06_footers,
     "q07_lookup_profile": q07_lookup_profile,
     "q08_null_profile": q08_null_profile,
+    "q09_decode_tables": q09_decode_tables,
 }
 
 # Oracle SQL helpers: the canonical row text of fingerprint.py, in DuckDB.
@@ -158,3 +169,6 @@ SQL["q08_null_profile"] = "WITH j AS (SELECT d.*, l.quality, l.toxic FROM docume
         + (f"count(*) FILTER (WHERE trim({c}) = '')" if text else "CAST(0 AS BIGINT)")
         + f" AS blanks, count(DISTINCT {c}) AS distinct_values FROM j"
         for c, text in _Q08_COLS)
+
+SQL["q09_decode_tables"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS decoded_rows FROM {t}" for t in TABLES)
