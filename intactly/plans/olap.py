@@ -91,14 +91,11 @@ def q45_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q46_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = enriched_trips(spark, sf_dir).withColumnRenamed("cust_r_name", "region")
-    t.createOrReplaceTempView("_q46_trips")
-    return spark.sql("""
-        SELECT CASE WHEN grouping(region) = 1 THEN 'ALL' ELSE region END AS region,
-               CASE WHEN grouping(l_linestatus) = 1 THEN 'ALL' ELSE l_linestatus END AS l_linestatus,
-               CASE WHEN grouping(l_returnflag) = 1 THEN 'ALL' ELSE l_returnflag END AS l_returnflag,
-               count(1) AS rows, CAST(sum(revenue) AS DECIMAL(38,4)) AS revenue
-        FROM _q46_trips
-        GROUP BY GROUPING SETS ((region, l_linestatus), (l_returnflag), ())""")
+    dims = ("region", "l_linestatus", "l_returnflag")
+    sets = [[F.col("region"), F.col("l_linestatus")], [F.col("l_returnflag")], []]
+    out = t.groupingSets(sets, *dims).agg(*_cube_measures(), *[F.grouping(c).alias(f"g_{c}") for c in dims])
+    return out.select(*[F.when(F.col(f"g_{c}") == 1, F.lit(olap.ALL)).otherwise(F.col(c)).alias(c)
+                        for c in dims], "rows", "revenue")
 
 
 def q47_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
