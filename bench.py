@@ -40,6 +40,9 @@ def main() -> None:
     (warm.join(warm.groupBy("k").count(), "k")
      .selectExpr("*", "row_number() OVER (PARTITION BY k ORDER BY id) AS rn")
      .write.format("noop").mode("overwrite").save())
+    # Start the Python workers used by the file-level (mapInPandas) operators.
+    spark.range(64).repartition(cpus).mapInPandas(lambda it: it, "id long") \
+        .write.format("noop").mode("overwrite").save()
 
     timings: dict[str, float] = {}
     errors: dict[str, str] = {}
