@@ -193,9 +193,15 @@ u AS (SELECT * FROM a UNION ALL BY NAME SELECT * FROM b)
 SELECT month, count(*) AS rows, count(request_source) AS with_request_source,
        CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS tax_total
 FROM u GROUP BY month""",
-    "q31_schema_drift": f"""
-WITH cols AS (SELECT column_name AS name, {_TYPE_SQL} AS data_type FROM information_schema.columns
-              WHERE table_name = 'lineitem'),
+    "q31_schema_drift": _MONTHS_SQL + f""",
+cols AS (SELECT column_name AS name, {_TYPE_SQL} AS data_type FROM information_schema.columns
+         WHERE table_name = 'lineitem'),
+lc AS (SELECT 'l_orderkey' AS name, count(l_orderkey) AS n FROM a UNION ALL SELECT 'l_linenumber', count(l_linenumber) FROM a
+       UNION ALL SELECT 'l_quantity', count(l_quantity) FROM a UNION ALL SELECT 'L_TAX', count("L_TAX") FROM a
+       UNION ALL SELECT 'month', count(month) FROM a),
+rc AS (SELECT 'l_orderkey' AS name, count(l_orderkey) AS n FROM b UNION ALL SELECT 'l_linenumber', count(l_linenumber) FROM b
+       UNION ALL SELECT 'l_quantity', count(l_quantity) FROM b UNION ALL SELECT 'l_tax', count(l_tax) FROM b
+       UNION ALL SELECT 'month', count(month) FROM b UNION ALL SELECT 'request_source', count(request_source) FROM b),
 l AS (SELECT CASE WHEN name = 'l_tax' THEN 'L_TAX' ELSE name END AS name, data_type FROM cols
       WHERE name IN ('l_orderkey', 'l_linenumber', 'l_quantity', 'l_tax')
       UNION ALL SELECT 'month', 'string'),
@@ -204,11 +210,12 @@ r AS (SELECT name, CASE WHEN name = 'l_linenumber' THEN 'bigint' ELSE data_type
       UNION ALL SELECT 'month', 'string'
       UNION ALL SELECT 'request_source', data_type FROM cols WHERE name = 'l_linestatus')
 SELECT coalesce(lower(l.name), lower(r.name)) AS column_name, l.name AS left_name, l.data_type AS left_type,
-       r.name AS right_name, r.data_type AS right_type,
+       lc.n AS left_values, r.name AS right_name, r.data_type AS right_type, rc.n AS right_values,
        CASE WHEN l.name IS NULL THEN 'only_right' WHEN r.name IS NULL THEN 'only_left'
             WHEN l.data_type <> r.data_type THEN 'type_changed' WHEN l.name <> r.name THEN 'case_changed'
             ELSE 'same' END AS change
-FROM l FULL OUTER JOIN r ON lower(l.name) = lower(r.name)""",
+FROM (l LEFT JOIN lc ON lc.name = l.name) FULL OUTER JOIN (r LEFT JOIN rc ON rc.name = r.name)
+  ON lower(l.name) = lower(r.name)""",
     "q32_dictionary_decode": f"""
 SELECT CASE l_returnflag WHEN 'A' THEN 'accepted' WHEN 'N' THEN 'none' WHEN 'R' THEN 'returned' ELSE 'unmapped' END AS returnflag_label,
        CASE l_linestatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'fulfilled' ELSE 'unmapped' END AS linestatus_label,
