@@ -75,6 +75,11 @@ def storage_key_rules(c: Column) -> list[Rule]:
     ]
 
 
+def relative_path_rules(c: Column) -> list[Rule]:
+    """Storage key rules plus: no '..' segment, so a key can never leave its root."""
+    return [*storage_key_rules(c), Rule("parent_segment", ~c.rlike(r"(^|/)\.\.(/|$)"))]
+
+
 def bucket_rules(c: Column) -> list[Rule]:
     """Object-store bucket naming."""
     return [

@@ -29,18 +29,20 @@ def ingest(spark: SparkSession, months: Sequence[DataFrame], checks: Sequence[Ru
     """Harmonises the monthly inputs, validates once and writes both branches.
 
     ``clean`` projects accepted rows to the cleaned contract (it must keep a
-    ``month`` column); ``to_fact`` maps cleaned rows to fact rows. A rerun
-    of a month commits a new zone batch (readers see only the latest) and
-    replaces that month in the fact table by dynamic partition overwrite.
+    ``month`` column); ``to_fact`` maps cleaned rows to fact rows (also with
+    ``month``). All three outputs are committed zones: a re-run of a month
+    commits new batches and readers see only the latest one per month.
     """
     merged = harmonise.harmonise(list(months))
     valid = validate.with_reasons(merged, checks).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # Every branch commits every month of this run, even where it wrote no
+        # rows, so readers never mix this run with an older one.
+        covered = valid.select("month").distinct()
         rows = clean(validate.accepted(valid))
-        zone.write_batch(spark, rows, paths.zone)
-        zone.write_months(to_fact(rows), paths.fact)
-        rejected = validate.rejected(valid)
-        zone.write_months(rejected, paths.rejects)
+        zone.write_batch(spark, rows, paths.zone, months=covered)
+        zone.write_batch(spark, to_fact(rows), paths.fact, months=covered)
+        zone.write_batch(spark, validate.rejected(valid), paths.rejects, months=covered)
     finally:
         valid.unpersist()
 

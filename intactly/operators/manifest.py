@@ -130,7 +130,9 @@ def month_selection(requests: DataFrame, available: DataFrame, text: str = "requ
     reject the request. Valid requests yield one row per month with its
     1-based ordinal in request order; invalid ones yield one verdict row.
     """
-    items = (requests.select(rid, F.posexplode(rules.split_list(F.col(text))).alias("pos", "month"))
+    # a null request is an empty one: it still gets a verdict row
+    items = (requests.select(rid, F.posexplode(rules.split_list(F.coalesce(F.col(text), F.lit(""))))
+                             .alias("pos", "month"))
              .withColumn("ordinal", (F.col("pos") + 1).cast("int")).drop("pos"))
     copies = F.count(F.lit(1)).over(Window.partitionBy(rid, "month"))
     items = (items.withColumn("_copies", copies)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from intactly.functions import fingerprint as fp
+from intactly.functions import rules
 
 # Outcomes and receipt format.
 ACCEPTED = ("uploaded", "reused")
@@ -37,12 +38,17 @@ def object_manifest(df: DataFrame, key: Column, payload: str) -> DataFrame:
                      F.sha2(F.col(payload), 256).alias("sha256"))
 
 
-def outcomes(manifest: DataFrame, target: DataFrame) -> DataFrame:
-    """Outcome per manifest key against what the target already holds (B1, B2, D3)."""
+def outcomes(manifest: DataFrame, target: DataFrame, absent: str = "uploaded") -> DataFrame:
+    """Outcome per manifest key against what the target holds (B1, B2, D3).
+
+    Before a write an absent key is one to upload (``absent='uploaded'``);
+    after a write the same test is the read-back, where an absent key is a
+    failure (``absent='missing_after_write'``).
+    """
     # One stored object per key (the smallest, deterministically), so copies never pair up.
     t = (target.groupBy("key").agg(F.min(F.struct("bytes", "sha256")).alias("_t"))
          .select("key", F.col("_t.bytes").alias("t_bytes"), F.col("_t.sha256").alias("t_sha256")))
-    outcome = (F.when(F.col("t_bytes").isNull() & F.col("t_sha256").isNull(), F.lit("uploaded"))
+    outcome = (F.when(F.col("t_bytes").isNull() & F.col("t_sha256").isNull(), F.lit(absent))
                .when(~F.col("t_bytes").eqNullSafe(F.col("bytes")), F.lit("conflict_size"))
                .when(~F.col("t_sha256").eqNullSafe(F.col("sha256")), F.lit("conflict_digest"))
                .otherwise(F.lit("reused")))
@@ -85,6 +91,9 @@ def publish_rows(spark: SparkSession, manifest: DataFrame, target_path: str) ->
     reused or as a conflict, never as its own upload.
     """
     run_id = uuid.uuid4().hex
+    key_ok = F.coalesce(rules.all_pass(rules.storage_key_rules(F.col("key"))), F.lit(False))
+    refused = manifest.where(~key_ok).drop("payload").withColumn("outcome", F.lit("invalid_key"))
+    manifest = manifest.where(key_ok)
     before = _read_target(spark, target_path, TARGET_SCHEMA)
     creates = (manifest.join(before.select("key"), "key", "left_anti")
                .groupBy("key").agg(F.min_by(F.col("payload"), F.col("sha256")).alias("payload"))
@@ -97,12 +106,13 @@ def publish_rows(spark: SparkSession, manifest: DataFrame, target_path: str) ->
              .agg(F.min_by(F.struct("payload", "run_id"), F.struct("written_at", "run_id")).alias("w"))
              .select("key", F.octet_length("w.payload").cast("bigint").alias("bytes"),
                      F.sha2(F.col("w.payload"), 256).alias("sha256"), F.col("w.run_id").alias("_run")))
-    result = outcomes(manifest.drop("payload"), first.drop("_run")).join(
+    result = outcomes(manifest.drop("payload"), first.drop("_run"), absent="missing_after_write").join(
         first.select("key", "_run"), "key", "left")
-    return result.withColumn(
+    checked = result.withColumn(
         "outcome",
         F.when((F.col("outcome") == "reused") & (F.col("_run") == run_id), F.lit("uploaded"))
         .otherwise(F.col("outcome"))).drop("_run")
+    return checked.unionByName(refused)
 
 
 def provenance_records(objects: DataFrame, fields: list[Column]) -> DataFrame:

@@ -151,7 +151,7 @@ def publish_files(manifest_df: DataFrame, target_root: str) -> DataFrame:
     replaced. The commit is an exclusive create on local file systems; on
     other stores a concurrent writer is caught by the read-back comparison.
     """
-    key_ok = F.coalesce(rules.all_pass(rules.storage_key_rules(F.col("key"))), F.lit(False))
+    key_ok = F.coalesce(rules.all_pass(rules.relative_path_rules(F.col("key"))), F.lit(False))
     cols = ["key", "source", "target", "bytes", "sha256"]
     work = manifest_df.withColumn(
         "target", F.concat(F.lit(target_root.rstrip("/") + "/"), F.col("key"))).withColumn("_ok", key_ok)

@@ -45,18 +45,32 @@ def write_months(df: DataFrame, path: str) -> None:
 
 
 def write_batch(spark: SparkSession, df: DataFrame, root: str,
-                fingerprint_cols: list[str] | None = None) -> str:
-    """Writes ``df`` (with a ``month`` column) as a new batch, then commits it per month."""
+                fingerprint_cols: list[str] | None = None, months: DataFrame | None = None) -> str:
+    """Writes ``df`` (with a ``month`` column) as a new batch, then commits it per month.
+
+    ``months`` (a one-column frame) names every month the run covers; each
+    gets a commit row even when it wrote no rows, so a re-run that leaves a
+    month empty (say, no rejects any more) hides that month's older rows.
+    Commit rows count and fingerprint what was written, read back.
+    """
     batch = "b" + uuid.uuid4().hex  # never inferred as a number
     staged = _balanced(df.withColumn("batch", F.lit(batch)), ["month"])
     staged.write.mode("append").partitionBy("month", "batch").parquet(f"{root}/data")
-    # Commit rows are computed from what was written, read back.
-    written = spark.read.parquet(f"{root}/data").where(F.col("batch") == batch)
     cols = fingerprint_cols or [c for c in df.columns if c != "month"]
-    commits = (written.groupBy("month", "batch")
-               .agg(*fp.fingerprint_aggs(written, cols))
-               .withColumn("committed_at", F.current_timestamp()))
-    commits.write.mode("append").parquet(f"{root}/_commits")
+    dec = "decimal(38,0)"
+    try:
+        written = spark.read.parquet(f"{root}/data").where(F.col("batch") == batch)
+        stats = written.groupBy("month").agg(*fp.fingerprint_aggs(written, cols))
+    except AnalysisException:  # nothing has ever been written under this root
+        stats = spark.createDataFrame([], f"month string, rows bigint, fingerprint {dec}")
+    if months is not None:
+        m = months.select(F.col("month").alias("_m")).distinct()
+        stats = (m.join(stats, m["_m"].eqNullSafe(stats["month"]), "left")
+                 .select(F.col("_m").alias("month"), F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"),
+                         F.coalesce("fingerprint", F.lit(0).cast(dec)).alias("fingerprint")))
+    (stats.withColumn("batch", F.lit(batch)).withColumn("committed_at", F.current_timestamp())
+     .select("month", "batch", "rows", "fingerprint", "committed_at")
+     .write.mode("append").parquet(f"{root}/_commits"))
     return batch
 
 
@@ -77,13 +91,21 @@ def _semi_null_safe(data: DataFrame, heads: DataFrame) -> DataFrame:
     return data.join(h, data["month"].eqNullSafe(h["_m"]) & (data["batch"] == h["_b"]), "left_semi")
 
 
-def read_committed(spark: SparkSession, root: str, months: list[str] | None = None) -> DataFrame:
+def read_committed(spark: SparkSession, root: str, months: list[str] | None = None,
+                   schema: str | None = None) -> DataFrame:
     """Zone rows of the latest committed batch of each month; uncommitted data is invisible.
 
     With ``months`` only those partitions are listed and read (A10): the
     filter is on the partition column, so whole directories are pruned.
+    ``schema`` (with ``month`` and ``batch``) lets a zone that never received
+    a row read as an empty table.
     """
-    data = spark.read.parquet(f"{root}/data")
+    try:
+        data = spark.read.parquet(f"{root}/data")
+    except AnalysisException:
+        if schema is None:
+            raise
+        return spark.createDataFrame([], schema)
     heads = committed(spark, root).select("month", "batch")
     if months is not None:
         data = data.where(F.col("month").isin(list(months)))

@@ -130,7 +130,7 @@ def q38_branch_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_job.ingest(spark, [early, late], trip_rules(), _clean_rows, fact, paths)
     cols = ["l_orderkey", "l_linenumber", "revenue"]
     zone_back = ingest_job.read_cleaned(spark, paths.zone, CLEAN_CONTRACT)
-    fact_back = spark.read.parquet(paths.fact)
+    fact_back = zone.read_committed(spark, paths.fact)
     a = zone_back.agg(*fp.fingerprint_aggs(zone_back, cols)).withColumn("branch", F.lit("cleaned_zone"))
     b = fact_back.agg(*fp.fingerprint_aggs(fact_back, cols)).withColumn("branch", F.lit("warehouse"))
     return a.unionByName(b).select("branch", "rows", "fingerprint")

@@ -118,3 +118,12 @@ def test_publish_files_create_only(spark, workdir):
     # invalid keys are reported, not dropped
     bad = _file_manifest(spark, [("/absolute/key", paths[2][1]), ("s3a://b/k", paths[2][1])])
     assert {r["outcome"] for r in retrieval.publish_files(bad, "file://" + target).collect()} == {"invalid_key"}
+
+
+def test_publish_files_refuses_parent_segments(spark, workdir):
+    src = os.path.join(workdir, "f.bin")
+    open(src, "wb").write(b"payload")
+    m = _file_manifest(spark, [("../escape.bin", src), ("a/../../escape.bin", src), ("a/ok..bin", src)])
+    got = {r["key"]: r["outcome"] for r in retrieval.publish_files(m, "file://" + os.path.join(workdir, "t")).collect()}
+    assert got == {"../escape.bin": "invalid_key", "a/../../escape.bin": "invalid_key", "a/ok..bin": "uploaded"}
+    assert not os.path.exists(os.path.join(workdir, "escape.bin"))

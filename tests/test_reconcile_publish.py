@@ -130,3 +130,39 @@ def test_month_restricted_read_prunes_partitions(spark, workdir):
     assert picked.count() == 10
     plan = picked._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan and "2026-06" in plan
+
+
+def test_publish_refuses_invalid_keys_and_never_reappends(spark, workdir):
+    target = os.path.join(workdir, "objects")
+    m = spark.createDataFrame([(None, "x"), ("", "y"), ("/abs", "z"), ("ok", "w")], "key string, payload string")
+    m = publish.object_manifest(m, F.col("key"), "payload")
+    for _ in range(2):
+        got = sorted((r["key"] or "<null>", r["outcome"]) for r in publish.publish_rows(spark, m, target).collect())
+        assert [o for _, o in got if _ != "ok"] == ["invalid_key"] * 3
+        assert publish.summary(publish.publish_rows(spark, m, target)).first()["all_success"] is False
+    assert spark.read.parquet(target).count() == 1
+
+
+def test_rerun_hides_rejects_of_a_fixed_month(spark, workdir):
+    from intactly.functions.rules import Rule
+    from intactly.operators import ingest
+    paths = ingest.IngestPaths(*(os.path.join(workdir, n) for n in ("zone", "rejects", "fact")))
+    bad = spark.createDataFrame([(1, "2026-05", -1), (2, "2026-05", 5), (3, "2026-06", 7)],
+                                "id long, month string, v long")
+    checks = [Rule("positive", F.col("v") > 0)]
+    keep = lambda d: d
+    ingest.ingest(spark, [bad], checks, keep, keep, paths)
+    assert zone.read_committed(spark, paths.rejects).count() == 1
+    fixed = spark.createDataFrame([(1, "2026-05", 4), (2, "2026-05", 5)], "id long, month string, v long")
+    ingest.ingest(spark, [fixed], checks, keep, keep, paths)
+    assert zone.read_committed(spark, paths.rejects).count() == 0          # May's old reject is hidden
+    assert sorted(r["id"] for r in zone.read_committed(spark, paths.zone).collect()) == [1, 2, 3]
+
+
+def test_first_batch_with_no_rows_commits_empty_months(spark, workdir):
+    root = os.path.join(workdir, "zone")
+    empty = spark.createDataFrame([], "id long, month string")
+    months = spark.createDataFrame([("2026-05",)], "month string")
+    zone.write_batch(spark, empty, root, months=months)
+    assert {r["month"]: r["rows"] for r in zone.committed(spark, root).collect()} == {"2026-05": 0}
+    assert zone.read_committed(spark, root, schema="id long, month string, batch string").count() == 0

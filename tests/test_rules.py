@@ -18,13 +18,14 @@ def test_month_selection_rejections(spark):
     available = spark.createDataFrame([("2026-05", 5), ("2026-06", 6), ("2026-07", 7)],
                                       "month string, rows long")
     reqs = [(1, "2026-05,2026-07"), (2, ""), (3, "2026-05,"), (4, "2026-05,2026-05"),
-            (5, "2026-5"), (6, "2026-08"), (7, "2026-13"), (8, "26-05"), (9, " 2026-07 , 2026-06")]
+            (5, "2026-5"), (6, "2026-08"), (7, "2026-13"), (8, "26-05"), (9, " 2026-07 , 2026-06"),
+            (10, None)]
     requests = spark.createDataFrame(reqs, "request_id int, request string")
     out = manifest.month_selection(requests, available).collect()
     verdict = {r["request_id"]: r["verdict"] for r in out}
     assert verdict == {1: "valid", 2: "empty_month", 3: "empty_month", 4: "duplicate",
                        5: "bad_format", 6: "not_available", 7: "bad_format", 8: "bad_format",
-                       9: "valid"}
+                       9: "valid", 10: "empty_month"}
     ordered = sorted((r["ordinal"], r["month"]) for r in out if r["request_id"] == 9)
     assert ordered == [(1, "2026-07"), (2, "2026-06")]  # requested order kept
 
