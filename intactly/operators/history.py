@@ -45,6 +45,50 @@ def latest_version(df: DataFrame, key: str, order: str, keep: Sequence[str]) ->
     return latest.select(key, *[F.col(f"_latest.{c}").alias(c) for c in [order, *keep]], "versions")
 
 
+# Quantile bucketing of ordering values.
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 100_000
+
+
+def order_value(df: DataFrame, col: str) -> Column:
+    """The ordering column as a double that preserves its order (timestamps as epoch micros)."""
+    dtype = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), c).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    return c.cast("double")
+
+
+def with_quantile_bucket(df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
+                         name: str = "_qbucket") -> DataFrame:
+    """Adds a bucket column that is non-decreasing in ``col`` and holds ~``rows_per_bucket`` rows.
+
+    Split points are approximate quantiles of ``col`` over the whole input
+    (one sketch pass; only the split points reach the driver, at most
+    ``MAX_BUCKETS`` of them). Wherever values concentrate, say one key with
+    a third of all rows in one hour, proportionally many split points fall
+    there, so no bucket of any key grows past the target by much.
+    """
+    from pyspark.ml.feature import Bucketizer
+    total = df.count()
+    buckets = max(1, min(MAX_BUCKETS, -(-total // rows_per_bucket)))
+    staged = df.withColumn("_oval", order_value(df, col))
+    if buckets == 1:
+        return staged.withColumn(name, F.when(F.col("_oval").isNotNull(), F.lit(0.0))).drop("_oval")
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(staged.approxQuantile("_oval", probs, 1.0 / (4 * buckets))))
+    splits = [float("-inf"), *cuts, float("inf")]
+    bucketed = Bucketizer(splits=splits, inputCol="_oval", outputCol=name,
+                          handleInvalid="keep").transform(staged)
+    # null ordering values sort first and form their own (null) bucket
+    return (bucketed.withColumn(name, F.when(F.col("_oval").isNotNull(), F.col(name)))
+            .drop("_oval"))
+
+
 def _zero(dtype: T.DataType) -> Column:
     """A non-null stand-in of the column's type (paired with an is-null flag)."""
     if isinstance(dtype, T.StringType):

@@ -135,14 +135,10 @@ def q17_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.latest_version(conv, "conv_id", "turn", ["role", "text_sha256"])
 
 
-# Width of the turn buckets that split one long conversation.
-TURN_BUCKET = 64
-
-
 def q18_version_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn")
-    return history.validity_intervals(conv, "conv_id", "turn",
-                                      F.floor(F.col("turn") / TURN_BUCKET))
+    conv = history.with_quantile_bucket(read_table(spark, sf_dir, "conversations").select("conv_id", "turn"),
+                                        "turn")
+    return history.validity_intervals(conv, "conv_id", "turn", F.col("_qbucket")).drop("_qbucket")
 
 
 def _transfer_log(events: DataFrame) -> DataFrame:
@@ -158,9 +154,8 @@ def _transfer_log(events: DataFrame) -> DataFrame:
 
 
 def q19_attempt_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _transfer_log(read_table(spark, sf_dir, "events"))
-    audited = history.attempt_audit(log, "user_id", ["ts", "event_id"],
-                                    F.date_trunc("hour", F.col("ts")),
+    log = history.with_quantile_bucket(_transfer_log(read_table(spark, sf_dir, "events")), "ts")
+    audited = history.attempt_audit(log, "user_id", ["ts", "event_id"], F.col("_qbucket"),
                                     F.col("status"), F.col("error_kind"))
     return audited.select("user_id", "event_id", "outcome", "attempt_no", "wait_ms", "stop_reason")
 
