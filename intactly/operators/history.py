@@ -51,7 +51,12 @@ MAX_BUCKETS = 100_000
 
 
 def order_value(df: DataFrame, col: str) -> Column:
-    """The ordering column as a double that preserves its order (timestamps as epoch micros)."""
+    """The ordering column as a double that never reverses its order (timestamps as epoch micros).
+
+    Only numeric, boolean, date and timestamp columns qualify: a cast to
+    double is monotone for them. Other types (strings sort differently from
+    any number) are refused rather than bucketed out of order.
+    """
     dtype = df.schema[col].dataType
     c = F.col(col)
     if isinstance(dtype, T.TimestampNTZType):
@@ -60,7 +65,10 @@ def order_value(df: DataFrame, col: str) -> Column:
         return F.unix_micros(c).cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
-    return c.cast("double")
+    if isinstance(dtype, (T.NumericType, T.BooleanType)):
+        return c.cast("double")
+    raise TypeError(f"cannot bucket by {col} of type {dtype.simpleString()}; order by a numeric, "
+                    "date or timestamp column")
 
 
 def with_quantile_bucket(df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
@@ -81,6 +89,8 @@ def with_quantile_bucket(df: DataFrame, col: str, rows_per_bucket: int = ROWS_PE
         return staged.withColumn(name, F.when(F.col("_oval").isNotNull(), F.lit(0.0))).drop("_oval")
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(staged.approxQuantile("_oval", probs, 1.0 / (4 * buckets))))
+    if not cuts:  # no non-null ordering value at all: everything is the null bucket
+        return staged.withColumn(name, F.lit(None).cast("double")).drop("_oval")
     splits = [float("-inf"), *cuts, float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="_oval", outputCol=name,
                           handleInvalid="keep").transform(staged)

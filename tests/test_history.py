@@ -108,3 +108,14 @@ def test_quantile_buckets_split_a_dense_hot_key(spark):
     expected = df.withColumn("_idx", F.row_number().over(w)).withColumn("_next", F.lead("t").over(w))
     cols = ["id", "_idx", "_next"]
     assert sorted(scanned.select(cols).collect()) == sorted(expected.select(cols).collect())
+
+
+def test_quantile_buckets_edge_cases(spark):
+    import pytest
+    nulls = spark.createDataFrame([(i, 1, None) for i in range(10)], "id long, k long, t long")
+    b = history.with_quantile_bucket(nulls, "t", rows_per_bucket=3)
+    assert b.where("_qbucket IS NULL").count() == 10
+    scanned = history.ordered_scan(b, "k", ["t", "id"], F.col("_qbucket"))
+    assert sorted(r["_idx"] for r in scanned.collect()) == list(range(1, 11))
+    with pytest.raises(TypeError):
+        history.with_quantile_bucket(spark.createDataFrame([("5",)], "t string"), "t")
