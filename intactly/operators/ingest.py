@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from intactly.functions.rules import Rule
 from intactly.operators import harmonise, validate, zone
@@ -25,13 +26,15 @@ class IngestPaths:
 
 def ingest(spark: SparkSession, months: Sequence[DataFrame], checks: Sequence[Rule],
            clean: Callable[[DataFrame], DataFrame], to_fact: Callable[[DataFrame], DataFrame],
-           paths: IngestPaths) -> None:
+           paths: IngestPaths, fingerprint_cols: list[str] | None = None) -> None:
     """Harmonises the monthly inputs, validates once and writes both branches.
 
     ``clean`` projects accepted rows to the cleaned contract (it must keep a
     ``month`` column); ``to_fact`` maps cleaned rows to fact rows (also with
     ``month``). All three outputs are committed zones: a re-run of a month
     commits new batches and readers see only the latest one per month.
+    With ``fingerprint_cols`` (columns common to the zone and the fact) the
+    two branches' commit fingerprints are directly comparable.
     """
     merged = harmonise.harmonise(list(months))
     valid = validate.with_reasons(merged, checks).persist(StorageLevel.MEMORY_AND_DISK)
@@ -40,8 +43,8 @@ def ingest(spark: SparkSession, months: Sequence[DataFrame], checks: Sequence[Ru
         # rows, so readers never mix this run with an older one.
         covered = valid.select("month").distinct()
         rows = clean(validate.accepted(valid))
-        zone.write_batch(spark, rows, paths.zone, months=covered)
-        zone.write_batch(spark, to_fact(rows), paths.fact, months=covered)
+        zone.write_batch(spark, rows, paths.zone, fingerprint_cols, months=covered)
+        zone.write_batch(spark, to_fact(rows), paths.fact, fingerprint_cols, months=covered)
         zone.write_batch(spark, validate.rejected(valid), paths.rejects, months=covered)
     finally:
         valid.unpersist()
@@ -54,8 +57,14 @@ def read_cleaned(spark: SparkSession, root: str, contract: str,
     Columns are selected and cast to the contract, so exploration and
     training never depend on what a particular file happens to contain.
     """
-    from pyspark.sql import functions as F
     from pyspark.sql.types import _parse_datatype_string
     schema = _parse_datatype_string(contract)
     data = zone.read_committed(spark, root, list(months) if months is not None else None)
     return data.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def branch_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Rows and fingerprint of a committed zone from its latest commit rows (read-back stats)."""
+    heads = zone.committed(spark, root)
+    return heads.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"),
+                     F.coalesce(F.sum("fingerprint"), F.lit(0)).cast("decimal(38,0)").alias("fingerprint"))

@@ -121,6 +121,8 @@ def write_epoch(spark: SparkSession, df: DataFrame, root: str, epoch_id: int,
     folders through dynamic partition overwrite, then commits again; readers
     de-duplicate commit rows, so a replay never doubles data.
     """
+    if df.isEmpty():  # an empty micro-batch branch writes and commits nothing
+        return
     batch = f"e{epoch_id:012d}"
     staged = _balanced(df.withColumn("batch", F.lit(batch)), ["month"])
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -166,3 +166,13 @@ def test_first_batch_with_no_rows_commits_empty_months(spark, workdir):
     zone.write_batch(spark, empty, root, months=months)
     assert {r["month"]: r["rows"] for r in zone.committed(spark, root).collect()} == {"2026-05": 0}
     assert zone.read_committed(spark, root, schema="id long, month string, batch string").count() == 0
+
+
+def test_cleaned_reader_binds_the_contract(spark, workdir):
+    from intactly.operators import ingest
+    root = os.path.join(workdir, "zone")
+    rows = spark.createDataFrame([(1, "2026-05", "7.5", "extra")], "id int, month string, v string, junk string")
+    zone.write_batch(spark, rows, root)
+    got = ingest.read_cleaned(spark, root, "id bigint, month string, v decimal(10,2)")
+    assert got.dtypes == [("id", "bigint"), ("month", "string"), ("v", "decimal(10,2)")]
+    assert [tuple(r) for r in got.collect()] == [(1, "2026-05", __import__("decimal").Decimal("7.50"))]
