@@ -68,6 +68,7 @@ def main() -> None:
         "queries": timings,
         "sf": float(match.group(1)) if match else sf_dir,
         "cpus": cpus,
+        "excluded": sorted(EXCLUDED),
         **rates,
     }
     if errors:
