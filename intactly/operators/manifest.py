@@ -22,7 +22,8 @@ from intactly.functions import rules
 
 # Pair statuses in precedence order, and actions.
 PAIR_STATUSES = ("pending", "absent", "incomplete", "duplicate", "bad_metadata",
-                 "identity_mismatch", "size_mismatch", "digest_mismatch", "accepted")
+                 "identity_mismatch", "size_mismatch", "digest_mismatch", "verification_mismatch",
+                 "accepted")
 
 
 def _per_key(df: DataFrame, key: str, keep: Sequence[str], copies: str) -> DataFrame:
@@ -52,7 +53,7 @@ def pair(files: DataFrame, sidecars: DataFrame, key: str) -> DataFrame:
 
 def pair_status(marker: Column, has_data: Column, has_sidecar: Column, metadata_ok: Column,
                 identity_ok: Column, size_ok: Column, digest_ok: Column,
-                unique: Column | None = None) -> Column:
+                unique: Column | None = None, verification_ok: Column | None = None) -> Column:
     """Status with fixed precedence: the marker wins even when no file exists.
 
     ``unique`` (false when a key has several data files or sidecars) fails
@@ -67,20 +68,25 @@ def pair_status(marker: Column, has_data: Column, has_sidecar: Column, metadata_
             .when(~F.coalesce(identity_ok, F.lit(False)), F.lit("identity_mismatch"))
             .when(~F.coalesce(size_ok, F.lit(False)), F.lit("size_mismatch"))
             .when(~F.coalesce(digest_ok, F.lit(False)), F.lit("digest_mismatch"))
+            .when(~F.coalesce(verification_ok if verification_ok is not None else F.lit(True),
+                              F.lit(False)), F.lit("verification_mismatch"))
             .otherwise(F.lit("accepted")))
 
 
 def reconcile(requests: DataFrame, files: DataFrame, sidecars: DataFrame,
-              markers: DataFrame, key: str) -> DataFrame:
+              markers: DataFrame, key: str, verify: bool = False) -> DataFrame:
     """Status and action per requested item (M2: C7–C9, D2, D5).
 
     ``files``: key, bytes, sha256, identity. ``sidecars``: key, rec_bytes,
-    rec_sha256, rec_identity, metadata_ok. ``markers``: key.
+    rec_sha256, rec_identity, metadata_ok. ``markers``: key. With ``verify``
+    the files also carry ``rows`` (decoded now) and the sidecars ``rec_rows``
+    (recorded): reuse then also needs the same decoded row count (D4).
     Action: refresh → 'refreshed'; accepted → 'reused'; absent → 'downloaded';
     anything else fails closed → 'blocked'.
     """
-    f = _per_key(files, key, ["bytes", "sha256", "identity"], "_fc")
-    s = _per_key(sidecars, key, ["rec_bytes", "rec_sha256", "rec_identity", "metadata_ok"], "_sc")
+    vf, vs = (["rows"], ["rec_rows"]) if verify else ([], [])
+    f = _per_key(files, key, ["bytes", "sha256", "identity", *vf], "_fc")
+    s = _per_key(sidecars, key, ["rec_bytes", "rec_sha256", "rec_identity", "metadata_ok", *vs], "_sc")
     m = markers.select(key).distinct().withColumn("_marker", F.lit(True))
     j = (requests.join(f, key, "left").join(s, key, "left").join(m, key, "left"))
     status = pair_status(
@@ -88,6 +94,7 @@ def reconcile(requests: DataFrame, files: DataFrame, sidecars: DataFrame,
         has_data=F.col("_fc").isNotNull(),
         has_sidecar=F.col("_sc").isNotNull(),
         unique=(F.coalesce(F.col("_fc"), F.lit(0)) <= 1) & (F.coalesce(F.col("_sc"), F.lit(0)) <= 1),
+        verification_ok=F.col("rows").eqNullSafe(F.col("rec_rows")) if verify else None,
         metadata_ok=F.col("metadata_ok"),
         identity_ok=F.col("identity").eqNullSafe(F.col("rec_identity")),
         size_ok=F.col("bytes").eqNullSafe(F.col("rec_bytes")),
@@ -121,6 +128,21 @@ def manifest_diff(before: DataFrame, after: DataFrame, key: str,
     return side(before, "b").join(side(after, "a"), key, "full_outer").select(key, change.alias("change"))
 
 
+def verification_matches(recorded: DataFrame, observed: DataFrame, key: str) -> DataFrame:
+    """Recorded ↔ observed verification per key.
+
+    Equal iff row count, physical schema and Spark schema are equal (null-safe);
+    verification times and runtime versions are ignored.
+    """
+    cols = ("rowCount", "parquetSchema", "sparkSchema")
+    r = recorded.select(key, *[F.col(c).alias(f"r_{c}") for c in cols])
+    o = observed.select(key, *[F.col(c).alias(f"o_{c}") for c in cols])
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(f"r_{c}").eqNullSafe(F.col(f"o_{c}"))
+    return r.join(o, key, "full_outer").select(key, same.alias("same_verification"))
+
+
 def month_selection(requests: DataFrame, available: DataFrame, text: str = "request",
                     rid: str = "request_id") -> DataFrame:
     """Validates comma-separated month requests against the available months.

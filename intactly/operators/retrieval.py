@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intactly.functions import rules, sidecar
-from intactly.operators import manifest
+from intactly.operators import integrity, manifest
 from intactly.sources import files as file_sources
 
 # Sidecar and marker suffixes.
@@ -38,7 +38,7 @@ def _strip(col: str, suffix: str) -> F.Column:
 
 
 SIDES_SCHEMA = ("filename string, rec_bytes long, rec_sha256 string, rec_identity string, "
-                "metadata_ok boolean")
+                "metadata_ok boolean, rec_rows long")
 
 
 def _sidecars(spark: SparkSession, raw_dir: str) -> DataFrame:
@@ -50,15 +50,18 @@ def _sidecars(spark: SparkSession, raw_dir: str) -> DataFrame:
             .select(_strip("_name", SIDECAR_SUFFIX).alias("filename"),
                     F.col("n_bytes").alias("rec_bytes"), F.col("s_sha256").alias("rec_sha256"),
                     F.concat_ws("|", "s_month", "s_filename", "s_source_url").alias("rec_identity"),
-                    (F.size("reasons") == 0).alias("metadata_ok")))
+                    (F.size("reasons") == 0).alias("metadata_ok"), F.col("n_rows").alias("rec_rows")))
 
 
 def reconcile_directory(spark: SparkSession, raw_dir: str, requests: DataFrame,
-                        data_glob: str = "*.parquet") -> DataFrame:
+                        data_glob: str = "*.parquet", verify: bool = False) -> DataFrame:
     """Status and action per requested file (M2).
 
     ``requests``: filename, month, source_url, refresh. Identity is the
     (month, filename, source URL) the sidecar records versus the request.
+    With ``verify`` every requested data file is also fully decoded (per row
+    group, on executors) and reuse needs the decoded row count the sidecar
+    recorded; an unreadable file never verifies.
     """
     wanted_names = requests.select("filename").distinct()
     inv = file_sources.inventory(spark, raw_dir, data_glob).join(wanted_names, "filename", "left_semi")
@@ -71,7 +74,12 @@ def reconcile_directory(spark: SparkSession, raw_dir: str, requests: DataFrame,
     wanted = requests.select("filename", "refresh",
                              F.concat_ws("|", "month", "filename", "source_url").alias("identity"))
     files = data.join(wanted.select("filename", "identity"), "filename", "inner")
-    return manifest.reconcile(wanted.drop("identity"), files, sides, markers, "filename")
+    if verify:
+        decoded = (integrity.verify_files(inv)
+                   .select("filename", F.when(F.col("status") == integrity.STATUS_OK,
+                                              F.col("decoded_rows")).alias("rows")))
+        files = files.join(decoded, "filename", "left")
+    return manifest.reconcile(wanted.drop("identity"), files, sides, markers, "filename", verify)
 
 
 def _commit(filesystem, part: str, final: str) -> bool:

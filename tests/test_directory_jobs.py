@@ -54,6 +54,34 @@ def _raw_folder(root):
     os.remove(p("2026-08") + retrieval.SIDECAR_SUFFIX)
 
 
+def test_reconcile_directory_verifies_decoded_rows(spark, workdir):
+    raw = os.path.join(workdir, "raw")
+    _raw_folder(raw)
+    p = os.path.join(raw, _name("2026-01"))
+    good = os.path.join(raw, _name("2026-09"))
+    pq.write_table(pa.table({"id": list(range(10))}), good)
+    _sidecar(good, "2026-09")
+    # the recorded verification says 99 rows, the file decodes to 10: never reused
+    doc = json.load(open(p + retrieval.SIDECAR_SUFFIX))
+    doc["verification"]["rowCount"] = 99
+    open(p + retrieval.SIDECAR_SUFFIX, "w").write(json.dumps(doc))
+    requests = spark.createDataFrame([(_name(m), m, _url(m), False) for m in ("2026-01", "2026-09")],
+                                     "filename string, month string, source_url string, refresh boolean")
+    got = {r["filename"][16:23]: r["status"]
+           for r in retrieval.reconcile_directory(spark, raw, requests, verify=True).collect()}
+    assert got == {"2026-01": "verification_mismatch", "2026-09": "accepted"}
+
+
+def test_verification_matches_ignores_times_and_versions(spark):
+    from intactly.operators import manifest
+    rec = spark.createDataFrame([("a", 10, "message m {}", "{}", "t1"), ("b", 10, "message m {}", "{}", "t1")],
+                                "k string, rowCount long, parquetSchema string, sparkSchema string, verifiedAt string")
+    obs = spark.createDataFrame([("a", 10, "message m {}", "{}", "t2"), ("b", 99, "message m {}", "{}", "t2")],
+                                "k string, rowCount long, parquetSchema string, sparkSchema string, verifiedAt string")
+    got = {r["k"]: r["same_verification"] for r in manifest.verification_matches(rec, obs, "k").collect()}
+    assert got == {"a": True, "b": False}
+
+
 def test_reconcile_directory_damage_matrix(spark, workdir):
     raw = os.path.join(workdir, "raw")
     _raw_folder(raw)
