@@ -169,3 +169,32 @@ def publish_files(manifest_df: DataFrame, target_root: str) -> DataFrame:
     rejected = work.where("NOT _ok").select(*cols, F.lit("invalid_key").alias("outcome"),
                                             F.lit(None).cast("string").alias("error"))
     return copied.unionByName(rejected)
+
+
+SIDECAR_WRITE_SCHEMA = "filename string, sidecar string, error string"
+
+
+def _sidecar_partition(batches: Iterator[pd.DataFrame], raw_root: str) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
+    filesystem, base = fs.FileSystem.from_uri(raw_root)
+    for pdf in batches:
+        out = []
+        for name, doc in pdf[["filename", "sidecar"]].itertuples(index=False):
+            error = None
+            try:
+                path = f"{base.rstrip('/')}/{name}{SIDECAR_SUFFIX}"
+                with filesystem.open_output_stream(path) as dst:
+                    dst.write(doc.encode("utf-8"))
+            except Exception as exc:
+                error = f"{type(exc).__name__}: {exc}"
+            out.append((name, doc, error))
+        yield pd.DataFrame(out, columns=["filename", "sidecar", "error"])
+
+
+def write_sidecars(docs: DataFrame, raw_root: str) -> DataFrame:
+    """Writes one sidecar file per data file (``filename``, ``sidecar`` JSON text), on executors.
+
+    Returns one row per sidecar with the write error, if any.
+    """
+    return (docs.select("filename", "sidecar").repartition("filename")
+            .mapInPandas(lambda it: _sidecar_partition(it, raw_root), SIDECAR_WRITE_SCHEMA))

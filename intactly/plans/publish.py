@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intactly.operators import publish, retrieval
+from intactly.operators import integrity, publish, retrieval
 from intactly.session import scratch_path
 from intactly.sources import files as file_sources
 from intactly.sources.tables import read_table
@@ -91,11 +91,56 @@ def q26_publish_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.join(second, "key").select("key", "bytes", "first", "second")
 
 
+# The source URL prefix and month recorded for the table files.
+SOURCE_PREFIX = "https://example.org/tables/"
+SNAPSHOT_MONTH = "2026-05"
+
+
+def q27_retrieve_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retrieve → record provenance → reconcile with full decode, over the table files (M1–M3).
+
+    The files are copied create-only into a raw folder, a version-1 sidecar
+    is written beside each (bytes, SHA-256, decoded row count), and the
+    folder is then reconciled with verification: every file must come back
+    accepted and reusable.
+    """
+    inv = file_sources.inventory(spark, sf_dir, "*.parquet")
+    digests = file_sources.file_digests(inv)
+    decoded = integrity.verify_files(inv).select("path", "decoded_rows")
+    files = digests.join(decoded, "path").withColumn("filename", F.element_at(F.split("path", "/"), -1))
+    raw = scratch_path(spark, "q27-raw")
+    copied_path = scratch_path(spark, "q27-copied")
+    (retrieval.publish_files(files.select(F.col("filename").alias("key"), F.col("path").alias("source"),
+                                          "bytes", "sha256"), raw)
+     .write.parquet(copied_path))
+    url = F.concat(F.lit(SOURCE_PREFIX), F.col("filename"))
+    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    doc = F.to_json(F.struct(
+        F.lit(1).alias("formatVersion"), F.lit(SNAPSHOT_MONTH).alias("month"), F.col("filename"),
+        url.alias("sourceUrl"), url.alias("finalUrl"), stamp.alias("retrievedAt"), F.col("bytes"),
+        F.col("sha256"),
+        F.struct(stamp.alias("verifiedAt"), F.lit("").alias("parquetSchema"),
+                 F.col("decoded_rows").alias("rowCount"),
+                 F.struct(F.lit("struct").alias("type")).alias("sparkSchema")).alias("verification")))
+    # one-row gate over every write (all partitions run; only the count and one message return)
+    gate = (retrieval.write_sidecars(files.select("filename", doc.alias("sidecar")), raw)
+            .agg(F.count_if(F.col("error").isNotNull()).alias("failed"),
+                 F.first("error", ignorenulls=True).alias("error")).first())
+    if gate["failed"]:
+        raise OSError(f"{gate['failed']} sidecar writes failed, e.g. {gate['error']}")
+    requests = files.select("filename", F.lit(SNAPSHOT_MONTH).alias("month"), url.alias("source_url"),
+                            F.lit(False).alias("refresh"))
+    status = retrieval.reconcile_directory(spark, raw, requests, verify=True)
+    copied = spark.read.parquet(copied_path).select(F.col("key").alias("filename"), F.col("outcome").alias("copy"))
+    return status.join(copied, "filename", "left").select("filename", "copy", "status", "action")
+
+
 QUERIES = {
     "q14_publish_outcome": q14_publish_outcome,
     "q15_publish_summary": q15_publish_summary,
     "q24_receipt": q24_receipt,
     "q26_publish_files": q26_publish_files,
+    "q27_retrieve_cycle": q27_retrieve_cycle,
 }
 
 _OUTCOMES_SQL = """
