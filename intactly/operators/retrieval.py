@@ -13,6 +13,7 @@ All three are found with metadata-only listings; only data files are read
 from __future__ import annotations
 
 import hashlib
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -24,9 +25,10 @@ from intactly.functions import rules, sidecar
 from intactly.operators import integrity, manifest
 from intactly.sources import files as file_sources
 
-# Sidecar and marker suffixes.
+# Sidecar and marker suffixes, history folder.
 SIDECAR_SUFFIX = ".metadata.json"
 MARKER_SUFFIX = ".pending"
+HISTORY_DIR = ".history"
 COPY_CHUNK = 1 << 20
 
 COPY_SCHEMA = ("key string, source string, target string, bytes long, sha256 string, "
@@ -183,8 +185,15 @@ def _sidecar_partition(batches: Iterator[pd.DataFrame], raw_root: str) -> Iterat
             error = None
             try:
                 path = f"{base.rstrip('/')}/{name}{SIDECAR_SUFFIX}"
-                with filesystem.open_output_stream(path) as dst:
+                if filesystem.get_file_info(path).type == fs.FileType.File:
+                    # keep the previous document (even a malformed one) before replacing it
+                    keep = f"{base.rstrip('/')}/{HISTORY_DIR}/{name}/{int(time.time() * 1000)}-{uuid.uuid4().hex}.json"
+                    filesystem.create_dir(keep.rsplit("/", 1)[0], recursive=True)
+                    filesystem.copy_file(path, keep)
+                part = f"{path}.part-{uuid.uuid4().hex}"
+                with filesystem.open_output_stream(part) as dst:
                     dst.write(doc.encode("utf-8"))
+                filesystem.move(part, path)
             except Exception as exc:
                 error = f"{type(exc).__name__}: {exc}"
             out.append((name, doc, error))
@@ -192,9 +201,12 @@ def _sidecar_partition(batches: Iterator[pd.DataFrame], raw_root: str) -> Iterat
 
 
 def write_sidecars(docs: DataFrame, raw_root: str) -> DataFrame:
-    """Writes one sidecar file per data file (``filename``, ``sidecar`` JSON text), on executors.
+    """Writes one sidecar file per data file (``filename``, ``sidecar`` JSON text), on executors.
 
-    Returns one row per sidecar with the write error, if any.
+    A sidecar being replaced is first copied to
+    ``.history/<file>/<epoch-millis>-<uuid>.json``; the new document is
+    written beside it and moved into place. Returns one row per sidecar
+    with the write error, if any.
     """
     return (docs.select("filename", "sidecar").repartition("filename")
             .mapInPandas(lambda it: _sidecar_partition(it, raw_root), SIDECAR_WRITE_SCHEMA))

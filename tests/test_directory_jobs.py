@@ -155,3 +155,17 @@ def test_publish_files_refuses_parent_segments(spark, workdir):
     got = {r["key"]: r["outcome"] for r in retrieval.publish_files(m, "file://" + os.path.join(workdir, "t")).collect()}
     assert got == {"../escape.bin": "invalid_key", "a/../../escape.bin": "invalid_key", "a/ok..bin": "uploaded"}
     assert not os.path.exists(os.path.join(workdir, "escape.bin"))
+
+
+def test_sidecar_rewrite_keeps_history(spark, workdir):
+    raw = os.path.join(workdir, "raw")
+    os.makedirs(raw)
+    docs = spark.createDataFrame([("a.parquet", '{"v":1}')], "filename string, sidecar string")
+    assert retrieval.write_sidecars(docs, "file://" + raw).where("error IS NULL").count() == 1
+    newer = spark.createDataFrame([("a.parquet", '{"v":2}')], "filename string, sidecar string")
+    assert retrieval.write_sidecars(newer, "file://" + raw).where("error IS NULL").count() == 1
+    assert open(os.path.join(raw, "a.parquet" + retrieval.SIDECAR_SUFFIX)).read() == '{"v":2}'
+    kept = os.listdir(os.path.join(raw, retrieval.HISTORY_DIR, "a.parquet"))
+    assert len(kept) == 1 and kept[0].split("-")[0].isdigit()
+    assert open(os.path.join(raw, retrieval.HISTORY_DIR, "a.parquet", kept[0])).read() == '{"v":1}'
+    assert not [f for f in os.listdir(raw) if ".part-" in f]
