@@ -176,6 +176,21 @@ def publish_files(manifest_df: DataFrame, target_root: str) -> DataFrame:
 SIDECAR_WRITE_SCHEMA = "filename string, sidecar string, error string"
 
 
+def _write_sidecar(filesystem, root: str, name: str, doc: str) -> None:
+    """Replaces ``<name>.metadata.json``, keeping the previous document under ``.history``."""
+    from pyarrow import fs
+    path = f"{root}/{name}{SIDECAR_SUFFIX}"
+    if filesystem.get_file_info(path).type == fs.FileType.File:
+        # keep the previous document (even a malformed one) before replacing it
+        keep = f"{root}/{HISTORY_DIR}/{name}/{int(time.time() * 1000)}-{uuid.uuid4().hex}.json"
+        filesystem.create_dir(keep.rsplit("/", 1)[0], recursive=True)
+        filesystem.copy_file(path, keep)
+    part = f"{path}.part-{uuid.uuid4().hex}"
+    with filesystem.open_output_stream(part) as dst:
+        dst.write(doc.encode("utf-8"))
+    filesystem.move(part, path)
+
+
 def _sidecar_partition(batches: Iterator[pd.DataFrame], raw_root: str) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
     filesystem, base = fs.FileSystem.from_uri(raw_root)
@@ -184,16 +199,7 @@ def _sidecar_partition(batches: Iterator[pd.DataFrame], raw_root: str) -> Iterat
         for name, doc in pdf[["filename", "sidecar"]].itertuples(index=False):
             error = None
             try:
-                path = f"{base.rstrip('/')}/{name}{SIDECAR_SUFFIX}"
-                if filesystem.get_file_info(path).type == fs.FileType.File:
-                    # keep the previous document (even a malformed one) before replacing it
-                    keep = f"{base.rstrip('/')}/{HISTORY_DIR}/{name}/{int(time.time() * 1000)}-{uuid.uuid4().hex}.json"
-                    filesystem.create_dir(keep.rsplit("/", 1)[0], recursive=True)
-                    filesystem.copy_file(path, keep)
-                part = f"{path}.part-{uuid.uuid4().hex}"
-                with filesystem.open_output_stream(part) as dst:
-                    dst.write(doc.encode("utf-8"))
-                filesystem.move(part, path)
+                _write_sidecar(filesystem, base.rstrip("/"), name, doc)
             except Exception as exc:
                 error = f"{type(exc).__name__}: {exc}"
             out.append((name, doc, error))
@@ -210,3 +216,51 @@ def write_sidecars(docs: DataFrame, raw_root: str) -> DataFrame:
     """
     return (docs.select("filename", "sidecar").repartition("filename")
             .mapInPandas(lambda it: _sidecar_partition(it, raw_root), SIDECAR_WRITE_SCHEMA))
+
+
+PROMOTE_SCHEMA = "filename string, outcome string, error string"
+
+
+def _promote_partition(batches: Iterator[pd.DataFrame], raw_root: str) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
+    filesystem, base = fs.FileSystem.from_uri(raw_root)
+    root = base.rstrip("/")
+    for pdf in batches:
+        out = []
+        for name, source, size, sha, doc in pdf[["filename", "source", "bytes", "sha256", "sidecar"]] \
+                .itertuples(index=False):
+            final, marker = f"{root}/{name}", f"{root}/{name}{MARKER_SUFFIX}"
+            try:
+                with filesystem.open_output_stream(marker):
+                    pass                                   # 1. marker first
+                sfs, spath = fs.FileSystem.from_uri(source)
+                part, h, n = f"{final}.part-{uuid.uuid4().hex}", hashlib.sha256(), 0
+                with sfs.open_input_stream(spath) as src, filesystem.open_output_stream(part) as dst:
+                    while chunk := src.read(COPY_CHUNK):
+                        h.update(chunk)
+                        n += len(chunk)
+                        dst.write(chunk)
+                if (n, h.hexdigest()) != (size, sha):
+                    filesystem.delete_file(part)
+                    out.append((name, "source_changed", None))  # marker stays: fail closed
+                    continue
+                filesystem.move(part, final)               # 2. data
+                _write_sidecar(filesystem, root, name, doc)  # 3. metadata (history kept)
+                filesystem.delete_file(marker)             # 4. clear the marker
+                out.append((name, "promoted", None))
+            except Exception as exc:
+                out.append((name, "failed", f"{type(exc).__name__}: {exc}"))
+        yield pd.DataFrame(out, columns=["filename", "outcome", "error"])
+
+
+def promote_files(manifest_df: DataFrame, raw_root: str) -> DataFrame:
+    """Two-step promotion into a raw folder with a marker (B6), one file per work item.
+
+    ``manifest_df``: filename, source (URI), bytes, sha256, sidecar (JSON).
+    Order per file: write ``<file>.pending`` → copy and check the bytes →
+    move the data into place → write the sidecar (previous one kept) →
+    remove the marker. Whatever fails leaves the marker, so the pair is
+    reported 'pending' and never reused until it is refreshed.
+    """
+    work = manifest_df.select("filename", "source", "bytes", "sha256", "sidecar").repartition("filename")
+    return work.mapInPandas(lambda it: _promote_partition(it, raw_root), PROMOTE_SCHEMA)

@@ -169,3 +169,29 @@ def test_sidecar_rewrite_keeps_history(spark, workdir):
     assert len(kept) == 1 and kept[0].split("-")[0].isdigit()
     assert open(os.path.join(raw, retrieval.HISTORY_DIR, "a.parquet", kept[0])).read() == '{"v":1}'
     assert not [f for f in os.listdir(raw) if ".part-" in f]
+
+
+def test_promotion_with_marker_fails_closed(spark, workdir):
+    src_dir = os.path.join(workdir, "src")
+    os.makedirs(src_dir)
+    raw = os.path.join(workdir, "raw")
+    os.makedirs(raw)
+    rows = []
+    for m in ("2026-05", "2026-06"):
+        path = os.path.join(src_dir, _name(m))
+        pq.write_table(pa.table({"id": list(range(10))}), path)
+        data = open(path, "rb").read()
+        sha = hashlib.sha256(data).hexdigest()
+        doc = {"formatVersion": 1, "month": m, "filename": _name(m), "sourceUrl": _url(m), "finalUrl": _url(m),
+               "retrievedAt": "2026-05-01T00:00:00Z", "bytes": len(data), "sha256": sha,
+               "verification": {"verifiedAt": "2026-05-01T00:00:01Z", "parquetSchema": "", "rowCount": 10,
+                                "sparkSchema": {"type": "struct"}}}
+        rows.append((_name(m), "file://" + path, len(data), sha, json.dumps(doc)))
+    open(os.path.join(src_dir, _name("2026-06")), "ab").write(b"changed after acceptance")
+    manifest = spark.createDataFrame(rows, "filename string, source string, bytes long, sha256 string, sidecar string")
+    got = {r["filename"]: r["outcome"] for r in retrieval.promote_files(manifest, "file://" + raw).collect()}
+    assert got == {_name("2026-05"): "promoted", _name("2026-06"): "source_changed"}
+    requests = spark.createDataFrame([(_name(m), m, _url(m), False) for m in ("2026-05", "2026-06")],
+                                     "filename string, month string, source_url string, refresh boolean")
+    status = {r["filename"]: r["status"] for r in retrieval.reconcile_directory(spark, raw, requests, verify=True).collect()}
+    assert status == {_name("2026-05"): "accepted", _name("2026-06"): "pending"}
