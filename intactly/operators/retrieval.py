@@ -45,7 +45,8 @@ SIDES_SCHEMA = ("filename string, rec_bytes long, rec_sha256 string, rec_identit
 
 def _sidecars(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Recorded provenance per data file; an empty folder gives an empty table."""
-    if file_sources.inventory(spark, raw_dir, f"*{SIDECAR_SUFFIX}").isEmpty():
+    listed = file_sources.inventory(spark, raw_dir, f"*{SIDECAR_SUFFIX}").where(F.col("error").isNull())
+    if listed.isEmpty():
         return spark.createDataFrame([], SIDES_SCHEMA)
     side_files = sidecar.read_sidecars(spark, f"{raw_dir.rstrip('/')}/*{SIDECAR_SUFFIX}")
     return (side_files.withColumn("_name", F.element_at(F.split("path", "/"), -1))
@@ -225,6 +226,7 @@ def _promote_partition(batches: Iterator[pd.DataFrame], raw_root: str) -> Iterat
     from pyarrow import fs
     filesystem, base = fs.FileSystem.from_uri(raw_root)
     root = base.rstrip("/")
+    filesystem.create_dir(root, recursive=True)
     for pdf in batches:
         out = []
         for name, source, size, sha, doc in pdf[["filename", "source", "bytes", "sha256", "sidecar"]] \

@@ -97,22 +97,17 @@ SNAPSHOT_MONTH = "2026-05"
 
 
 def q27_retrieve_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Retrieve → record provenance → reconcile with full decode, over the table files (M1–M3).
+    """Promote → reconcile with full decode, over the table files.
 
-    The files are copied create-only into a raw folder, a version-1 sidecar
-    is written beside each (bytes, SHA-256, decoded row count), and the
-    folder is then reconciled with verification: every file must come back
-    accepted and reusable.
+    Each table file is promoted into a raw folder under a marker (copy with
+    digest check, then a version-1 sidecar recording bytes, SHA-256 and the
+    decoded row count, then the marker is cleared), and the folder is then
+    reconciled with verification: every file must come back accepted.
     """
     inv = file_sources.inventory(spark, sf_dir, "*.parquet")
     digests = file_sources.file_digests(inv)
     decoded = integrity.verify_files(inv).select("path", "decoded_rows")
     files = digests.join(decoded, "path").withColumn("filename", F.element_at(F.split("path", "/"), -1))
-    raw = scratch_path(spark, "q27-raw")
-    copied_path = scratch_path(spark, "q27-copied")
-    (retrieval.publish_files(files.select(F.col("filename").alias("key"), F.col("path").alias("source"),
-                                          "bytes", "sha256"), raw)
-     .write.parquet(copied_path))
     url = F.concat(F.lit(SOURCE_PREFIX), F.col("filename"))
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     doc = F.to_json(F.struct(
@@ -122,17 +117,17 @@ def q27_retrieve_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(stamp.alias("verifiedAt"), F.lit("").alias("parquetSchema"),
                  F.col("decoded_rows").alias("rowCount"),
                  F.struct(F.lit("struct").alias("type")).alias("sparkSchema")).alias("verification")))
-    # one-row gate over every write (all partitions run; only the count and one message return)
-    gate = (retrieval.write_sidecars(files.select("filename", doc.alias("sidecar")), raw)
-            .agg(F.count_if(F.col("error").isNotNull()).alias("failed"),
-                 F.first("error", ignorenulls=True).alias("error")).first())
-    if gate["failed"]:
-        raise OSError(f"{gate['failed']} sidecar writes failed, e.g. {gate['error']}")
+    raw = scratch_path(spark, "q27-raw")
+    promoted_path = scratch_path(spark, "q27-promoted")
+    # the promotion has side effects: its outcome is kept as a table, never recomputed
+    (retrieval.promote_files(files.select("filename", F.col("path").alias("source"), "bytes", "sha256",
+                                          doc.alias("sidecar")), raw)
+     .write.parquet(promoted_path))
     requests = files.select("filename", F.lit(SNAPSHOT_MONTH).alias("month"), url.alias("source_url"),
                             F.lit(False).alias("refresh"))
     status = retrieval.reconcile_directory(spark, raw, requests, verify=True)
-    copied = spark.read.parquet(copied_path).select(F.col("key").alias("filename"), F.col("outcome").alias("copy"))
-    return status.join(copied, "filename", "left").select("filename", "copy", "status", "action")
+    promoted = spark.read.parquet(promoted_path).select("filename", F.col("outcome").alias("promotion"))
+    return status.join(promoted, "filename", "left").select("filename", "promotion", "status", "action")
 
 
 QUERIES = {
