@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # Operator modules by their number.
-MODULES = ("packing", "tokens")
+MODULES = ("decontaminate", "urlrules", "packing", "tokens", "vectors")
 
 
 def _merged(what: str) -> dict:
