@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # Operator modules by their number.
-MODULES = ("decontaminate", "urlrules", "packing", "tokens", "vectors")
+MODULES = ("decontaminate", "urlrules", "quality", "packing", "toxicity", "tokens", "jaccard", "vectors")
 
 
 def _merged(what: str) -> dict:
