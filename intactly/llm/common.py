@@ -40,17 +40,21 @@ def utf8(text: str) -> bytes:
 
 
 class BoundedCache(dict):
-    """Memo of ``make(key)``. Emptied when ``limit`` entries are held, so memory stays bounded;
-    keys over ``longest`` characters are computed each time."""
+    """Memo of ``make(key)``. With ``limit`` entries it starts anew and keeps the full one as the older half, from
+    which keys still in use come back; so memory stays bounded and frequent keys are kept. Keys over ``longest``
+    characters are computed each time."""
 
     def __init__(self, make: Callable, limit: int = 500_000, longest: int = 64):
         super().__init__()
-        self.make, self.limit, self.longest = make, limit, longest
+        self.make, self.limit, self.longest, self.older = make, limit, longest, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= self.longest:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
