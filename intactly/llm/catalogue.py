@@ -5,7 +5,8 @@ from __future__ import annotations
 import importlib
 
 # Operator modules by their number.
-MODULES = ("decontaminate", "urlrules", "quality", "packing", "toxicity", "tokens", "jaccard", "vectors")
+MODULES = ("decontaminate", "lmscore", "urlrules", "quality", "packing", "toxicity", "tokens", "jaccard", "vectors",
+           "licences")
 
 
 def _merged(what: str) -> dict:
