@@ -19,7 +19,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intactly.llm.common import WORDS, map_texts, staged, table, utf8
+from intactly.llm.common import WORDS, filter_rows, map_texts, staged, table, utf8
 
 WIDTH = 10
 #: Patterns (with their items) in one broadcast block: about 100 MB of tables in a worker.
@@ -101,13 +101,16 @@ def patterns(items: DataFrame, width: int = WIDTH) -> DataFrame:
     return windows.select("item", F.explode("patterns").alias("pattern"))
 
 
+def _tables(rows: list) -> WuManber:
+    return WuManber((tuple(bytes(r["pattern"]).split(b" ")), r["item"]) for r in rows)
+
+
 _HITS = "n_words long, spans array<struct<first:long,after:long>>, items array<string>"
 
 
 def _searched(docs: DataFrame, rows: list, carry: tuple[str, ...]) -> DataFrame:
     """Each document with what one block of patterns finds in it."""
-    tables = docs.sparkSession.sparkContext.broadcast(
-        WuManber((tuple(bytes(r["pattern"]).split(b" ")), r["item"]) for r in rows))
+    tables = docs.sparkSession.sparkContext.broadcast(_tables(rows))
 
     def factory():
         searcher = tables.value
@@ -127,15 +130,37 @@ def _searched(docs: DataFrame, rows: list, carry: tuple[str, ...]) -> DataFrame:
     return map_texts(docs, _HITS, factory, carry=carry)
 
 
+def _blocks(items: DataFrame, width: int, block_patterns: int) -> tuple[DataFrame, int]:
+    """Patterns with the number of their block, and how many blocks there are."""
+    found = staged(patterns(items, width), "patterns")
+    blocks = max(1, -(-found.count() // block_patterns))
+    return found.withColumn("block", F.pmod(F.xxhash64("pattern", "item"), F.lit(blocks))), blocks
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH,
+                   block_patterns: int = BLOCK_PATTERNS) -> DataFrame:
+    """The rows of ``docs`` that no pattern occurs in, all columns."""
+    found, blocks = _blocks(items, width, block_patterns)
+    for b in range(blocks):
+        tables = docs.sparkSession.sparkContext.broadcast(_tables(found.where(F.col("block") == b).collect()))
+
+        def factory(tables=tables):
+            search = tables.value.search
+            return lambda batch: [not any(True for _ in search(words_of(t))) for t in batch.column("text").to_pylist()]
+
+        docs = filter_rows(docs, factory)
+        if b + 1 < blocks:
+            docs = staged(docs, "uncontaminated")
+    return docs
+
+
 def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH,
                   block_patterns: int = BLOCK_PATTERNS) -> DataFrame:
     """doc_id, n_words, spans (merged word ranges that are hit) and items (sorted ids) of every document row."""
-    found = staged(patterns(items, width), "patterns")
-    blocks = max(1, -(-found.count() // block_patterns))
+    dealt, blocks = _blocks(items, width, block_patterns)
     if blocks == 1:
-        return _searched(docs, found.collect(), ("doc_id",))
+        return _searched(docs, dealt.collect(), ("doc_id",))
     numbered = staged(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")), "numbered")
-    dealt = found.withColumn("block", F.pmod(F.xxhash64("pattern", "item"), F.lit(blocks)))
     parts = [staged(_searched(numbered, dealt.where(F.col("block") == b).collect(), ("row", "doc_id")), "searched")
              for b in range(blocks)]
     every = parts[0]
