@@ -53,7 +53,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
             found: Counter = Counter()
             for text in frame["text"]:
                 found.update(words_of(text))
-            yield pd.DataFrame({"word": list(found.keys()), "n": list(found.values())})
+            if found:
+                yield pd.DataFrame({"word": list(found.keys()), "n": list(found.values())})
 
     texts = docs.select(F.col("text").cast("string").alias("text")).where("length(text) > 0")
     return texts.mapInPandas(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))

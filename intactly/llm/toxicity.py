@@ -116,7 +116,8 @@ def lexicon_of(sample: DataFrame) -> dict[str, int]:
                 for text in frame["text"]:
                     here = {u for w in set(text.split()) for u in units(plain_word(_EDGES.sub("", w)))}
                     found.update(here if of is None else here & of)
-            yield pd.DataFrame({"unit": list(found.keys()), "n": list(found.values())})
+            if found:
+                yield pd.DataFrame({"unit": list(found.keys()), "n": list(found.values())})
 
         return texts.select("text").mapInPandas(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
