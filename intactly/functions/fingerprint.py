@@ -1,18 +1,16 @@
 """Row digests and order-insensitive table fingerprints.
 
-A fingerprint is ``(rows, Σ 48-bit prefix of SHA-256(canonical row))``.
-Summing (rather than XOR-ing) keeps it duplicate-sensitive, and because
-it is an ordinary aggregate Spark computes it with a partial (map-side)
-aggregate, so a hot group never has to be gathered in one task.
-
-The canonical text of a row only uses renderings every engine agrees on and
-that are cheap to produce: integers, strings, timestamps as epoch
-microseconds, and doubles as whole micro-units (``trunc(x · 10^6)``), never
-their raw text.
-
-The exact sum is kept in three 16-bit ``bigint`` partial sums (no overflow
-below 1.4·10^14 rows per group), combined into a ``decimal(38,0)`` once per
-group, so the per-row work stays in fast long arithmetic.
+A fingerprint is the row count and, for each of four 32-bit words, the sum of that word of SHA-256(canonical row) over
+all rows: 128 bits of each row's digest count. Summing (rather than XOR-ing) keeps it duplicate-sensitive, and because
+it is an ordinary aggregate Spark computes it with a partial (map-side) aggregate, so a hot group never has to be
+gathered in one task.
+
+The canonical text of a row has every value whole, led by its length in bytes, so no two rows of different values read
+the same; NULL has a mark of its own that no value can have. Doubles are their round-trip text, with one spelling for
+NaN, the infinities and both zeros; no legal value raises.
+
+The sums are kept in 16-bit halves (no overflow below 1.4e14 rows per group) and written as decimal text, words joined by
+a dash. ``added`` sums fingerprints of parts.
 """
 
 from __future__ import annotations
@@ -22,18 +20,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Canonical rendering.
-SEPARATOR = "\u001f"
-NULL_MARK = "\\N"
+NULL_MARK = "N"
 DATE_FORMAT = "yyyy-MM-dd"
-DOUBLE_SCALE = 6
-PREFIX_HEX_DIGITS = 12
-PIECE_BITS = 16
+WORDS = 4
+WORD_HEX_DIGITS = 8
+HALF_BITS = 16
+ZERO = "-".join(["0"] * WORDS)
+_SUM = "decimal(38,0)"
 
 
-def canonical(col: Column, dtype: T.DataType, double_scale: int = DOUBLE_SCALE) -> Column:
-    """Renders one value as text that is stable across engines."""
+def canonical(col: Column, dtype: T.DataType) -> Column:
+    """Renders one value as text that is stable across engines, led by its length; NULL as its mark."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        text = (col.cast("double") * F.lit(float(10 ** double_scale))).cast("bigint").cast("string")
+        text = F.when(col == 0, F.lit(0.0)).otherwise(col.cast("double")).cast("string")
     elif isinstance(dtype, T.TimestampNTZType):
         # wall-clock micros since the epoch, independent of the session time zone
         text = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
@@ -45,40 +44,38 @@ def canonical(col: Column, dtype: T.DataType, double_scale: int = DOUBLE_SCALE)
     elif isinstance(dtype, T.BinaryType):
         text = F.lower(F.hex(col))
     elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        text = F.to_json(col)
+        text = F.to_json(col, {"ignoreNullFields": "false"})
     else:
         text = col.cast("string")
-    return F.coalesce(text, F.lit(NULL_MARK))
+    return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit(NULL_MARK))
 
 
-def canonical_row(df: DataFrame, columns: list[str] | None = None,
-                  double_scale: int = DOUBLE_SCALE) -> Column:
+def canonical_row(df: DataFrame, columns: list[str] | None = None) -> Column:
     """Canonical text of the chosen columns (all by default), in column order."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     names = columns or list(fields)
-    return F.concat_ws(SEPARATOR, *[canonical(F.col(n), fields[n], double_scale) for n in names])
+    return F.concat(*[canonical(F.col(n), fields[n]) for n in names])
 
 
-def digest48(text: Column) -> Column:
-    """First 48 bits of SHA-256 of ``text`` as a non-negative bigint."""
-    return F.conv(F.substring(F.sha2(text, 256), 1, PREFIX_HEX_DIGITS), 16, 10).cast("bigint")
+def _joined(words: list[Column]) -> Column:
+    return F.concat_ws("-", *[F.coalesce(w, F.lit(0).cast(_SUM)).cast("string") for w in words])
 
 
-def sum48(digest: Column) -> Column:
-    """Exact Σ of 48-bit values as decimal(38,0), aggregated as three long partial sums."""
-    mask = (1 << PIECE_BITS) - 1
-    hi = F.shiftright(digest, 2 * PIECE_BITS)
-    mid = F.shiftright(digest, PIECE_BITS).bitwiseAND(F.lit(mask))
-    lo = digest.bitwiseAND(F.lit(mask))
-    dec = T.DecimalType(38, 0)
-    total = (F.coalesce(F.sum(hi), F.lit(0)).cast(dec) * F.lit(1 << (2 * PIECE_BITS)).cast(dec)
-             + F.coalesce(F.sum(mid), F.lit(0)).cast(dec) * F.lit(1 << PIECE_BITS).cast(dec)
-             + F.coalesce(F.sum(lo), F.lit(0)).cast(dec))
-    return total.cast(dec)
+def digest_sum(text: Column) -> Column:
+    """Aggregate: the sums of the first four words of SHA-256 of ``text``, as text."""
+    digest = F.sha2(text, 256)
+    sums = []
+    for k in range(WORDS):
+        word = F.conv(F.substring(digest, 1 + k * WORD_HEX_DIGITS, WORD_HEX_DIGITS), 16, 10).cast("bigint")
+        high, low = F.sum(F.shiftright(word, HALF_BITS)), F.sum(word.bitwiseAND(F.lit((1 << HALF_BITS) - 1)))
+        sums.append((high.cast(_SUM) * F.lit(1 << HALF_BITS).cast("decimal(6,0)") + low.cast(_SUM)).cast(_SUM))
+    return _joined(sums)
 
 
-def row_digest(df: DataFrame, columns: list[str] | None = None) -> Column:
-    return digest48(canonical_row(df, columns))
+def added(fingerprint: Column) -> Column:
+    """Aggregate: the fingerprint of the union of parts from their fingerprints."""
+    words = F.split(fingerprint, "-")
+    return _joined([F.sum(words[k].cast(_SUM)).cast(_SUM) for k in range(WORDS)])
 
 
 def fingerprint_aggs(df: DataFrame, columns: list[str] | None = None,
@@ -86,7 +83,7 @@ def fingerprint_aggs(df: DataFrame, columns: list[str] | None = None,
     """Aggregates ``rows`` and ``fingerprint`` for use inside ``agg``."""
     return [
         F.count(F.lit(1)).alias(f"{prefix}rows"),
-        sum48(row_digest(df, columns)).alias(f"{prefix}fingerprint"),
+        digest_sum(canonical_row(df, columns)).alias(f"{prefix}fingerprint"),
     ]
 
 

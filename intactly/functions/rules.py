@@ -170,7 +170,8 @@ def occurrences(c: Column, needle: str) -> Column:
 
 
 def iso_instant_ok(c: Column) -> Column:
-    return F.try_to_timestamp(c, F.lit(ISO_INSTANT_FORMAT)).isNotNull()
+    """UTC instants with whole seconds or a fraction of one to nine digits."""
+    return F.try_to_timestamp(F.regexp_replace(c, r"\.[0-9]{1,9}Z$", "Z"), F.lit(ISO_INSTANT_FORMAT)).isNotNull()
 
 
 def sha256_ok(c: Column) -> Column:

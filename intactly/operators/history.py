@@ -213,18 +213,18 @@ def first_writer(df: DataFrame, keys: Sequence[str], order: Sequence[str], write
                  digest: Column) -> DataFrame:
     """First writer wins per key; later writers are 'reused' when their bytes match, else 'conflict' (F4).
 
-    The winner per key is a ``min_by`` aggregate (partial, one row per key
+    The winner per key is a ``min`` aggregate (partial, one row per key
     per task); it is joined back on the key, and AQE splits a skewed key.
     """
     tagged = df.withColumn("_digest", digest)
-    rank_key = F.struct(*[F.col(c) for c in order])
-    winners = (tagged.groupBy(*keys)
-               .agg(F.min_by(F.struct(F.col(writer).alias("w"), F.col("_digest").alias("d")),
-                             rank_key).alias("_win")))
+    # Writer and digest settle equal order values, so the winner is one write, not one writer.
+    tagged = tagged.withColumn("_rank", F.struct(*[F.col(c) for c in order], F.col(writer).alias("_w"),
+                                                 F.col("_digest").alias("_d")))
+    winners = tagged.groupBy(*keys).agg(F.min("_rank").alias("_win"))
     return (_join_null_safe(tagged, winners, list(keys), "inner")
-            .withColumn("winner", F.col("_win.w"))
+            .withColumn("winner", F.col("_win._w"))
             .withColumn("write_status",
-                        F.when(F.col(writer) == F.col("_win.w"), F.lit("created"))
-                        .when(F.col("_digest") == F.col("_win.d"), F.lit("reused"))
+                        F.when(F.col("_rank").eqNullSafe(F.col("_win")), F.lit("created"))
+                        .when(F.col("_digest") == F.col("_win._d"), F.lit("reused"))
                         .otherwise(F.lit("conflict")))
-            .drop("_win", "_digest"))
+            .drop("_win", "_rank", "_digest"))

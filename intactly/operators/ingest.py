@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intactly.functions.rules import Rule
+from intactly.functions import fingerprint as fp
 from intactly.operators import harmonise, validate, zone
 
 
@@ -67,4 +68,4 @@ def branch_totals(spark: SparkSession, root: str) -> DataFrame:
     """Rows and fingerprint of a committed zone from its latest commit rows (read-back stats)."""
     heads = zone.committed(spark, root)
     return heads.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"),
-                     F.coalesce(F.sum("fingerprint"), F.lit(0)).cast("decimal(38,0)").alias("fingerprint"))
+                     fp.added(F.col("fingerprint")).alias("fingerprint"))

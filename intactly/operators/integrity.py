@@ -50,11 +50,14 @@ def _decode_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
                 try:
                     filesystem, inner = fs.FileSystem.from_uri(path)
                     with filesystem.open_input_file(inner) as handle:
-                        table = pq.ParquetFile(handle).read_row_group(int(rg))
-                        # Touch every buffer so lazily decoded pages are decoded too.
-                        table.validate(full=True)
-                        decoded = table.num_rows
+                        opened = pq.ParquetFile(handle)
+                        decoded = 0
+                        for batch in opened.iter_batches(row_groups=[] if pd.isna(rg) else [int(rg)]):
+                            # Touch every buffer so lazily decoded pages are decoded too.
+                            batch.validate(full=True)
+                            decoded += batch.num_rows
                 except Exception as exc:
+                    decoded = None
                     error = f"{type(exc).__name__}: {exc}"
             out.append((path, rg, footer_rows, decoded, error))
         yield pd.DataFrame(out, columns=["path", "row_group", "footer_rows",
@@ -63,7 +66,7 @@ def _decode_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
 
 def verify_row_groups(files: DataFrame) -> DataFrame:
     """Decodes every row group of every file; one result row per row group."""
-    work = file_sources.row_groups(files).repartition("path", "row_group")
+    work = file_sources.spread(file_sources.row_groups(files), "path", "row_group")
     return work.mapInPandas(_decode_partition, DECODE_SCHEMA)
 
 
@@ -77,7 +80,7 @@ def verify_files(files: DataFrame) -> DataFrame:
         F.min("error").alias("error"),
     )
     status = (F.when(F.col("error").isNotNull(), F.lit(STATUS_UNREADABLE))
-              .when(~F.col("footer_rows").eqNullSafe(F.col("decoded_rows")),
+              .when(~F.coalesce(F.col("footer_rows") == F.col("decoded_rows"), F.lit(False)),
                     F.lit(STATUS_COUNT_MISMATCH))
               .otherwise(F.lit(STATUS_OK)))
     return (files.select("path", "filename", F.col("length").alias("bytes"))

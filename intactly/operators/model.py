@@ -62,12 +62,15 @@ def baseline_rmse(df: DataFrame, y: Column, x: Column | None = None) -> DataFram
 
 
 def pipeline(numeric: Sequence[str], categorical: Sequence[str], label: str, kind: str) -> Pipeline:
-    """Feature pipeline + regressor ('linear' or 'gbt') (L1, L4)."""
+    """Feature pipeline + regressor ('linear' or 'gbt') (L1, L4).
+
+    A row with a null or NaN feature raises: no row leaves training or evaluation unseen.
+    """
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical],
                         outputCols=[f"{c}_vec" for c in categorical], handleInvalid="keep")
     vec = VectorAssembler(inputCols=[*numeric, *[f"{c}_vec" for c in categorical]],
-                          outputCol="features", handleInvalid="skip")
+                          outputCol="features", handleInvalid="error")
     if kind == "linear":
         reg = LinearRegression(featuresCol="features", labelCol=label, regParam=0.0)
     elif kind == "gbt":

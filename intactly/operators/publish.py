@@ -145,7 +145,7 @@ def receipt_entries(objects: DataFrame, verification: Column | None = None) -> D
 def receipt_header(entries: DataFrame, group: list[str]) -> DataFrame:
     """Per receipt: objects, bytes, and an order-insensitive digest of the entries."""
     aggs = [F.count(F.lit(1)).alias("objects"), F.sum("bytes").alias("bytes"),
-            fp.sum48(fp.digest48(F.col("entry"))).alias("entries_digest")]
+            fp.digest_sum(F.col("entry")).alias("entries_digest")]
     return entries.groupBy(*group).agg(*aggs) if group else entries.agg(*aggs)
 
 

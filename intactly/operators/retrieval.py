@@ -45,7 +45,7 @@ SIDES_SCHEMA = ("filename string, rec_bytes long, rec_sha256 string, rec_identit
 
 def _sidecars(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Recorded provenance per data file; an empty folder gives an empty table."""
-    listed = file_sources.inventory(spark, raw_dir, f"*{SIDECAR_SUFFIX}").where(F.col("error").isNull())
+    listed = file_sources.existing_inventory(spark, raw_dir, f"*{SIDECAR_SUFFIX}")
     if listed.isEmpty():
         return spark.createDataFrame([], SIDES_SCHEMA)
     side_files = sidecar.read_sidecars(spark, f"{raw_dir.rstrip('/')}/*{SIDECAR_SUFFIX}")
@@ -67,12 +67,12 @@ def reconcile_directory(spark: SparkSession, raw_dir: str, requests: DataFrame,
     recorded; an unreadable file never verifies.
     """
     wanted_names = requests.select("filename").distinct()
-    inv = file_sources.inventory(spark, raw_dir, data_glob).join(wanted_names, "filename", "left_semi")
+    inv = file_sources.existing_inventory(spark, raw_dir, data_glob).join(wanted_names, "filename", "left_semi")
     digests = file_sources.file_digests(inv)  # only requested files are read
     data = (digests.withColumn("filename", F.element_at(F.split("path", "/"), -1))
             .select("filename", "bytes", "sha256"))
     sides = _sidecars(spark, raw_dir)
-    markers = (file_sources.inventory(spark, raw_dir, f"*{MARKER_SUFFIX}")
+    markers = (file_sources.existing_inventory(spark, raw_dir, f"*{MARKER_SUFFIX}")
                .select(_strip("filename", MARKER_SUFFIX).alias("filename")))
     wanted = requests.select("filename", "refresh",
                              F.concat_ws("|", "month", "filename", "source_url").alias("identity"))
@@ -166,7 +166,7 @@ def publish_files(manifest_df: DataFrame, target_root: str) -> DataFrame:
     cols = ["key", "source", "target", "bytes", "sha256"]
     work = manifest_df.withColumn(
         "target", F.concat(F.lit(target_root.rstrip("/") + "/"), F.col("key"))).withColumn("_ok", key_ok)
-    copied = (work.where("_ok").select(*cols).repartition("key")
+    copied = (file_sources.spread(work.where("_ok").select(*cols), "key")
               .mapInPandas(_copy_partition, COPY_SCHEMA))
     # Invalid keys are reported, never dropped and never written.
     rejected = work.where("NOT _ok").select(*cols, F.lit("invalid_key").alias("outcome"),
@@ -215,7 +215,7 @@ def write_sidecars(docs: DataFrame, raw_root: str) -> DataFrame:
     written beside it and moved into place. Returns one row per sidecar
     with the write error, if any.
     """
-    return (docs.select("filename", "sidecar").repartition("filename")
+    return (file_sources.spread(docs.select("filename", "sidecar"), "filename")
             .mapInPandas(lambda it: _sidecar_partition(it, raw_root), SIDECAR_WRITE_SCHEMA))
 
 
@@ -264,5 +264,5 @@ def promote_files(manifest_df: DataFrame, raw_root: str) -> DataFrame:
     remove the marker. Whatever fails leaves the marker, so the pair is
     reported 'pending' and never reused until it is refreshed.
     """
-    work = manifest_df.select("filename", "source", "bytes", "sha256", "sidecar").repartition("filename")
+    work = file_sources.spread(manifest_df.select("filename", "source", "bytes", "sha256", "sidecar"), "filename")
     return work.mapInPandas(lambda it: _promote_partition(it, raw_root), PROMOTE_SCHEMA)

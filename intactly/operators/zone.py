@@ -24,7 +24,7 @@ from pyspark.sql.utils import AnalysisException
 from intactly.functions import fingerprint as fp
 from intactly.operators import history
 
-COMMIT_SCHEMA = ("month string, batch string, rows bigint, fingerprint decimal(38,0), "
+COMMIT_SCHEMA = ("month string, batch string, rows bigint, fingerprint string, "
                  "committed_at timestamp")
 
 
@@ -57,17 +57,16 @@ def write_batch(spark: SparkSession, df: DataFrame, root: str,
     staged = _balanced(df.withColumn("batch", F.lit(batch)), ["month"])
     staged.write.mode("append").partitionBy("month", "batch").parquet(f"{root}/data")
     cols = fingerprint_cols or [c for c in df.columns if c != "month"]
-    dec = "decimal(38,0)"
     try:
         written = spark.read.parquet(f"{root}/data").where(F.col("batch") == batch)
         stats = written.groupBy("month").agg(*fp.fingerprint_aggs(written, cols))
     except AnalysisException:  # nothing has ever been written under this root
-        stats = spark.createDataFrame([], f"month string, rows bigint, fingerprint {dec}")
+        stats = spark.createDataFrame([], f"month string, rows bigint, fingerprint string")
     if months is not None:
         m = months.select(F.col("month").alias("_m")).distinct()
         stats = (m.join(stats, m["_m"].eqNullSafe(stats["month"]), "left")
                  .select(F.col("_m").alias("month"), F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"),
-                         F.coalesce("fingerprint", F.lit(0).cast(dec)).alias("fingerprint")))
+                         F.coalesce("fingerprint", F.lit(fp.ZERO)).alias("fingerprint")))
     (stats.withColumn("batch", F.lit(batch)).withColumn("committed_at", F.current_timestamp())
      .select("month", "batch", "rows", "fingerprint", "committed_at")
      .write.mode("append").parquet(f"{root}/_commits"))

@@ -34,6 +34,8 @@ def q01_decode_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     on the map side and shuffle one row per (task, month).
     """
     li = read_table(spark, sf_dir, "lineitem")
+    # Money as exact decimals: their text is the same in every engine.
+    li = li.withColumns({c: F.col(c).cast("decimal(18,2)") for c, kind in LINEITEM_COLS if kind == "dec"})
     return li.groupBy(month_of("l_shipdate").alias("month")).agg(*fp.fingerprint_aggs(li))
 
 
@@ -90,7 +92,7 @@ def q09_decode_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     Nothing is pruned and no footer count is used: each job materialises
     every column of every row; only the per-table totals reach the driver.
     """
-    counts = [(name, integrity.decoded_row_count(read_table(spark, sf_dir, name, spread=False)))
+    counts = [(name, integrity.decoded_row_count(read_table(spark, sf_dir, name)))
               for name in TABLES]
     return spark.createDataFrame(counts, "table_name string, decoded_rows bigint")
 
@@ -109,32 +111,26 @@ QUERIES = {
 }
 
 # Oracle SQL helpers: the canonical row text of fingerprint.py, in DuckDB.
-_SEP = "chr(31)"
-_NULL = "'\\N'"
-
-
 def _canon(expr: str, kind: str) -> str:
-    if kind == "double":
-        text = f"CAST(CAST(trunc({expr} * 1000000.0) AS BIGINT) AS VARCHAR)"
-    elif kind == "ts":
-        text = f"CAST(epoch_us({expr}) AS VARCHAR)"
-    else:
-        text = f"CAST({expr} AS VARCHAR)"
-    return f"coalesce({text}, {_NULL})"
+    text = {"dec": f"CAST(CAST({expr} AS DECIMAL(18,2)) AS VARCHAR)", "ts": f"CAST(epoch_us({expr}) AS VARCHAR)"}.get(
+        kind, f"CAST({expr} AS VARCHAR)")
+    return f"coalesce(CAST(strlen({text}) AS VARCHAR) || ':' || {text}, 'N')"
 
 
 def canon_row_sql(cols: list[tuple[str, str]]) -> str:
-    return f"concat_ws({_SEP}, " + ", ".join(_canon(c, k) for c, k in cols) + ")"
+    return " || ".join(_canon(c, k) for c, k in cols)
 
 
-def digest_sql(text: str) -> str:
-    return f"CAST(('0x' || substr(sha256({text}), 1, 12)) AS BIGINT)"
+def fingerprint_sql(text: str) -> str:
+    """Sums of the first four 32-bit words of the digest, joined by a dash."""
+    words = [f"coalesce(sum(CAST('0x' || substr(sha256({text}), {1 + 8 * k}, 8) AS BIGINT)), 0)" for k in range(4)]
+    return " || '-' || ".join(f"CAST({w} AS VARCHAR)" for w in words)
 
 
 LINEITEM_COLS = [
     ("l_orderkey", "int"), ("l_partkey", "int"), ("l_suppkey", "int"), ("l_linenumber", "int"),
-    ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"),
-    ("l_tax", "double"), ("l_returnflag", "str"), ("l_linestatus", "str"), ("l_shipdate", "ts"),
+    ("l_quantity", "dec"), ("l_extendedprice", "dec"), ("l_discount", "dec"),
+    ("l_tax", "dec"), ("l_returnflag", "str"), ("l_linestatus", "str"), ("l_shipdate", "ts"),
 ]
 DOCUMENT_COLS = [("doc_id", "int"), ("text", "str"), ("lang", "str"), ("source", "str"),
                  ("n_chars", "int")]
@@ -147,11 +143,11 @@ SQL = {
         FROM lineitem""",
     "q01_decode_rowcount": f"""
         SELECT strftime(l_shipdate, '%Y-%m') AS month, count(*) AS rows,
-               CAST(sum({digest_sql(canon_row_sql(LINEITEM_COLS))}) AS DECIMAL(38,0)) AS fingerprint
+               {fingerprint_sql(canon_row_sql(LINEITEM_COLS))} AS fingerprint
         FROM lineitem GROUP BY 1""",
     "q02_fingerprint": f"""
         SELECT source, count(*) AS rows,
-               CAST(sum({digest_sql(canon_row_sql(DOCUMENT_COLS))}) AS DECIMAL(38,0)) AS fingerprint
+               {fingerprint_sql(canon_row_sql(DOCUMENT_COLS))} AS fingerprint
         FROM documents GROUP BY 1""",
     "q07_lookup_profile": """
         SELECT count(*) AS rows, count(DISTINCT n_nationkey) AS distinct_keys,

@@ -57,7 +57,7 @@ def q63_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _data(spark, sf_dir)
     path = scratch_path(spark, "q63-linear")
     model.fit_save(model.pipeline(NUMERIC, CATEGORICAL, LABEL, "linear"), data.where("is_train"), path)
-    return model.score(path, data.where("NOT is_train"), input_checks(), ["l_orderkey", "l_linenumber"])
+    return model.score(path, data, input_checks(), ["l_orderkey", "l_linenumber"])
 
 
 QUERIES = {

@@ -75,6 +75,26 @@ def checked_inventory(spark: SparkSession, root: str | list[str], glob: str = "*
     return inv.drop("error")
 
 
+def existing_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """``inventory`` of a folder that may not exist yet: then it is empty. Any other failure to list raises."""
+    inv = inventory(spark, root, glob)
+    bad = inv.where(F.col("error").isNotNull() & ~F.col("error").startswith("FileNotFoundError")).select(
+        "path", "error").limit(1).collect()
+    if bad:
+        raise OSError(f"cannot list {bad[0]['path']}: {bad[0]['error']}")
+    return inv.where(F.col("error").isNull()).drop("error")
+
+
+def spread(work: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
+    """Deals work items over ``tasks`` tasks (by default the session's shuffle partitions).
+
+    The number is explicit because work items are tiny rows that stand for large files: adaptive execution would merge
+    them into one task otherwise.
+    """
+    n = tasks or int(work.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return work.repartition(n, *keys)
+
+
 def _open(path: str):
     from pyarrow import fs
     filesystem, inner = fs.FileSystem.from_uri(path)
@@ -110,9 +130,7 @@ def file_digests(files: DataFrame, parallelism: int | None = None) -> DataFrame:
     The work list is hash-partitioned so files spread over all executors;
     each task streams its files in fixed-size chunks.
     """
-    work = files.select("path")
-    work = work.repartition(parallelism, "path") if parallelism else work.repartition("path")
-    return work.mapInPandas(_digest_partition, DIGEST_SCHEMA)
+    return spread(files.select("path"), "path", tasks=parallelism).mapInPandas(_digest_partition, DIGEST_SCHEMA)
 
 
 def _footer_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,6 +142,8 @@ def _footer_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
                 filesystem, inner = _open(path)
                 with filesystem.open_input_file(inner) as handle:
                     meta = pq.ParquetFile(handle).metadata
+                    if not meta.num_row_groups:  # a file without rows is a fact, too
+                        out.append((path, None, None, None, 0, 0, 0, None))
                     for rg in range(meta.num_row_groups):
                         group = meta.row_group(rg)
                         for c in range(group.num_columns):
@@ -140,7 +160,7 @@ def _footer_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
 
 def footers(files: DataFrame) -> DataFrame:
     """Parquet footer facts without decoding data: one row per file × row group × column."""
-    return files.select("path").repartition("path").mapInPandas(_footer_partition, FOOTER_SCHEMA)
+    return spread(files.select("path"), "path").mapInPandas(_footer_partition, FOOTER_SCHEMA)
 
 
 def row_groups(files: DataFrame) -> DataFrame:

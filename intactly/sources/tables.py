@@ -30,20 +30,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Strict scan of one table (A1/A2: the URI may name any Hadoop file system).
-
-    A table stored as fewer splits than the cluster has cores (a few files of
-    one row group each) would run every per-row step in those few tasks; it
-    is spread round-robin over the default parallelism first. Large inputs
-    already scan as many splits and are never repartitioned. ``spread=False``
-    keeps the scan as it is (a pure decode gains nothing from a shuffle).
-    """
-    df = strict_reader(spark).parquet(table_path(sf_dir, name))
-    if not spread:
-        return df
-    target = spark.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Strict scan of one table (A1/A2: the URI may name any Hadoop file system); never shuffled here."""
+    return strict_reader(spark).parquet(table_path(sf_dir, name))
 
 
 def month_of(ts_col: str) -> F.Column:

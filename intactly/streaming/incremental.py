@@ -19,9 +19,13 @@ from intactly.functions.rules import Rule
 from intactly.operators import validate, zone
 
 
+#: Files in one micro-batch, at most, unless the caller asks for another number; all files are read either way.
+MAX_FILES = 64
+
+
 def ingest_available(spark: SparkSession, landing: str, schema: StructType, checkpoint: str,
                      zone_root: str, rejects_root: str, checks: Sequence[Rule],
-                     prepare: Callable[[DataFrame], DataFrame]) -> int:
+                     prepare: Callable[[DataFrame], DataFrame], max_files: int = MAX_FILES) -> int:
     """Runs one availableNow pass; returns the number of micro-batches processed."""
     seen: list[int] = []
 
@@ -34,7 +38,7 @@ def ingest_available(spark: SparkSession, landing: str, schema: StructType, chec
             valid.unpersist()
         seen.append(epoch_id)
 
-    query = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(landing)
+    query = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
              .writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
