@@ -192,6 +192,20 @@ def _write_sidecar(filesystem, root: str, name: str, doc: str) -> None:
     filesystem.move(part, path)
 
 
+def _checked_name(name: str) -> None:
+    """Refuses a name that is empty or could leave its root."""
+    if not name or name.startswith("/") or any(part in ("", ".", "..") for part in name.split("/")):
+        raise ValueError(f"not a file name under the root: {name!r}")
+
+
+def _drop(filesystem, path: str) -> None:
+    """Removes a part file if it is there."""
+    try:
+        filesystem.delete_file(path)
+    except OSError:
+        pass
+
+
 def _sidecar_partition(batches: Iterator[pd.DataFrame], raw_root: str) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
     filesystem, base = fs.FileSystem.from_uri(raw_root)
@@ -200,6 +214,7 @@ def _sidecar_partition(batches: Iterator[pd.DataFrame], raw_root: str) -> Iterat
         for name, doc in pdf[["filename", "sidecar"]].itertuples(index=False):
             error = None
             try:
+                _checked_name(name)
                 _write_sidecar(filesystem, base.rstrip("/"), name, doc)
             except Exception as exc:
                 error = f"{type(exc).__name__}: {exc}"
@@ -232,11 +247,11 @@ def _promote_partition(batches: Iterator[pd.DataFrame], raw_root: str) -> Iterat
         for name, source, size, sha, doc in pdf[["filename", "source", "bytes", "sha256", "sidecar"]] \
                 .itertuples(index=False):
             final, marker = f"{root}/{name}", f"{root}/{name}{MARKER_SUFFIX}"
+            part = f"{final}.part-{uuid.uuid4().hex}"
             try:
-                with filesystem.open_output_stream(marker):
-                    pass                                   # 1. marker first
+                _checked_name(name)
                 sfs, spath = fs.FileSystem.from_uri(source)
-                part, h, n = f"{final}.part-{uuid.uuid4().hex}", hashlib.sha256(), 0
+                h, n = hashlib.sha256(), 0                 # 1. a checked copy beside the accepted pair
                 with sfs.open_input_stream(spath) as src, filesystem.open_output_stream(part) as dst:
                     while chunk := src.read(COPY_CHUNK):
                         h.update(chunk)
@@ -244,13 +259,16 @@ def _promote_partition(batches: Iterator[pd.DataFrame], raw_root: str) -> Iterat
                         dst.write(chunk)
                 if (n, h.hexdigest()) != (size, sha):
                     filesystem.delete_file(part)
-                    out.append((name, "source_changed", None))  # marker stays: fail closed
+                    out.append((name, "source_changed", None))  # the accepted pair is untouched
                     continue
-                filesystem.move(part, final)               # 2. data
-                _write_sidecar(filesystem, root, name, doc)  # 3. metadata (history kept)
-                filesystem.delete_file(marker)             # 4. clear the marker
+                with filesystem.open_output_stream(marker):
+                    pass                                   # 2. the marker guards the two moves
+                filesystem.move(part, final)               # 3. data
+                _write_sidecar(filesystem, root, name, doc)  # 4. metadata (history kept)
+                filesystem.delete_file(marker)             # 5. clear the marker
                 out.append((name, "promoted", None))
             except Exception as exc:
+                _drop(filesystem, part)
                 out.append((name, "failed", f"{type(exc).__name__}: {exc}"))
         yield pd.DataFrame(out, columns=["filename", "outcome", "error"])
 
@@ -259,10 +277,12 @@ def promote_files(manifest_df: DataFrame, raw_root: str) -> DataFrame:
     """Two-step promotion into a raw folder with a marker (B6), one file per work item.
 
     ``manifest_df``: filename, source (URI), bytes, sha256, sidecar (JSON).
-    Order per file: write ``<file>.pending`` → copy and check the bytes →
-    move the data into place → write the sidecar (previous one kept) →
-    remove the marker. Whatever fails leaves the marker, so the pair is
-    reported 'pending' and never reused until it is refreshed.
+    Order per file: copy and check the bytes beside the accepted pair →
+    write ``<file>.pending`` → move the data into place → write the sidecar
+    (previous one kept) → remove the marker. A bad source leaves the accepted
+    pair as it is; a failure between the two moves leaves the marker, so the
+    pair is reported 'pending' and never reused until it is refreshed. Names
+    that could leave the root are refused.
     """
     work = file_sources.spread(manifest_df.select("filename", "source", "bytes", "sha256", "sidecar"), "filename")
     return work.mapInPandas(lambda it: _promote_partition(it, raw_root), PROMOTE_SCHEMA)

@@ -113,16 +113,18 @@ def read_committed(spark: SparkSession, root: str, months: list[str] | None = No
 
 
 def write_epoch(spark: SparkSession, df: DataFrame, root: str, epoch_id: int,
-                fingerprint_cols: list[str] | None = None) -> None:
-    """Idempotent write of one stream micro-batch as batch ``e<epoch>``.
+                fingerprint_cols: list[str] | None = None, stream: str = "") -> None:
+    """Idempotent write of one stream micro-batch as batch ``e<epoch>`` of the stream named ``stream``.
 
-    A replayed epoch (after a failure) replaces only its own ``batch=e<epoch>``
+    ``stream`` tells the epochs of different streams (or of one begun anew) apart: each counts from 0.
+
+    A replayed epoch (after a failure) replaces only its own ``batch=e<epoch>...``
     folders through dynamic partition overwrite, then commits again; readers
     de-duplicate commit rows, so a replay never doubles data.
     """
     if df.isEmpty():  # an empty micro-batch branch writes and commits nothing
         return
-    batch = f"e{epoch_id:012d}"
+    batch = f"e{epoch_id:012d}{stream}"
     staged = _balanced(df.withColumn("batch", F.lit(batch)), ["month"])
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month", "batch").parquet(f"{root}/data"))

@@ -44,7 +44,7 @@ def q70_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     li.where(split).write.mode("append").parquet(landing)
     run()
-    li.where(~split).write.mode("append").parquet(landing)
+    li.where(~F.coalesce(split, F.lit(False))).write.mode("append").parquet(landing)
     run()
     if run() != 0:
         raise RuntimeError("a run with no new files must not deliver a batch")

@@ -59,7 +59,7 @@ def _months(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     split = F.col("l_shipdate") < F.lit(SPLIT_AT).cast("timestamp_ntz")
     early = li.where(split).select("l_orderkey", "l_linenumber", "l_quantity",
                                    F.col("l_tax").alias("L_TAX"), "month")
-    late = li.where(~split).select("l_orderkey", F.col("l_linenumber").cast("bigint"),
+    late = li.where(~F.coalesce(split, F.lit(False))).select("l_orderkey", F.col("l_linenumber").cast("bigint"),
                                    "l_quantity", "l_tax", "month",
                                    F.col("l_linestatus").alias("request_source"))
     return early, late

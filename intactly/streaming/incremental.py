@@ -9,6 +9,7 @@ replayed epoch overwrites its own output instead of duplicating it.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -30,10 +31,12 @@ def ingest_available(spark: SparkSession, landing: str, schema: StructType, chec
     seen: list[int] = []
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        # The stream's own id: a new checkpoint counts epochs from 0 again.
+        stream = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
         valid = validate.with_reasons(prepare(batch), checks).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            zone.write_epoch(spark, validate.accepted(valid), zone_root, epoch_id)
-            zone.write_epoch(spark, validate.rejected(valid), rejects_root, epoch_id)
+            zone.write_epoch(spark, validate.accepted(valid), zone_root, epoch_id, stream=stream)
+            zone.write_epoch(spark, validate.rejected(valid), rejects_root, epoch_id, stream=stream)
         finally:
             valid.unpersist()
         seen.append(epoch_id)

@@ -194,4 +194,4 @@ def test_promotion_with_marker_fails_closed(spark, workdir):
     requests = spark.createDataFrame([(_name(m), m, _url(m), False) for m in ("2026-05", "2026-06")],
                                      "filename string, month string, source_url string, refresh boolean")
     status = {r["filename"]: r["status"] for r in retrieval.reconcile_directory(spark, raw, requests, verify=True).collect()}
-    assert status == {_name("2026-05"): "accepted", _name("2026-06"): "pending"}
+    assert status == {_name("2026-05"): "accepted", _name("2026-06"): "absent"}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from intactly.functions import fingerprint as fp
 from intactly.functions import rules
-from intactly.operators import history, integrity, retrieval
+from intactly.operators import history, integrity, retrieval, zone
 from intactly.sources import files
 
 
@@ -77,3 +78,29 @@ def test_file_work_goes_to_as_many_tasks_as_asked_for(spark):
     tasks = files.spread(work, "path", tasks=40).select(F.spark_partition_id().alias("p")).distinct().count()
     assert tasks == 40
     assert files.file_digests(work, parallelism=40).rdd.getNumPartitions() == 40
+
+
+def test_a_bad_refresh_keeps_the_accepted_pair_and_names_stay_in_the_root(spark, workdir):
+    root, source = os.path.join(workdir, "raw"), os.path.join(workdir, "new")
+    os.makedirs(root)
+    for path, body in ((f"{root}/a", b"old"), (source, b"new")):
+        with open(path, "wb") as f:
+            f.write(body)
+    rows = [("a", source, 3, "0" * 64, "{}"), ("../esc", source, 3, hashlib.sha256(b"new").hexdigest(), "{}"),
+            ("b", source + "-absent", 3, "0" * 64, "{}")]
+    df = spark.createDataFrame(rows, "filename string, source string, bytes long, sha256 string, sidecar string")
+    got = {r.filename: r.outcome for r in retrieval.promote_files(df, "file://" + root).collect()}
+    assert got == {"a": "source_changed", "../esc": "failed", "b": "failed"}
+    assert sorted(os.listdir(root)) == ["a"] and sorted(os.listdir(workdir)) == ["new", "raw"]
+    with open(f"{root}/a", "rb") as f:
+        assert f.read() == b"old"
+    docs = df.select("filename", "sidecar").where("filename LIKE '../%'")
+    assert retrieval.write_sidecars(docs, "file://" + root).first().error
+
+
+def test_epochs_of_two_streams_do_not_replace_each_other(spark, workdir):
+    df = spark.createDataFrame([(1, "2026-05")], "x long, month string")
+    for stream in ("s1", "s2"):
+        zone.write_epoch(spark, df, workdir, 0, stream=stream)
+    zone.write_epoch(spark, df, workdir, 0, stream="s2")
+    assert zone.read_all_committed(spark, workdir).count() == 2
