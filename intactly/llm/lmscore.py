@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intactly.llm.common import LOWER, BoundedCache, map_texts, table, utf8
+from intactly.llm.common import LOWER, BoundedCache, map_texts, staged, table, utf8
 
 CLASSES, MEMBERS = 32, 32
 VOCABULARY = CLASSES * MEMBERS
@@ -195,7 +195,7 @@ def _fitted(docs: DataFrame, frequent: list[bytes], start: np.ndarray) -> np.nda
 
 def train(docs: DataFrame, rounds: tuple[int, ...] = ROUNDS) -> tuple[list[bytes], np.ndarray]:
     """Frequent words and parameters, learned from every document."""
-    counts = word_counts(docs)
+    counts = staged(word_counts(docs), "words")
     most = VOCABULARY - ENDINGS - 1
     top = counts.orderBy(F.desc("n"), "word").limit(most).collect()
     frequent = [bytes(r["word"]) for r in top]
