@@ -83,12 +83,14 @@ def apply_strict(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at storage every executor can reach.
-    Only when it is unset (local runs, tests) is a fresh local folder created
-    and recorded in the session.
+    On a cluster the setting must point at storage every executor can reach;
+    without it this raises. In local mode a fresh local folder is created and
+    recorded in the session instead.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to storage that every executor shares")
         configured = tempfile.mkdtemp(prefix="intactly-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
