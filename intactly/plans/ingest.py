@@ -13,7 +13,7 @@ from intactly.functions.rules import Rule
 from intactly.operators import harmonise, validate, zone
 from intactly.operators import ingest as ingest_job
 from intactly.session import scratch_path
-from intactly.sources.tables import month_of, read_table, trips
+from intactly.sources.tables import month_of, read_months, read_table, trips
 
 # Code dictionaries (order status P is deliberately unmapped).
 RETURN_FLAGS = {"A": "accepted", "N": "none", "R": "returned"}
@@ -23,6 +23,7 @@ ORDER_STATUSES = {"F": "final", "O": "open"}
 # The month split of q30/q31 and the month re-run by q37.
 SPLIT_AT = "1998-01-01 00:00:00"
 RERUN_MONTH = "1996-01"
+SCANNED_MONTHS = ("1995-03", "1996-01")
 
 
 def trip_rules() -> list[Rule]:
@@ -144,6 +145,21 @@ def _trip_months(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return t.where(split), t.where(~split)
 
 
+def q39_month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of chosen months from a month-partitioned zone; other months' folders are not opened (A10)."""
+    root = scratch_path(spark, "q39-months")
+    zone.write_months(cleaned(validated(spark, sf_dir)), root)
+    return (read_months(spark, root, SCANNED_MONTHS).groupBy("month")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("revenue").cast("decimal(38,4)").alias("revenue")))
+
+
+def q39_cleaned_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The committed zone read back through its contract, for chosen months."""
+    root = scratch_path(spark, "q39-zone")
+    zone.write_batch(spark, cleaned(validated(spark, sf_dir)), root)
+    return ingest_job.read_cleaned(spark, root, "month string, l_orderkey bigint, l_linenumber bigint", SCANNED_MONTHS)
+
+
 QUERIES = {
     "q30_harmonised_union": q30_harmonised_union,
     "q31_schema_drift": q31_schema_drift,
@@ -154,6 +170,8 @@ QUERIES = {
     "q36_orphans": q36_orphans,
     "q37_rerun_idempotent": q37_rerun_idempotent,
     "q38_branch_parity": q38_branch_parity,
+    "q39_month_scan": q39_month_scan,
+    "q39_cleaned_reader": q39_cleaned_reader,
 }
 
 TRIPS_SQL = "(SELECT *, strftime(l_shipdate, '%Y-%m') AS month FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)"
@@ -242,3 +260,10 @@ def _fp_sql() -> str:
 
 SQL["q38_branch_parity"] = (f"SELECT 'cleaned_zone' AS branch, {_fp_sql()} FROM {ACCEPTED_SQL} "
                             f"UNION ALL SELECT 'warehouse', {_fp_sql()} FROM {ACCEPTED_SQL}")
+
+SQL["q39_month_scan"] = f"""
+SELECT month, count(*) AS rows, CAST(sum(revenue) AS DECIMAL(38,4)) AS revenue FROM {ACCEPTED_SQL}
+WHERE month IN {SCANNED_MONTHS} GROUP BY month"""
+SQL["q39_cleaned_reader"] = f"""
+SELECT month, CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber
+FROM {ACCEPTED_SQL} WHERE month IN {SCANNED_MONTHS}"""

@@ -57,6 +57,12 @@ def q04_file_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "bytes", "sha256", "error"))
 
 
+def q05_verified_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded rows and status of every table's file, by the isolating path (K2, M1)."""
+    checked = integrity.verify_files(file_sources.inventory(spark, sf_dir, "*.parquet"))
+    return checked.select("filename", "decoded_rows", "status")
+
+
 def q05_verify_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     inv = file_sources.inventory(spark, sf_dir, "*.parquet")
     return (integrity.verify_files(inv)
@@ -104,6 +110,7 @@ QUERIES = {
     "q03_inventory": q03_inventory,
     "q04_file_digest": q04_file_digest,
     "q05_verify_files": q05_verify_files,
+    "q05_verified_counts": q05_verified_counts,
     "q06_footers": q06_footers,
     "q07_lookup_profile": q07_lookup_profile,
     "q08_null_profile": q08_null_profile,
@@ -169,3 +176,6 @@ SQL["q08_null_profile"] = "WITH j AS (SELECT d.*, l.quality, l.toxic FROM docume
 
 SQL["q09_decode_tables"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, count(*) AS decoded_rows FROM {t}" for t in TABLES)
+
+SQL["q05_verified_counts"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}.parquet' AS filename, count(*) AS decoded_rows, 'verified' AS status FROM {t}" for t in TABLES)
