@@ -2,7 +2,7 @@
 
 Layout of a raw folder (as written by the retrieval step)::
 
-    <file>                    data file, e.g. yellow_tripdata_2026-05.parquet
+    <file>                    data file, e.g. rides_2026-05.parquet
     <file>.metadata.json      provenance sidecar, format version 1
     <file>.pending            marker left by an unfinished promotion
 

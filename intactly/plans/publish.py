@@ -77,7 +77,7 @@ def q26_publish_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     inv = file_sources.inventory(spark, sf_dir, "*.parquet")
     manifest = (file_sources.file_digests(inv)
-                .select(F.concat(F.lit("nyc_raw/"), F.element_at(F.split("path", "/"), -1)).alias("key"),
+                .select(F.concat(F.lit("inbox/"), F.element_at(F.split("path", "/"), -1)).alias("key"),
                         F.col("path").alias("source"), "bytes", "sha256"))
     bucket = scratch_path(spark, "q26-bucket")
     # Each run's outcomes are written as a table in the shared folder: the copy

@@ -16,7 +16,7 @@ MONTHS = ["2026-01", "2026-02", "2026-03", "2026-04", "2026-05", "2026-06", "202
 
 
 def _name(m):
-    return f"yellow_tripdata_{m}.parquet"
+    return f"rides_{m}.parquet"
 
 
 def _url(m):
@@ -67,7 +67,7 @@ def test_reconcile_directory_verifies_decoded_rows(spark, workdir):
     open(p + retrieval.SIDECAR_SUFFIX, "w").write(json.dumps(doc))
     requests = spark.createDataFrame([(_name(m), m, _url(m), False) for m in ("2026-01", "2026-09")],
                                      "filename string, month string, source_url string, refresh boolean")
-    got = {r["filename"][16:23]: r["status"]
+    got = {r["filename"][6:13]: r["status"]
            for r in retrieval.reconcile_directory(spark, raw, requests, verify=True).collect()}
     assert got == {"2026-01": "verification_mismatch", "2026-09": "accepted"}
 
@@ -87,7 +87,7 @@ def test_reconcile_directory_damage_matrix(spark, workdir):
     _raw_folder(raw)
     requests = spark.createDataFrame([(_name(m), m, _url(m), False) for m in MONTHS],
                                      "filename string, month string, source_url string, refresh boolean")
-    got = {r["filename"][16:23]: (r["status"], r["action"])
+    got = {r["filename"][6:13]: (r["status"], r["action"])
            for r in retrieval.reconcile_directory(spark, raw, requests).collect()}
     assert got == {
         "2026-01": ("accepted", "reused"),
@@ -116,7 +116,7 @@ def test_publish_files_create_only(spark, workdir):
     for m in MONTHS[:3]:
         path = os.path.join(src, _name(m))
         pq.write_table(pa.table({"id": list(range(100)), "m": [m] * 100}), path)
-        paths.append((f"nyc_raw/yellow/{_name(m)}", path))
+        paths.append((f"inbox/rides/{_name(m)}", path))
     target = os.path.join(workdir, "bucket")
     manifest = _file_manifest(spark, paths)
 
@@ -124,10 +124,10 @@ def test_publish_files_create_only(spark, workdir):
     assert set(first.values()) == {"uploaded"}
     again = {r["key"]: r["outcome"] for r in retrieval.publish_files(manifest, "file://" + target).collect()}
     assert set(again.values()) == {"reused"}
-    assert not [f for f in os.listdir(os.path.join(target, "nyc_raw/yellow")) if ".part-" in f]
+    assert not [f for f in os.listdir(os.path.join(target, "inbox/rides")) if ".part-" in f]
 
     # same size, different bytes already stored → conflict, never overwritten
-    stored = os.path.join(target, "nyc_raw/yellow", _name(MONTHS[0]))
+    stored = os.path.join(target, "inbox/rides", _name(MONTHS[0]))
     original = open(stored, "rb").read()
     open(stored, "wb").write(bytes(b ^ 1 for b in original))
     got = {r["key"]: r["outcome"] for r in retrieval.publish_files(manifest, "file://" + target).collect()}
@@ -137,11 +137,11 @@ def test_publish_files_create_only(spark, workdir):
     # the source changed after it was accepted → nothing committed
     changed = os.path.join(src, "changed.parquet")
     shutil.copy(paths[1][1], changed)
-    m2 = _file_manifest(spark, [("nyc_raw/yellow/changed.parquet", changed)])
+    m2 = _file_manifest(spark, [("inbox/rides/changed.parquet", changed)])
     open(changed, "ab").write(b"tail")
     got = retrieval.publish_files(m2, "file://" + target).first()
     assert got["outcome"] == "source_changed"
-    assert not os.path.exists(os.path.join(target, "nyc_raw/yellow/changed.parquet"))
+    assert not os.path.exists(os.path.join(target, "inbox/rides/changed.parquet"))
 
     # invalid keys are reported, not dropped
     bad = _file_manifest(spark, [("/absolute/key", paths[2][1]), ("s3a://b/k", paths[2][1])])

@@ -31,16 +31,16 @@ def test_month_selection_rejections(spark):
 
 
 def test_storage_keys(spark):
-    got = _first(spark, ["", "/nyc_raw/a", "s3a://nyc-taxi/a", "nyc_raw/yellow/2026-05.parquet"],
+    got = _first(spark, ["", "/inbox/a", "s3a://ride-data/a", "inbox/rides/2026-05.parquet"],
                  rules.storage_key_rules)
-    assert got == {"": "empty_key", "/nyc_raw/a": "absolute_key", "s3a://nyc-taxi/a": "uri_key",
-                   "nyc_raw/yellow/2026-05.parquet": None}
+    assert got == {"": "empty_key", "/inbox/a": "absolute_key", "s3a://ride-data/a": "uri_key",
+                   "inbox/rides/2026-05.parquet": None}
 
 
 def test_bucket_names(spark):
-    got = _first(spark, ["nyc-taxi", "Bad_Bucket", "ab", "a..b", "a.-b", "192.168.0.1", "my.bucket-1"],
+    got = _first(spark, ["ride-data", "Bad_Bucket", "ab", "a..b", "a.-b", "192.168.0.1", "my.bucket-1"],
                  rules.bucket_rules)
-    assert got == {"nyc-taxi": None, "Bad_Bucket": "bucket_charset", "ab": "bucket_charset",
+    assert got == {"ride-data": None, "Bad_Bucket": "bucket_charset", "ab": "bucket_charset",
                    "a..b": "bucket_double_dot", "a.-b": "bucket_dot_dash",
                    "192.168.0.1": "bucket_ip_address", "my.bucket-1": None}
 
@@ -159,7 +159,7 @@ def test_lookup_csv_keeps_literal_na_and_fails_fast(spark, workdir):
     from intactly.sources import lookup
     good = os.path.join(workdir, "zones.csv")
     open(good, "w").write("LocationID,Borough,Zone,service_zone\n1,EWR,Newark Airport,EWR\n"
-                          "264,Unknown,N/A,N/A\n265,N/A,Outside of NYC,N/A\n")
+                          "264,Unknown,N/A,N/A\n265,N/A,Outside the city,N/A\n")
     rows = {r["LocationID"]: r for r in lookup.read_lookup_csv(spark, good).collect()}
     assert rows[264]["Zone"] == "N/A" and rows[265]["Borough"] == "N/A"
     bad = os.path.join(workdir, "bad.csv")
