@@ -1,12 +1,16 @@
 """Document scores by masked pseudo-likelihood of a bidirectional window network.
 
 Words (lower-case A-Z, cut at white space) get ids: the most frequent words of the whole corpus one each, all others one
-by their last two bytes. A network with one hidden layer predicts each word from the WINDOW words on both sides; its
-output is a class and then a member of the class. A document's score is the sum of the log probabilities of its words.
+by their last bytes; there are more ids of both kinds the more distinct words the corpus has. A network with one hidden
+layer predicts each word's id from the WINDOW words on both sides; its output is a class and then a member of the class.
+A word that shares its id has the id's probability times its own share of the id's count, from the counts of all words
+(one is added to the id's count for words that the corpus lacks). A document's score is the sum of the log probabilities
+of its words. The shares come by a join of the documents' words with the counts, both dealt by word.
 
 All documents train the network, each once. They are dealt into rounds by a hash of their text; in a round, every task
 starts from the same parameters, takes Adagrad steps over its own documents in numpy, and returns its parameters; Spark
-averages them by words read. What reaches the driver in a round is one set of parameters of a fixed size.
+averages them by words read. What reaches the driver in a round is one set of parameters, whose size grows with the
+root of the number of distinct words.
 
 Null and empty texts have no words: log_prob 0 and no mean. Repeated rows get a row each and train as often. Without any
 words all parameters keep their start.
@@ -14,6 +18,7 @@ words all parameters keep their start.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -25,10 +30,10 @@ from pyspark.sql import functions as F
 
 from intactly.llm.common import LOWER, BoundedCache, map_texts, staged, table, utf8
 
-CLASSES, MEMBERS = 32, 32
-VOCABULARY = CLASSES * MEMBERS
-#: Ids of words by their ending; id 0 stands for places outside the text.
-ENDINGS = 256
+#: Classes, and members of each; the least of both, and their growth with the fourth root of the distinct words.
+LEAST_SIDE, SIDE_GROWTH = 32, 1.25
+#: The least number of ids. A quarter of the ids are for words by their ending; id 0 stands for places outside the text.
+VOCABULARY = LEAST_SIDE ** 2
 WINDOW = 2
 WIDTH = 16
 STEP_WORDS = 8192
@@ -37,8 +42,24 @@ RATE = 0.15
 ROUNDS = (1, 4, 11)
 CACHE_ENTRIES = 400_000
 
-_SHAPES = {"embed": (2 * WINDOW, VOCABULARY, WIDTH), "hidden": (WIDTH,), "to_class": (WIDTH, CLASSES),
-           "class_bias": (CLASSES,), "to_member": (CLASSES, WIDTH, MEMBERS), "member_bias": (CLASSES, MEMBERS)}
+#: Words' shares are summed as whole numbers of this fraction of 1, in any order.
+PARTS = 1e9
+
+
+def side_of(distinct: int) -> int:
+    """Classes (and members of each) for a corpus of so many distinct words."""
+    return max(LEAST_SIDE, math.ceil(SIDE_GROWTH * distinct ** 0.25))
+
+
+def endings_of(side: int) -> tuple[int, int]:
+    """Ids of words by their ending, and the bytes of an ending."""
+    n = side * side // 4
+    return n, 2 if n <= 1024 else 3
+
+
+def _shapes(side: int) -> dict[str, tuple[int, ...]]:
+    return {"embed": (2 * WINDOW, side * side, WIDTH), "hidden": (WIDTH,), "to_class": (WIDTH, side),
+            "class_bias": (side,), "to_member": (side, WIDTH, side), "member_bias": (side, side)}
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -63,15 +84,24 @@ def word_counts(docs: DataFrame) -> DataFrame:
 class Ids:
     """Ids of words: frequent ones their own, others by their ending."""
 
-    def __init__(self, frequent: list[bytes]):
+    def __init__(self, frequent: list[bytes], side: int = LEAST_SIDE):
         own = {w: 1 + i for i, w in enumerate(frequent)}
-        first = VOCABULARY - ENDINGS
-        self.of = BoundedCache(lambda w: own.get(w) or first + zlib.crc32(w[-2:]) % ENDINGS, CACHE_ENTRIES)
+        endings, ending = endings_of(side)
+        self.first = first = side * side - endings
+        self.of = BoundedCache(lambda w: own.get(w) or first + zlib.crc32(w[-ending:]) % endings, CACHE_ENTRIES)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = words_of(text)
+        return self._ids(words_of(text))
+
+    def _ids(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.of.__getitem__, words), np.int64, len(words))
 
+    def with_rare(self, text: str | None) -> tuple[np.ndarray, Counter]:
+        """Ids, and how often the text has each word that shares its id."""
+        words = words_of(text)
+        ids = self._ids(words)
+        return ids, Counter([words[i] for i in np.flatnonzero(ids >= self.first)])
+
 
 def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Each word of the texts and, in rows, the ids on both sides of it (0 outside its text)."""
@@ -92,24 +122,29 @@ class Network:
     def start(cls, counts: np.ndarray, seed: int = 7) -> Network:
         """Small random weights, and biases such that the network begins as the frequencies ``counts`` by id."""
         rng = np.random.default_rng(seed)
-        p = {k: (0.1 * rng.standard_normal(shape)).astype(np.float32) for k, shape in _SHAPES.items()}
-        share = (counts + 0.5).reshape(CLASSES, MEMBERS)
+        side = math.isqrt(len(counts))
+        p = {k: (0.1 * rng.standard_normal(shape)).astype(np.float32) for k, shape in _shapes(side).items()}
+        share = (counts + 0.5).reshape(side, side)
         p["class_bias"] = np.log(share.sum(axis=1) / share.sum()).astype(np.float32)
         p["member_bias"] = np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32)
         p["hidden"] = np.zeros(WIDTH, np.float32)
         return cls(p)
 
     @classmethod
-    def of(cls, flat: np.ndarray) -> Network:
+    def of(cls, flat: np.ndarray, side: int) -> Network:
         p, at = {}, 0
-        for k, shape in _SHAPES.items():
+        for k, shape in _shapes(side).items():
             n = int(np.prod(shape))
             p[k] = flat[at:at + n].reshape(shape).astype(np.float32)
             at += n
         return cls(p)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.p[k].ravel() for k in _SHAPES])
+        return np.concatenate([x.ravel() for x in self.p.values()])
+
+    @property
+    def side(self) -> int:
+        return len(self.p["class_bias"])
 
     def _hidden(self, around: np.ndarray) -> np.ndarray:
         total = self.p["hidden"] + self.p["embed"][0][around[0]]
@@ -121,10 +156,10 @@ class Network:
         """Log probability of each word given the words around it."""
         out = np.empty(len(words), np.float32)
         h = self._hidden(around)
-        kind, member = np.divmod(words, MEMBERS)
+        kind, member = np.divmod(words, self.side)
         z = _log_softmax(h @ self.p["to_class"] + self.p["class_bias"])
         out[:] = z[np.arange(len(words)), kind]
-        for c, rows in _by_class(kind):
+        for c, rows in _by_class(kind, self.side):
             z = _log_softmax(h[rows] @ self.p["to_member"][c] + self.p["member_bias"][c])
             out[rows] += z[np.arange(len(rows)), member[rows]]
         return out
@@ -133,13 +168,13 @@ class Network:
         """Of the mean log probability."""
         n = np.float32(len(words))
         h = self._hidden(around)
-        kind, member = np.divmod(words, MEMBERS)
-        g = {k: np.zeros(shape, np.float32) for k, shape in _SHAPES.items()}
+        kind, member = np.divmod(words, self.side)
+        g = {k: np.zeros(x.shape, np.float32) for k, x in self.p.items()}
         d = -np.exp(_log_softmax(h @ self.p["to_class"] + self.p["class_bias"]))
         d[np.arange(len(words)), kind] += 1
         g["to_class"], g["class_bias"] = h.T @ d / n, d.sum(axis=0) / n
         dh = d @ self.p["to_class"].T
-        for c, rows in _by_class(kind):
+        for c, rows in _by_class(kind, self.side):
             hc = h[rows]
             d = -np.exp(_log_softmax(hc @ self.p["to_member"][c] + self.p["member_bias"][c]))
             d[np.arange(len(rows)), member[rows]] += 1
@@ -149,7 +184,7 @@ class Network:
         g["hidden"] = dh.sum(axis=0)
         for k in range(len(around)):
             for j in range(WIDTH):
-                g["embed"][k][:, j] = np.bincount(around[k], dh[:, j], VOCABULARY)
+                g["embed"][k][:, j] = np.bincount(around[k], dh[:, j], self.side ** 2)
         return g
 
 
@@ -159,22 +194,22 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def _by_class(kind: np.ndarray):
-    order = np.argsort(kind.astype(np.uint8), kind="stable")
-    ends = np.cumsum(np.bincount(kind, minlength=CLASSES))
+def _by_class(kind: np.ndarray, classes: int):
+    order = np.argsort(kind.astype(np.uint8 if classes <= 256 else np.uint16), kind="stable")
+    ends = np.cumsum(np.bincount(kind, minlength=classes))
     for c, end in enumerate(ends):
         if rows := end - (ends[c - 1] if c else 0):
             yield c, order[end - rows:end]
 
 
-def _fitted(docs: DataFrame, frequent: list[bytes], start: np.ndarray) -> np.ndarray:
+def _fitted(docs: DataFrame, frequent: list[bytes], start: np.ndarray, side: int) -> np.ndarray:
     """Parameters after one round: the tasks' own, averaged by words read."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent, start))
 
     def run(frames):
         frequent, start = shared.value
-        ids, net = Ids(frequent), Network.of(start)
-        squares = {k: np.full(shape, 1e-6, np.float32) for k, shape in _SHAPES.items()}
+        ids, net = Ids(frequent, side), Network.of(start, side)
+        squares = {k: np.full(x.shape, 1e-6, np.float32) for k, x in net.p.items()}
         read = 0
         for frame in frames:
             words, around = windows([ids(t) for t in frame["text"]])
@@ -193,51 +228,76 @@ def _fitted(docs: DataFrame, frequent: list[bytes], start: np.ndarray) -> np.nda
     return got["x"].to_numpy(np.float32) if len(got) else start
 
 
-def train(docs: DataFrame, rounds: tuple[int, ...] = ROUNDS) -> tuple[list[bytes], np.ndarray]:
-    """Frequent words and parameters, learned from every document."""
+@dataclass
+class Model:
+    """Words with ids of their own, parameters, the corpus' count of each id, and the counts of all words."""
+
+    frequent: list[bytes]
+    flat: np.ndarray
+    by_id: np.ndarray
+    counts: DataFrame
+
+
+def train(docs: DataFrame, rounds: tuple[int, ...] = ROUNDS) -> Model:
+    """Learned from every document."""
     counts = staged(word_counts(docs), "words")
-    most = VOCABULARY - ENDINGS - 1
-    top = counts.orderBy(F.desc("n"), "word").limit(most).collect()
+    side = side_of(counts.count())
+    endings, ending = endings_of(side)
+    first = side * side - endings
+    top = counts.orderBy(F.desc("n"), "word").limit(first - 1).collect()
     frequent = [bytes(r["word"]) for r in top]
-    ending = F.crc32(F.substring("word", -2, 2)) % ENDINGS
-    rare = counts.groupBy(ending.alias("e")).agg(F.sum("n").alias("n")).collect()
-    by_id = np.zeros(VOCABULARY)
+    bucket = F.crc32(F.substring("word", -ending, ending)) % endings
+    rare = counts.groupBy(bucket.alias("e")).agg(F.sum("n").alias("n")).collect()
+    by_id = np.zeros(side * side)
     by_id[1:1 + len(top)] = [r["n"] for r in top]
-    by_id[VOCABULARY - ENDINGS + np.array([r["e"] for r in rare], np.int64)] = [r["n"] for r in rare]
+    by_id[first + np.array([r["e"] for r in rare], np.int64)] = [r["n"] for r in rare]
     for r in top:  # the endings' sums hold the frequent words, too
-        by_id[VOCABULARY - ENDINGS + zlib.crc32(bytes(r["word"])[-2:]) % ENDINGS] -= r["n"]
+        by_id[first + zlib.crc32(bytes(r["word"])[-ending:]) % endings] -= r["n"]
     now = Network.start(by_id).flat()
     texts = docs.select(F.col("text").cast("string").alias("text")).where("length(text) > 0")
     turn = F.pmod(F.xxhash64("text"), F.lit(sum(rounds)))
-    first = 0
+    at = 0
     for share in rounds:
-        now = _fitted(texts.where((turn >= first) & (turn < first + share)), frequent, now)
-        first += share
-    return frequent, now
+        now = _fitted(texts.where((turn >= at) & (turn < at + share)), frequent, now, side)
+        at += share
+    return Model(frequent, now, by_id, counts)
 
 
-def scores(docs: DataFrame, model: tuple[list[bytes], np.ndarray]) -> DataFrame:
+def scores(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_words, log_prob and mean_log_prob of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.frequent, model.flat, model.by_id))
 
     def factory():
-        frequent, flat = shared.value
-        ids, net = Ids(frequent), Network.of(flat)
+        frequent, flat, by_id = shared.value
+        side = math.isqrt(len(by_id))
+        ids, net = Ids(frequent, side), Network.of(flat, side)
+        of_id = np.where(np.arange(len(by_id)) < ids.first, 0.0, -np.log(by_id + 1))
 
         def fn(texts):
-            found = [ids(t) for t in texts]
+            found, rare = zip(*map(ids.with_rare, texts), strict=True)
             n = np.array([len(f) for f in found], np.int64)
             words, around = windows(found)
-            each = [net.log_p(words[a:a + STEP_WORDS], around[:, a:a + STEP_WORDS])
+            each = [net.log_p(words[a:a + STEP_WORDS], around[:, a:a + STEP_WORDS]) + of_id[words[a:a + STEP_WORDS]]
                     for a in range(0, len(words), STEP_WORDS)]
             sums = np.concatenate([[0.0], np.cumsum(np.concatenate(each or [np.empty(0)]), dtype=np.float64)])
             ends = np.cumsum(n)
-            log_prob = np.round(sums[ends] - sums[ends - n], 6)
-            return n, log_prob, [float(p / k) if k else None for p, k in zip(log_prob, n, strict=True)]
+            return n, sums[ends] - sums[ends - n], [list(c) for c in rare], [list(c.values()) for c in rare]
 
         return fn
 
-    return map_texts(docs, "n_words long, log_prob double, mean_log_prob double", factory)
+    # Rows are numbered, as ids may be null or repeated.
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    based = staged(map_texts(rows, "n_words long, base double, rare array<binary>, times array<long>", factory,
+                             carry=("doc_id", "row")), "bases")
+    # A word counted once adds log 1 to its id's part, and so does one that the corpus lacks.
+    weights = model.counts.where("n > 1").select("word", F.round(F.log("n") * PARTS).cast("long").alias("weight"))
+    own = (based.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
+           .select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+           .join(weights, "word").groupBy("row").agg(F.sum(F.col("times") * F.col("weight")).alias("own")))
+    log_prob = F.round(F.col("base") + F.coalesce("own", F.lit(0)) / PARTS, 6)
+    return (based.select("doc_id", "row", "n_words", "base").join(own, "row", "left")
+            .select("doc_id", "n_words", log_prob.alias("log_prob"))
+            .withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))))
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,3 +50,23 @@ def test_training_helps_on_held_out_text_and_edges(spark):
     assert abs(got[1].log_prob - got[1].mean_log_prob * got[1].n_words) < 1e-6
     assert lmscore.scores(held.limit(0), model).count() == 0
     assert lmscore.scores(held, lmscore.train(df.limit(0))).count() == 4
+
+
+def test_words_that_share_an_id_have_their_own_probabilities(spark):
+    common = " ".join(f"w{i}" for i in range(lmscore.VOCABULARY))
+    df = documents(spark, [(i, common) for i in range(6)] + [(9, "zzxq zzxq zzxq zzxq yyxq")])
+    held = documents(spark, [(1, "zzxq"), (2, "yyxq"), (2, "yyxq"), (3, "invented-xq"), (None, "zzxq zzxq"), (5, "w5")])
+    got = lmscore.scores(held, lmscore.train(df, rounds=())).collect()
+    of = {r.doc_id: r.log_prob for r in got}
+    assert len(got) == 6 and [r.n_words for r in got if r.doc_id is None] == [2]
+    assert abs(of[1] - of[2] - np.log(4)) < 1e-5
+    assert of[3] == of[2] < of[1]
+
+
+def test_ids_grow_with_the_distinct_words():
+    sides = [lmscore.side_of(10 ** k) for k in range(10)]
+    assert sides[0] == lmscore.LEAST_SIDE and sides == sorted(sides) and sides[9] > sides[7] > sides[6] > sides[0]
+    net = lmscore.Network.start(np.ones(sides[6] ** 2))
+    words = np.array([1, sides[6] ** 2 - 1])
+    same = lmscore.Network.of(net.flat(), sides[6])
+    assert np.array_equal(net.log_p(words, np.ones((4, 2), int)), same.log_p(words, np.ones((4, 2), int)))
