@@ -20,6 +20,28 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_BSD_START = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+              "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+              "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+              "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+              "other materials provided with the distribution. ")
+_BSD_NAMES = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+              "products derived from this software without specific prior written permission. ")
+_BSD_END = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+            "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+            "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+            "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+            "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+            "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+            "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+            "DAMAGE.")
+_ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.")
+_ISC_END = (" THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING "
+            "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+            "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+            "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
+            "USE OR PERFORMANCE OF THIS SOFTWARE.")
 # Common notices of public licences (licence, text).
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -28,17 +50,32 @@ TEMPLATES = (
                    "http://www.apache.org/licenses/LICENSE-2.0"),
     ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("BSD-2-Clause", _BSD_START + _BSD_END),
+    ("BSD-3-Clause", _BSD_START + _BSD_NAMES + _BSD_END),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights "
                 "to this work."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2 of the License, or "
+                "(at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
                 "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
                 "(at your option) any later version."),
+    ("ISC", _ISC),
+    ("ISC", _ISC + _ISC_END),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation; either version 2.1 of the License, "
+                 "or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation; either version 3 of the License, or "
+                 "(at your option) any later version."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -77,6 +114,7 @@ def licence_scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESH
     known = sorted({g for _, grams, _ in tables for g in grams})
     listed = F.array(*[F.struct(
         F.lit(name).alias("licence"), F.lit(n).alias("n"), F.lit(low).alias("low"), F.lit(high).alias("high"),
+        F.array(*[F.lit(g) for g in sorted(grams)]).alias("distinct"),
         F.array(*[F.struct(F.lit(g).alias("gram"), F.lit(k).alias("k")) for g, k in sorted(grams.items())]).alias("grams"))
         for (name, grams, n), (low, high) in zip(tables, bounds, strict=True)])
     least, most = min(low for low, _ in bounds), max(high for _, high in bounds)
@@ -93,8 +131,14 @@ def licence_scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESH
             g["k"], F.size(F.filter(u["grams"], lambda x: x == g["gram"]))))
         return 2.0 * shared / (t["n"] + F.size(u["grams"]))
 
+    def reachable(u: Column, t: Column) -> Column:
+        """Whether enough of the template's bigrams are there, as each that is missing takes one repeat or more."""
+        most = t["n"] - F.size(t["distinct"]) + F.size(F.array_intersect(u["grams"], t["distinct"]))
+        return 2.0 * most / (t["n"] + F.size(u["grams"])) >= threshold
+
     matches = F.flatten(F.transform(near, lambda u: F.transform(
-        F.filter(listed, lambda t: F.size(u["grams"]).between(t["low"], t["high"])),
+        F.filter(listed, lambda t: F.when(F.size(u["grams"]).between(t["low"], t["high"]), reachable(u, t))
+                 .otherwise(False)),
         lambda t: F.struct(dice(u, t).alias("dice"), t["licence"].alias("licence"),
                            F.array_join(u["words"], " ").alias("unit")))))
     best_first = F.array_sort(

@@ -57,3 +57,16 @@ def test_size_bounds_are_exact():
 def test_no_python_in_the_plan(spark):
     plan = licences.op10_licence_scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange|Cartesian|NestedLoop", plan)
+
+
+def test_full_texts_and_standard_notices(spark):
+    text = {name: max((t for k, t in licences.TEMPLATES if k == name), key=len) for name, _ in licences.TEMPLATES}
+    gpl = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+           "License as published by the Free Software Foundation; either version {} of the License, or (at your option) any "
+           "later version.")
+    rows = [(1, text["BSD-2-Clause"]), (2, text["BSD-3-Clause"].replace("COPYRIGHT HOLDER", "AUTHOR")), (3, text["ISC"]),
+            (4, gpl.format(2)), (5, gpl.format(3)), (6, text["LGPL-2.1"]), (7, text["CC-BY-SA-4.0"])]
+    assert all("Redistribution and use" in t for _, t in rows[:2])
+    got = {r.doc_id: r.matches for r in licences.licence_scan(documents(spark, rows)).collect()}
+    assert [got[i][0].licence for i in range(1, 8)] == [
+        "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "CC-BY-SA-4.0"]
