@@ -35,6 +35,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of the UTF-8 bytes of a text expression, bit by bit from the polynomial."""
+    octets = f"[CAST('0x' || hex(encode({text}))[2 * i + 1:2 * i + 2] AS BIGINT) FOR i IN range(strlen({text}))]"
+    bit = "lambda r, k: xor(r >> 1, CASE WHEN r & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    return (f"xor(list_reduce({octets}, lambda c, b: list_reduce(range(8), {bit}, xor(c, b)), 4294967295), 4294967295)")
+
+
 def utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
