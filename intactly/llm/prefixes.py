@@ -13,11 +13,10 @@ conversation is the smallest of the node's members; along a sequence, its own no
 a node are, for each sequence through it, what the sequence's tail adds to the node's subtree.
 
 Turns are ordered by turn (null first), then role and text, so ties have one result; repeated rows are turns each. Null
-roles and texts are empty; an empty text is a turn like others. Rows without a conversation id take no part; the remainder of
-a negative id is negative or 0. A conversation
-without turns of its own after rebuilding ends in the root. No rows: no nodes, not even a root. Only conv_id, turn, role and
-text are read, so other columns cannot clash. Very long texts are hashed whole where they are read; they are shuffled once,
-by the sort.
+roles and texts are empty; an empty text is a turn like others. Rows without a conversation id take no part; the remainder
+of a negative id is negative or 0. A conversation without turns after rebuilding ends in the root. No rows: no nodes, not
+even a root. Only conv_id, turn, role and text are read, so other columns cannot clash. Very long texts are hashed whole;
+they are shuffled once, by the sort.
 """
 
 from __future__ import annotations
