@@ -6,7 +6,7 @@ import importlib
 
 # Operator modules by their number.
 MODULES = ("decontaminate", "lmscore", "urlrules", "quality", "packing", "toxicity", "tokens", "jaccard", "vectors",
-           "licences", "resample", "prefixes")
+           "licences", "resample", "repeats", "prefixes")
 
 
 def _merged(what: str) -> dict:
