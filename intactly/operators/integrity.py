@@ -1,29 +1,33 @@
 """Honest verification: every value of every row is decoded, and counted.
 
-Two paths:
+Two paths, both through Spark's own Parquet reader:
 
 * ``decoded_row_count`` — the bulk path for trusted inputs: a strict scan
   written to the ``noop`` sink with an ``observe`` counter. The write forces
   every column to be materialised (no column pruning, no footer shortcut),
   and the count is a per-partition partial folded by Spark.
-* ``verify_files`` — the isolating path for untrusted file sets: the work
-  list is (file, row group); each item is decoded on an executor and
-  yields a row with either a decoded count or an error, so one corrupt file
-  never stops the others and a large file is split across many tasks.
+* ``verify_files`` — the isolating path for untrusted file sets: one scan
+  over all files, grouped by the hidden ``_metadata`` columns (file, split).
+  It is strict at first. If that fails, the same scan runs leniently: a bad
+  file then ends at its first bad batch while all others are read to their
+  end, and the files whose decoded rows fall short of what their footers
+  claim are the unreadable ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from intactly.operators.ordered import staged
 from intactly.sources import files as file_sources
 
-DECODE_SCHEMA = "path string, row_group int, footer_rows long, decoded_rows long, error string"
-
 # Verification statuses.
 STATUS_OK = "verified"
 STATUS_UNREADABLE = "unreadable"
@@ -38,51 +42,115 @@ def decoded_row_count(df: DataFrame) -> int:
     return int(obs.get["rows"])
 
 
-def _decode_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-    for pdf in batches:
-        out = []
-        for path, rg, footer_rows, error in pdf.itertuples(index=False):
-            decoded = None
-            if error is None or pd.isna(error):
-                error = None
-                try:
-                    filesystem, inner = fs.FileSystem.from_uri(path)
-                    with filesystem.open_input_file(inner) as handle:
-                        opened = pq.ParquetFile(handle)
-                        decoded = 0
-                        for batch in opened.iter_batches(row_groups=[] if pd.isna(rg) else [int(rg)]):
-                            # Touch every buffer so lazily decoded pages are decoded too.
-                            batch.validate(full=True)
-                            decoded += batch.num_rows
-                except Exception as exc:
-                    decoded = None
-                    error = f"{type(exc).__name__}: {exc}"
-            out.append((path, rg, footer_rows, decoded, error))
-        yield pd.DataFrame(out, columns=["path", "row_group", "footer_rows",
-                                         "decoded_rows", "error"])
-
-
-def verify_row_groups(files: DataFrame) -> DataFrame:
-    """Decodes every row group of every file; one result row per row group."""
-    work = file_sources.spread(file_sources.row_groups(files), "path", "row_group")
-    return work.mapInPandas(_decode_partition, DECODE_SCHEMA)
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, (T.MapType, T.VariantType)):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    return isinstance(dtype, T.StructType) and any(_has_map(f.dataType) for f in dtype.fields)
+
+
+def content_hash(schema: T.StructType) -> Column:
+    """A hash that needs every value of the row; what cannot be hashed itself goes through its JSON text."""
+    columns = []
+    for f in schema.fields:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        columns.append(F.to_json(c) if _has_map(f.dataType) else c)
+    return F.xxhash64(F.lit(0), *columns)
+
+
+def _literal(path: str) -> str:
+    """A listed path as a pattern that matches it alone."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
+def _scan(spark: SparkSession, schema: T.StructType, paths: list[str], lenient: bool) -> DataFrame:
+    df = (spark.read.schema(schema).option("ignoreCorruptFiles", str(lenient).lower())
+          .option("ignoreMissingFiles", str(lenient).lower()).parquet(*map(_literal, paths)))
+    meta = df.metadataColumn("_metadata")
+    return df.select(meta["file_path"].alias("uri"), meta["file_block_start"].alias("block"),
+                     content_hash(schema).alias("content"))
+
+
+def decoded_blocks(spark: SparkSession, groups: list[tuple[T.StructType, list[str]]]) -> DataFrame:
+    """uri, block, rows and content (xor of row hashes) of every split that holds rows, in one scan of all groups.
+
+    A group is a schema and the files that have it. Strict unless that fails; see the module's head.
+    """
+    def attempt(lenient: bool) -> DataFrame:
+        scans = [_scan(spark, schema, paths, lenient) for schema, paths in groups]
+        blocks = reduce(DataFrame.unionAll, scans).groupBy("uri", "block").agg(
+            F.count(F.lit(1)).alias("rows"), F.bit_xor("content").alias("content"))
+        return staged(blocks, "decoded")
+
+    try:
+        return attempt(False)
+    except (PySparkException, Py4JJavaError):
+        return attempt(True)
+
+
+def _plain_path(uri: Column) -> Column:
+    """The path as listed, from the percent-encoded URI of a scan."""
+    raw = F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(raw, "^file:/+", "file:///")
 
 
 def verify_files(files: DataFrame) -> DataFrame:
-    """Per-file manifest: row groups, footer rows, decoded rows, first error, status (M1, K2)."""
-    groups = verify_row_groups(files)
-    per_file = groups.groupBy("path").agg(
-        F.count(F.lit(1)).alias("row_groups"),
-        F.sum("footer_rows").alias("footer_rows"),
-        F.sum("decoded_rows").alias("decoded_rows"),
-        F.min("error").alias("error"),
-    )
+    """Per-file manifest: row groups, footer rows, decoded rows, schemas, first error, status (M1, K2).
+
+    Footers are read on executors; their schemas (few) and the paths come to
+    the driver, which plans one scan over all files as Spark's file index
+    does. No value is decoded outside that scan.
+    """
+    spark = files.sparkSession
+    footers = staged(file_sources.footer_summaries(files), "footers")
+    known: dict[str, tuple[T.StructType | None, str | None]] = {}
+    groups: dict[str, list[str]] = {}
+    for row in footers.where("error IS NULL").select("path", "parquet_schema").toLocalIterator():
+        physical = row["parquet_schema"]
+        if physical not in known:
+            try:
+                known[physical] = spark.read.parquet(_literal(row["path"])).schema, None
+            except (PySparkException, Py4JJavaError) as exc:
+                known[physical] = None, f"{type(exc).__name__}: {str(exc).splitlines()[0]}"
+        groups.setdefault(physical, []).append(row["path"])
+    scans = [(schema, groups[physical]) for physical, (schema, _) in known.items() if schema is not None]
+    empty = "path string, decoded_rows long, blocks long"
+    decoded = spark.createDataFrame([], empty) if not scans else (
+        decoded_blocks(spark, scans).groupBy(_plain_path(F.col("uri")).alias("path"))
+        .agg(F.sum("rows").alias("decoded_rows"), F.count(F.lit(1)).alias("blocks")))
+    schemas = spark.createDataFrame(
+        [(physical, schema.json() if schema is not None else None, error) for physical, (schema, error) in known.items()],
+        "parquet_schema string, spark_schema string, schema_error string")
+    facts = (footers.join(decoded, "path", "left").join(schemas, "parquet_schema", "left")
+             .withColumn("decoded_rows", F.when(F.col("spark_schema").isNotNull(),
+                                                F.coalesce("decoded_rows", F.lit(0)))))
+    lost = F.col("decoded_rows") < F.col("footer_rows")
+    error = F.coalesce("error", "schema_error", F.when(lost, F.format_string(
+        "decoded %d of %d rows", "decoded_rows", "footer_rows")))
     status = (F.when(F.col("error").isNotNull(), F.lit(STATUS_UNREADABLE))
               .when(~F.coalesce(F.col("footer_rows") == F.col("decoded_rows"), F.lit(False)),
                     F.lit(STATUS_COUNT_MISMATCH))
               .otherwise(F.lit(STATUS_OK)))
+    per_file = facts.withColumn("error", error).select(
+        "path", "row_groups", "footer_rows", "decoded_rows", "parquet_schema", "spark_schema", "error")
     return (files.select("path", "filename", F.col("length").alias("bytes"))
             .join(per_file, "path", "left")
             .withColumn("status", status))
+
+
+def verification_records(files: DataFrame) -> DataFrame:
+    """The full record of each file (M1): bytes, SHA-256, both schemas, decoded rows, status and error.
+
+    Schemas and row count are null unless the file verified: they describe
+    what was decoded, not what a footer claims.
+    """
+    checked = verify_files(files)
+    digests = file_sources.file_digests(files).select("path", "sha256", F.col("error").alias("_digest_error"))
+    ok = F.col("status") == STATUS_OK
+    joined = checked.join(digests, "path", "left").withColumn("status", F.when(
+        ok & F.col("sha256").isNull(), F.lit(STATUS_UNREADABLE)).otherwise(F.col("status")))
+    return joined.select("path", "filename", "bytes", "sha256",
+                         *[F.when(ok, F.col(c)).alias(c) for c in ("parquet_schema", "spark_schema")],
+                         F.when(ok, F.col("decoded_rows")).alias("rows"), "status",
+                         F.coalesce("error", "_digest_error").alias("error"))

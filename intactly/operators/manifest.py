@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from intactly.functions import rules
+from intactly.functions.schema import same_schema
 
 # Pair statuses in precedence order, and actions.
 PAIR_STATUSES = ("pending", "absent", "incomplete", "duplicate", "bad_metadata",
@@ -74,17 +75,25 @@ def pair_status(marker: Column, has_data: Column, has_sidecar: Column, metadata_
 
 
 def reconcile(requests: DataFrame, files: DataFrame, sidecars: DataFrame,
-              markers: DataFrame, key: str, verify: bool = False) -> DataFrame:
+              markers: DataFrame, key: str, verify: bool = False, schemas: bool = False) -> DataFrame:
     """Status and action per requested item (M2: C7–C9, D2, D5).
 
     ``files``: key, bytes, sha256, identity. ``sidecars``: key, rec_bytes,
     rec_sha256, rec_identity, metadata_ok. ``markers``: key. With ``verify``
     the files also carry ``rows`` (decoded now) and the sidecars ``rec_rows``
-    (recorded): reuse then also needs the same decoded row count (D4).
+    (recorded): reuse then also needs the same decoded row count. With
+    ``schemas`` they carry ``parquet_schema`` and ``spark_schema`` (and
+    ``rec_`` of both) too, and reuse needs all three to agree (D4): schema
+    texts are compared as JSON, times and runtime versions are ignored.
     Action: refresh → 'refreshed'; accepted → 'reused'; absent → 'downloaded';
     anything else fails closed → 'blocked'.
     """
-    vf, vs = (["rows"], ["rec_rows"]) if verify else ([], [])
+    compared = (["rows"] if verify else []) + (["parquet_schema", "spark_schema"] if schemas else [])
+    vf, vs = compared, [f"rec_{c}" for c in compared]
+    agree = F.lit(True)
+    for c in compared:
+        a, b = F.col(c), F.col(f"rec_{c}")
+        agree = agree & (same_schema(a, b) if c == "spark_schema" else a.eqNullSafe(b))
     f = _per_key(files, key, ["bytes", "sha256", "identity", *vf], "_fc")
     s = _per_key(sidecars, key, ["rec_bytes", "rec_sha256", "rec_identity", "metadata_ok", *vs], "_sc")
     m = markers.select(key).distinct().withColumn("_marker", F.lit(True))
@@ -94,7 +103,7 @@ def reconcile(requests: DataFrame, files: DataFrame, sidecars: DataFrame,
         has_data=F.col("_fc").isNotNull(),
         has_sidecar=F.col("_sc").isNotNull(),
         unique=(F.coalesce(F.col("_fc"), F.lit(0)) <= 1) & (F.coalesce(F.col("_sc"), F.lit(0)) <= 1),
-        verification_ok=F.col("rows").eqNullSafe(F.col("rec_rows")) if verify else None,
+        verification_ok=agree,
         metadata_ok=F.col("metadata_ok"),
         identity_ok=F.col("identity").eqNullSafe(F.col("rec_identity")),
         size_ok=F.col("bytes").eqNullSafe(F.col("rec_bytes")),

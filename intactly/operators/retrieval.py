@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intactly.functions import rules, sidecar
+from intactly.functions import rules, schema, sidecar
 from intactly.operators import integrity, manifest
 from intactly.sources import files as file_sources
 
@@ -40,49 +40,60 @@ def _strip(col: str, suffix: str) -> F.Column:
 
 
 SIDES_SCHEMA = ("filename string, rec_bytes long, rec_sha256 string, rec_identity string, "
-                "metadata_ok boolean, rec_rows long")
+                "metadata_ok boolean, rec_rows long, rec_parquet_schema string, rec_spark_schema string")
 
 
-def _sidecars(spark: SparkSession, raw_dir: str) -> DataFrame:
+def _sidecars(spark: SparkSession, raw_dir: str, complete: bool = False) -> DataFrame:
     """Recorded provenance per data file; an empty folder gives an empty table."""
     listed = file_sources.existing_inventory(spark, raw_dir, f"*{SIDECAR_SUFFIX}")
     if listed.isEmpty():
         return spark.createDataFrame([], SIDES_SCHEMA)
-    side_files = sidecar.read_sidecars(spark, f"{raw_dir.rstrip('/')}/*{SIDECAR_SUFFIX}")
+    side_files = sidecar.read_sidecars(spark, f"{raw_dir.rstrip('/')}/*{SIDECAR_SUFFIX}", complete)
     return (side_files.withColumn("_name", F.element_at(F.split("path", "/"), -1))
             .select(_strip("_name", SIDECAR_SUFFIX).alias("filename"),
                     F.col("n_bytes").alias("rec_bytes"), F.col("s_sha256").alias("rec_sha256"),
                     F.concat_ws("|", "s_month", "s_filename", "s_source_url").alias("rec_identity"),
-                    (F.size("reasons") == 0).alias("metadata_ok"), F.col("n_rows").alias("rec_rows")))
+                    (F.size("reasons") == 0).alias("metadata_ok"), F.col("n_rows").alias("rec_rows"),
+                    F.col("s_parquet_schema").alias("rec_parquet_schema"),
+                    F.col("j_spark_schema").alias("rec_spark_schema")))
 
 
 def reconcile_directory(spark: SparkSession, raw_dir: str, requests: DataFrame,
-                        data_glob: str = "*.parquet", verify: bool = False) -> DataFrame:
+                        data_glob: str = "*.parquet", verify: bool = False, schemas: bool = False) -> DataFrame:
     """Status and action per requested file (M2).
 
     ``requests``: filename, month, source_url, refresh. Identity is the
     (month, filename, source URL) the sidecar records versus the request.
-    With ``verify`` every requested data file is also fully decoded (per row
-    group, on executors) and reuse needs the decoded row count the sidecar
-    recorded; an unreadable file never verifies.
+    With ``verify`` every requested data file is also fully decoded and reuse
+    needs the decoded row count the sidecar recorded; an unreadable file
+    never verifies. With ``schemas`` as well, sidecars must be complete and
+    reuse needs both recorded schemas (``schema_changes`` names the paths).
     """
     wanted_names = requests.select("filename").distinct()
     inv = file_sources.existing_inventory(spark, raw_dir, data_glob).join(wanted_names, "filename", "left_semi")
     digests = file_sources.file_digests(inv)  # only requested files are read
     data = (digests.withColumn("filename", F.element_at(F.split("path", "/"), -1))
             .select("filename", "bytes", "sha256"))
-    sides = _sidecars(spark, raw_dir)
+    sides = _sidecars(spark, raw_dir, schemas)
     markers = (file_sources.existing_inventory(spark, raw_dir, f"*{MARKER_SUFFIX}")
                .select(_strip("filename", MARKER_SUFFIX).alias("filename")))
     wanted = requests.select("filename", "refresh",
                              F.concat_ws("|", "month", "filename", "source_url").alias("identity"))
     files = data.join(wanted.select("filename", "identity"), "filename", "inner")
-    if verify:
-        decoded = (integrity.verify_files(inv)
-                   .select("filename", F.when(F.col("status") == integrity.STATUS_OK,
-                                              F.col("decoded_rows")).alias("rows")))
+    if verify or schemas:
+        ok = F.col("status") == integrity.STATUS_OK
+        decoded = integrity.verify_files(inv).select("filename", F.when(ok, F.col("decoded_rows")).alias("rows"), *[
+            F.when(ok, F.col(c)).alias(c) for c in ("parquet_schema", "spark_schema")])
         files = files.join(decoded, "filename", "left")
-    return manifest.reconcile(wanted.drop("identity"), files, sides, markers, "filename", verify)
+    return manifest.reconcile(wanted.drop("identity"), files, sides, markers, "filename", verify, schemas)
+
+
+def schema_changes(spark: SparkSession, raw_dir: str, data_glob: str = "*.parquet") -> DataFrame:
+    """filename, path, change, recorded_type and observed_type where a file's schema is not the recorded one."""
+    inv = file_sources.existing_inventory(spark, raw_dir, data_glob)
+    observed = integrity.verify_files(inv).select("filename", F.col("spark_schema").alias("observed"))
+    recorded = _sidecars(spark, raw_dir).select("filename", F.col("rec_spark_schema").alias("recorded"))
+    return schema.differences(observed.join(recorded, "filename"), "filename")
 
 
 def _commit(filesystem, part: str, final: str) -> bool:

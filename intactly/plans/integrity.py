@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intactly.functions import fingerprint as fp
+from intactly.functions import schema
 from intactly.operators import integrity, profile
 from intactly.sources import files as file_sources
 from intactly.sources import lookup
@@ -70,6 +71,15 @@ def q05_verify_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "status", "error"))
 
 
+def q06_schema_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spark schema of every table file as (path, position, type) rows."""
+    checked = integrity.verify_files(file_sources.inventory(spark, sf_dir, "*.parquet")).select(
+        "filename", "spark_schema")
+    trees = schema.flattened(checked, "spark_schema")
+    return (checked.join(trees, checked["spark_schema"] == trees["schema"]).where("path <> ''")
+            .select("filename", "path", "position", "type"))
+
+
 def q06_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
     inv = file_sources.inventory(spark, sf_dir, "*.parquet")
     return (file_sources.footers(inv)
@@ -112,6 +122,7 @@ QUERIES = {
     "q05_verify_files": q05_verify_files,
     "q05_verified_counts": q05_verified_counts,
     "q06_footers": q06_footers,
+    "q06_schema_paths": q06_schema_paths,
     "q07_lookup_profile": q07_lookup_profile,
     "q08_null_profile": q08_null_profile,
     "q09_decode_tables": q09_decode_tables,
@@ -179,3 +190,15 @@ SQL["q09_decode_tables"] = "\nUNION ALL\n".join(
 
 SQL["q05_verified_counts"] = "\nUNION ALL\n".join(
     f"SELECT '{t}.parquet' AS filename, count(*) AS decoded_rows, 'verified' AS status FROM {t}" for t in TABLES)
+
+# Spark's names of DuckDB's column types; lists are an array and its element.
+_TYPES = {"BIGINT": "long", "INTEGER": "integer", "DOUBLE": "double", "FLOAT": "float", "VARCHAR": "string",
+          "DATE": "date", "TIMESTAMP": "timestamp_ntz", "TIMESTAMP WITH TIME ZONE": "timestamp", "BOOLEAN": "boolean"}
+_TYPE_SQL = "CASE replace(data_type, '[]', '') " + " ".join(f"WHEN '{d}' THEN '{s}'" for d, s in _TYPES.items()) + " END"
+_NAMES = ", ".join(f"'{t}'" for t in TABLES)
+SQL["q06_schema_paths"] = f"""
+WITH c AS (SELECT table_name || '.parquet' AS filename, column_name AS path, ordinal_position - 1 AS position,
+                  data_type, {_TYPE_SQL} AS type FROM information_schema.columns WHERE table_name IN ({_NAMES}))
+SELECT filename, path, CAST(position AS INTEGER) AS position,
+       CASE WHEN data_type LIKE '%[]' THEN 'array' ELSE type END AS type FROM c
+UNION ALL SELECT filename, path || '.element', 0, type FROM c WHERE data_type LIKE '%[]'"""

@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from intactly.functions import sidecar
 from intactly.operators import integrity, publish, retrieval
+from intactly.operators.ordered import staged
 from intactly.session import scratch_path
 from intactly.sources import files as file_sources
-from intactly.sources.tables import read_table
+from intactly.sources.tables import TABLES, read_table
 
 
 def _manifest(docs: DataFrame) -> DataFrame:
@@ -104,30 +106,65 @@ def q27_retrieve_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded row count, then the marker is cleared), and the folder is then
     reconciled with verification: every file must come back accepted.
     """
-    inv = file_sources.inventory(spark, sf_dir, "*.parquet")
-    digests = file_sources.file_digests(inv)
-    decoded = integrity.verify_files(inv).select("path", "decoded_rows")
-    files = digests.join(decoded, "path").withColumn("filename", F.element_at(F.split("path", "/"), -1))
+    raw, files, promoted = _promoted(spark, integrity.verification_records(
+        file_sources.inventory(spark, sf_dir, "*.parquet")), "q27")
+    status = retrieval.reconcile_directory(spark, raw, _requests(files), verify=True, schemas=True)
+    promoted = promoted.select("filename", F.col("outcome").alias("promotion"))
+    return status.join(promoted, "filename", "left").select("filename", "promotion", "status", "action")
+
+
+def _promoted(spark: SparkSession, records: DataFrame, name: str) -> tuple[str, DataFrame, DataFrame]:
+    """A raw folder with the recorded files and their sidecars; the records and the promotion's outcomes, as tables."""
+    files = staged(records, f"{name}-records")
     url = F.concat(F.lit(SOURCE_PREFIX), F.col("filename"))
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    doc = F.to_json(F.struct(
-        F.lit(1).alias("formatVersion"), F.lit(SNAPSHOT_MONTH).alias("month"), F.col("filename"),
-        url.alias("sourceUrl"), url.alias("finalUrl"), stamp.alias("retrievedAt"), F.col("bytes"),
-        F.col("sha256"),
-        F.struct(stamp.alias("verifiedAt"), F.lit("").alias("parquetSchema"),
-                 F.col("decoded_rows").alias("rowCount"),
-                 F.struct(F.lit("struct").alias("type")).alias("sparkSchema")).alias("verification")))
-    raw = scratch_path(spark, "q27-raw")
-    promoted_path = scratch_path(spark, "q27-promoted")
+    doc = sidecar.document(spark, F.lit(SNAPSHOT_MONTH), url, url, stamp)
+    raw = scratch_path(spark, f"{name}-raw")
     # the promotion has side effects: its outcome is kept as a table, never recomputed
-    (retrieval.promote_files(files.select("filename", F.col("path").alias("source"), "bytes", "sha256",
-                                          doc.alias("sidecar")), raw)
-     .write.parquet(promoted_path))
-    requests = files.select("filename", F.lit(SNAPSHOT_MONTH).alias("month"), url.alias("source_url"),
-                            F.lit(False).alias("refresh"))
-    status = retrieval.reconcile_directory(spark, raw, requests, verify=True)
-    promoted = spark.read.parquet(promoted_path).select("filename", F.col("outcome").alias("promotion"))
-    return status.join(promoted, "filename", "left").select("filename", "promotion", "status", "action")
+    promoted = staged(retrieval.promote_files(files.select(
+        "filename", F.col("path").alias("source"), "bytes", "sha256", doc.alias("sidecar")), raw), f"{name}-promoted")
+    return raw, files, promoted
+
+
+def _requests(files: DataFrame) -> DataFrame:
+    return files.select("filename", F.lit(SNAPSHOT_MONTH).alias("month"),
+                        F.concat(F.lit(SOURCE_PREFIX), F.col("filename")).alias("source_url"),
+                        F.lit(False).alias("refresh"))
+
+
+# How q28 deals the conversations over files, and the file whose schema changed after it was recorded.
+TALK_FILES, DRIFTED = 5, 3
+
+
+def q28_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested files whose sidecars record one schema, one of them written with another nested type since.
+
+    Bytes and digest of that file are recorded as they are; only the schema
+    of its verification is the old one. It must come back as a verification
+    mismatch, with the path that differs.
+    """
+    talks = read_table(spark, sf_dir, "conversations").withColumn("k", F.pmod("conv_id", F.lit(TALK_FILES)))
+
+    def written(rows: DataFrame, turn: str, name: str) -> str:
+        path = scratch_path(spark, f"q28-{name}")
+        (rows.select("k", "conv_id", F.struct("role", F.array(F.struct(F.col("turn").cast(turn).alias("turn"), "text")).alias("parts"))
+                     .alias("message")).repartition(TALK_FILES, "k").write.partitionBy("k").parquet(path))
+        return path
+
+    roots = [written(talks.where(F.col("k") != DRIFTED), "bigint", "same"),
+             written(talks.where(F.col("k") == DRIFTED), "int", "drifted")]
+    inv = file_sources.inventory(spark, roots, "*.parquet", recursive=True).withColumn(
+        "filename", F.concat(F.lit("talks_"), F.regexp_extract("path", "/k=([0-9]+)/", 1), F.lit(".parquet")))
+    records = staged(integrity.verification_records(inv), "q28-records")
+    drifted = F.col("filename") == f"talks_{DRIFTED}.parquet"
+    old = records.where(~drifted).select("parquet_schema", "spark_schema").first()
+    recorded = records.withColumns({c: F.when(drifted, F.lit(old[c])).otherwise(F.col(c)) for c in old.asDict()}
+                                   if old else {})
+    raw, files, _ = _promoted(spark, recorded, "q28")
+    status = retrieval.reconcile_directory(spark, raw, _requests(files), verify=True, schemas=True)
+    changes = retrieval.schema_changes(spark, raw)
+    return (status.join(files.select("filename", "rows"), "filename").join(changes, "filename", "left")
+            .select("filename", "rows", "status", "action", "path", "change", "recorded_type", "observed_type"))
 
 
 QUERIES = {
@@ -136,6 +173,7 @@ QUERIES = {
     "q24_receipt": q24_receipt,
     "q26_publish_files": q26_publish_files,
     "q27_retrieve_cycle": q27_retrieve_cycle,
+    "q28_schema_drift": q28_schema_drift,
 }
 
 _OUTCOMES_SQL = """
@@ -178,3 +216,17 @@ SELECT 1, item_id, 'reference/' || item_id, 'uploaded',
          'action', 'uploaded') AS VARCHAR)
 FROM benchmark""",
 }
+
+SQL["q27_retrieve_cycle"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}.parquet' AS filename, 'promoted' AS promotion, 'accepted' AS status, 'reused' AS action FROM "
+    f"(SELECT count(*) FROM {t})" for t in TABLES)
+
+SQL["q28_schema_drift"] = f"""
+SELECT 'talks_' || k || '.parquet' AS filename, count(*) AS rows,
+       CASE WHEN k = {DRIFTED} THEN 'verification_mismatch' ELSE 'accepted' END AS status,
+       CASE WHEN k = {DRIFTED} THEN 'blocked' ELSE 'reused' END AS action,
+       CASE WHEN k = {DRIFTED} THEN 'message.parts.element.turn' END AS path,
+       CASE WHEN k = {DRIFTED} THEN 'retyped' END AS change,
+       CASE WHEN k = {DRIFTED} THEN 'long' END AS recorded_type,
+       CASE WHEN k = {DRIFTED} THEN 'integer' END AS observed_type
+FROM (SELECT conv_id % {TALK_FILES} AS k FROM conversations) GROUP BY k"""

@@ -25,6 +25,7 @@ FOOTER_SCHEMA = ("path string, row_group int, column string, physical_type strin
 ROW_GROUP_SCHEMA = "path string, row_group int, footer_rows long, error string"
 
 
+SUMMARY_SCHEMA = "path string, row_groups long, footer_rows long, parquet_schema string, error string"
 LIST_SCHEMA = "path string, length long, modificationTime timestamp, filename string, error string"
 
 
@@ -96,9 +97,11 @@ def spread(work: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
 
 
 def _open(path: str):
+    """File system and inner path of a listed path; local paths are taken as they are (they are not percent-encoded)."""
     from pyarrow import fs
-    filesystem, inner = fs.FileSystem.from_uri(path)
-    return filesystem, inner
+    if path.startswith("file:///"):
+        return fs.LocalFileSystem(), path[len("file://"):]
+    return fs.FileSystem.from_uri(path)
 
 
 def _digest_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,3 +171,31 @@ def row_groups(files: DataFrame) -> DataFrame:
     return (footers(files)
             .groupBy("path", "row_group")
             .agg(F.max("rg_rows").alias("footer_rows"), F.max("error").alias("error")))
+
+
+def _summary_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow.parquet as pq
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            try:
+                filesystem, inner = _open(path)
+                with filesystem.open_input_file(inner) as handle:
+                    meta = pq.ParquetFile(handle).metadata
+                columns = [meta.schema.column(i) for i in range(meta.num_columns)]
+                text = "\n".join(f"{c.path} {c.physical_type} {c.logical_type} {c.max_definition_level} "
+                                 f"{c.max_repetition_level}" for c in columns)
+                out.append((path, meta.num_row_groups, meta.num_rows, text, None))
+            except Exception as exc:  # one bad file must not stop the others
+                out.append((path, None, None, None, f"{type(exc).__name__}: {exc}"))
+        yield pd.DataFrame(out, columns=["path", "row_groups", "footer_rows", "parquet_schema", "error"])
+
+
+def footer_summaries(files: DataFrame) -> DataFrame:
+    """Row groups, rows and physical schema that each file's footer claims, one row per file.
+
+    The schema is text with one line per leaf column: path, physical type,
+    logical type, and the definition and repetition levels, which say what is
+    optional or repeated on the way to the leaf.
+    """
+    return spread(files.select("path"), "path").mapInPandas(_summary_partition, SUMMARY_SCHEMA)
