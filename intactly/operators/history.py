@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intactly.functions import rules
+from intactly.operators import ordered
 
 _B = "_bucket"
 
@@ -169,8 +170,15 @@ def ordered_scan(df: DataFrame, key: str, order: Sequence[str], bucket: Column,
     return out.drop(*parts, "_lidx", "_lflag", "_lprev", "_off", "_pflag", "_lnext", "_nextmin")
 
 
-def validity_intervals(df: DataFrame, key: str, order: str, bucket: Column) -> DataFrame:
-    """Each version with the start of the next one; the last version is open (F2)."""
+def validity_intervals(df: DataFrame, key: str, order: str, bucket: Column | None = None) -> DataFrame:
+    """Each version with the start of the next one; the last version is open (F2).
+
+    Without ``bucket`` rows are scanned in ranges (``ordered.sequenced``):
+    versions without a start come first, and only the last version is open.
+    """
+    if bucket is None:
+        return (ordered.sequenced(df, key, [order], lead_of=order).withColumnRenamed("_next", f"next_{order}")
+                .withColumn("is_open", ~F.col("_has_next")).drop("_idx", "_has_next"))
     out = ordered_scan(df, key, [order], bucket, lead_of=order)
     return (out.withColumnRenamed("_next", f"next_{order}")
             .withColumn("is_open", F.col(f"next_{order}").isNull())
@@ -183,21 +191,23 @@ BACKOFF_MILLIS = 1000
 BACKOFF_CAP_MILLIS = 30000
 
 
-def attempt_audit(log: DataFrame, key: str, order: Sequence[str], bucket: Column,
+def attempt_audit(log: DataFrame, key: str, order: Sequence[str], bucket: Column | None,
                   status: Column, error_kind: Column,
                   max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """Replays the bounded-retry policy over an attempt log.
 
     Per key, attempts are numbered from 1; a run stops at the first success,
     at a permanent error, or after ``max_attempts`` transient failures; the
-    wait before attempt n+1 is min(cap, backoff × n).
+    wait before attempt n+1 is min(cap, backoff × n). Without ``bucket`` rows
+    are scanned in ranges (``ordered.sequenced``).
     """
     outcome = (F.when(status == rules.OK_STATUS, F.lit("success"))
                .when(rules.fetch_retryable(status, error_kind), F.lit("transient"))
                .otherwise(F.lit("permanent")))
     classified = log.withColumn("outcome", outcome)
-    scanned = ordered_scan(classified, key, order, bucket,
-                           flag=F.col("outcome") != "transient")
+    stops = F.col("outcome") != "transient"
+    scanned = (ordered.sequenced(classified, key, order, flag=stops) if bucket is None
+               else ordered_scan(classified, key, order, bucket, flag=stops))
     since_stop = F.col("_idx") - F.coalesce(F.col("_last_flag_idx"), F.lit(0))
     attempt = (F.pmod(since_stop - 1, F.lit(max_attempts)) + 1).cast("int")
     stop = (F.when(F.col("outcome") != "transient", F.col("outcome"))

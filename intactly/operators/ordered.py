@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from intactly.session import scratch_path
@@ -56,3 +56,61 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "position",
         [(part, before[i]) for i, (part, _) in enumerate(counts)], f"{PART} int, _before long")
     return (rows.join(F.broadcast(offsets), PART)
             .withColumn(name, F.col("_before") + F.col(AT)).drop(PART, AT, "_before"))
+
+
+def sequenced(df: DataFrame, key: str, order: Sequence[str], flag: Column | None = None,
+              lead_of: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Adds exact per-key sequence facts, however many rows a key has.
+
+    * ``_idx``: 1-based position of the row within its key in ``order`` (nulls first).
+    * ``_last_flag_idx`` (when ``flag`` is given): position of the last earlier
+      row of the key where ``flag`` held, else null.
+    * ``_next`` and ``_has_next`` (when ``lead_of`` is given): value of
+      ``lead_of`` on the next row of the key, and whether there is one.
+
+    Rows are dealt by ranges of (key, order), so a hot key is spread over as
+    many partitions as its rows need. Windows run within a partition and key.
+    Only keys at a partition's edges go on elsewhere: their counts, last flags
+    and first rows (two groups a partition at most) are carried along the
+    partitions and broadcast back. Null keys are a key of their own.
+    """
+    src = df if flag is None else df.withColumn("_flag", F.coalesce(flag, F.lit(False)))
+    rows = range_sorted(src, [F.col(c).asc_nulls_first() for c in (key, *order)], partitions=partitions)
+    ends = rows.groupBy(PART).agg(F.array(*[f(F.struct(F.col(key).alias("_k")), F.col(AT))
+                                            for f in (F.min_by, F.max_by)]).alias("_ends"))
+    edges = ends.select(F.col(PART).alias("_p"), F.explode("_ends").alias("_e")).select("_p", "_e._k").distinct()
+    on_edge = (F.col(PART) == F.col("_p")) & F.col(key).eqNullSafe(F.col("_k"))
+    facts = [F.count(F.lit(1)).alias("_n"), F.min(AT).alias("_lo")]
+    if flag is not None:
+        facts.append(F.max(F.when(F.col("_flag"), F.col(AT))).alias("_hi_flag"))
+    if lead_of is not None:
+        facts.append(F.min_by(F.struct(F.col(lead_of).alias("v")), F.col(AT)).alias("_first"))
+    groups = rows.join(F.broadcast(edges), on_edge, "left_semi").groupBy(PART, key).agg(*facts)
+    across = Window.partitionBy(key).orderBy(PART)
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    carried = groups.withColumn("_off", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    keep = [F.col(PART).alias("_p"), F.col(key).alias("_k"), "_off"]
+    if flag is not None:
+        carried = (carried.withColumn("_flag_at", F.col("_off") + F.col("_hi_flag") - F.col("_lo") + 1)
+                   .withColumn("_flag_before", F.max("_flag_at").over(earlier)))
+        keep.append("_flag_before")
+    if lead_of is not None:
+        carried = carried.withColumn("_after", F.lead("_first").over(across))
+        keep.append("_after")
+
+    local = Window.partitionBy(PART, key).orderBy(AT)
+    rows = rows.withColumn("_lidx", F.row_number().over(local))
+    if flag is not None:
+        rows = rows.withColumn("_lprev", F.max(F.when(F.col("_flag"), F.col("_lidx"))).over(
+            local.rowsBetween(Window.unboundedPreceding, -1)))
+    if lead_of is not None:
+        rows = rows.withColumn("_lnext", F.lead(F.struct(F.col(lead_of).alias("v"))).over(local))
+    out = rows.join(F.broadcast(carried.select(*keep)), on_edge, "left")
+    off = F.coalesce("_off", F.lit(0))
+    out = out.withColumn("_idx", off + F.col("_lidx"))
+    if flag is not None:
+        out = out.withColumn("_last_flag_idx", F.coalesce(off + F.col("_lprev"), F.col("_flag_before")))
+    if lead_of is not None:
+        following = F.coalesce("_lnext", "_after")
+        out = out.withColumn("_next", following["v"]).withColumn("_has_next", following.isNotNull())
+    return out.drop(PART, AT, "_p", "_k", "_off", "_lidx", "_flag", "_lprev", "_flag_before", "_lnext", "_after")

@@ -9,9 +9,14 @@ shuffle join and splits skewed partitions at run time.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from intactly.operators.ordered import numbered
 
 UNKNOWN_KEY = -1
 
@@ -66,6 +71,39 @@ def surrogate(dim: DataFrame, natural: Sequence[str], name: str) -> DataFrame:
     return dim.select(*natural).distinct().withColumn(name, F.dense_rank().over(Window.orderBy(*order)))
 
 
+def key_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The stored keys of a dimension; empty before its first load."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def assign_keys(members: DataFrame, natural: Sequence[str], path: str, name: str) -> DataFrame:
+    """Natural key → surrogate key for good: members without one get the next numbers and are stored.
+
+    Keys given once never change, whatever is inserted before or between them
+    later. New members are numbered in natural order by range partitions with
+    carried counts, so neither a global window nor a single task sees them
+    all. Null is a member like others. One load at a time may append to
+    ``path``; a rerun finds its members there and adds nothing.
+    """
+    spark = members.sparkSession
+    wanted = members.select(*natural).distinct()
+    schema = T.StructType([*wanted.schema.fields, T.StructField(name, T.LongType())])
+    known = key_table(spark, path, schema)
+    seen = known.select(*[F.col(c).alias(f"_k_{c}") for c in natural])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in natural])
+    last = known.agg(F.max(name)).first()[0] or 0
+    fresh = numbered(wanted.join(seen, same, "left_anti"), [F.col(c).asc_nulls_first() for c in natural], "_number")
+    fresh = fresh.select(*natural, (F.col("_number") + last).alias(name))
+    if not fresh.isEmpty():
+        fresh.write.mode("append").parquet(path)
+    return key_table(spark, path, schema)
+
+
 def lookup(fact: DataFrame, dim: DataFrame, on: Column | Sequence[str], key: str,
            bound: int | None = None) -> DataFrame:
     """Left join to a dimension; a missing member maps to the unknown key −1.

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intactly.functions import rules, sidecar
-from intactly.operators import history, manifest, publish
+from intactly.operators import history, manifest, merkle, publish
+from intactly.session import scratch_path
 from intactly.sources.tables import month_of, read_table
 
 # Month requests checked by q10 (valid, trimmed, trailing comma,
@@ -136,9 +137,8 @@ def q17_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q18_version_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = history.with_quantile_bucket(read_table(spark, sf_dir, "conversations").select("conv_id", "turn"),
-                                        "turn")
-    return history.validity_intervals(conv, "conv_id", "turn", F.col("_qbucket")).drop("_qbucket")
+    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    return history.validity_intervals(conv, "conv_id", "turn")
 
 
 def _transfer_log(events: DataFrame) -> DataFrame:
@@ -154,8 +154,8 @@ def _transfer_log(events: DataFrame) -> DataFrame:
 
 
 def q19_attempt_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = history.with_quantile_bucket(_transfer_log(read_table(spark, sf_dir, "events")), "ts")
-    audited = history.attempt_audit(log, "user_id", ["ts", "event_id"], F.col("_qbucket"),
+    log = _transfer_log(read_table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "props"))
+    audited = history.attempt_audit(log.drop("props"), "user_id", ["ts", "event_id"], None,
                                     F.col("status"), F.col("error_kind"))
     return audited.select("user_id", "event_id", "outcome", "attempt_no", "wait_ms", "stop_reason")
 
@@ -241,6 +241,24 @@ def q25_first_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "event_type", "event_id", "winner", "write_status")
 
 
+# How the second copy of q29 differs, by remainders of the order key.
+CHANGED, REMOVED, ADDED, NEW_KEYS = (997, 0), (1009, 5), (1013, 7), 100_000_000
+
+
+def q29_changed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that differ between two stored copies of orders, found by their trees."""
+    orders = read_table(spark, sf_dir, "orders")
+    rest = lambda c: F.pmod("o_orderkey", F.lit(c[0])) == c[1]
+    later = (orders.where(~rest(REMOVED))
+             .withColumn("o_totalprice", F.when(rest(CHANGED), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+             .unionByName(orders.where(rest(ADDED)).withColumn("o_orderkey", F.col("o_orderkey") + NEW_KEYS)))
+    roots = []
+    for df, name in ((orders, "before"), (later, "after")):
+        roots.append(scratch_path(spark, f"q29-{name}"))
+        merkle.write_copy(df, "o_orderkey", roots[-1], leaf_bits=10)
+    return merkle.changed_keys(orders, "o_orderkey", *roots)
+
+
 QUERIES = {
     "q10_month_selection": q10_month_selection,
     "q11_pair_status": q11_pair_status,
@@ -255,6 +273,7 @@ QUERIES = {
     "q22_name_url_rules": q22_name_url_rules,
     "q23_redact": q23_redact,
     "q25_first_writer": q25_first_writer,
+    "q29_changed_keys": q29_changed_keys,
 }
 
 _REQ_VALUES = ", ".join(f"({i}, '{t}')" for i, t in MONTH_REQUESTS)
@@ -461,3 +480,9 @@ def _redact_sql() -> str:
 
 
 SQL["q23_redact"] = _redact_sql()
+
+SQL["q29_changed_keys"] = f"""
+SELECT o_orderkey, 'removed' AS change FROM orders WHERE o_orderkey % {REMOVED[0]} = {REMOVED[1]}
+UNION ALL SELECT o_orderkey, 'changed' FROM orders
+  WHERE o_orderkey % {CHANGED[0]} = {CHANGED[1]} AND o_orderkey % {REMOVED[0]} <> {REMOVED[1]}
+UNION ALL SELECT o_orderkey + {NEW_KEYS}, 'added' FROM orders WHERE o_orderkey % {ADDED[0]} = {ADDED[1]}"""

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intactly.operators import olap, warehouse
+from intactly.operators.ordered import staged
 from intactly.plans.ingest import revenue
+from intactly.session import scratch_path
 from intactly.sources.tables import read_table, trips
 
 # Size of the top-k report.
@@ -68,6 +70,21 @@ def q42_fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "flag_sk", "revenue")
 
 
+# Fixed value: days of the month that are missing from q43's first load.
+LATE_DAYS = 7
+
+
+def q43_stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date keys after a load without every 7th day of a month, and after a second load of all days."""
+    days = read_table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d"))
+    path = scratch_path(spark, "q43-date-keys")
+    early = days.where(F.coalesce(F.dayofmonth("d") % LATE_DAYS != 0, F.lit(False)))
+    first = staged(warehouse.assign_keys(early, ["d"], path, "date_sk"), "q43-first")
+    second = warehouse.assign_keys(days, ["d"], path, "date_sk")
+    return (second.join(first.select("d", F.col("date_sk").alias("first_sk")), "d", "left")
+            .select(F.date_format("d", "yyyy-MM-dd").alias("date"), "first_sk", "date_sk"))
+
+
 def q44_month_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = trips(spark, sf_dir).withColumn("revenue", revenue())
     return (t.rollup("month")
@@ -123,6 +140,7 @@ QUERIES = {
     "q40_zone_roleplay": q40_zone_roleplay,
     "q41_dim_date": q41_dim_date,
     "q42_fact_build": q42_fact_build,
+    "q43_stable_keys": q43_stable_keys,
     "q44_month_totals": q44_month_totals,
     "q45_cube": q45_cube,
     "q46_grouping_sets": q46_grouping_sets,
@@ -209,3 +227,11 @@ SELECT month, region, revenue,
        CAST(sum(units) OVER w // count(*) OVER w AS BIGINT) AS ma3_units
 FROM u WINDOW w AS (PARTITION BY region ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 }
+
+SQL["q43_stable_keys"] = f"""
+WITH d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem),
+e AS (SELECT d, row_number() OVER (ORDER BY d) AS sk FROM d WHERE day(d) % {LATE_DAYS} <> 0),
+l AS (SELECT d, (SELECT count(*) FROM e) + row_number() OVER (ORDER BY d NULLS FIRST) AS sk
+      FROM d WHERE coalesce(day(d) % {LATE_DAYS} = 0, true))
+SELECT strftime(d, '%Y-%m-%d') AS date, sk AS first_sk, sk AS date_sk FROM e
+UNION ALL SELECT strftime(d, '%Y-%m-%d'), NULL, sk FROM l"""
