@@ -14,7 +14,7 @@ from intactly.functions.rules import Rule
 from intactly.plans.ingest import LINE_STATUSES, RETURN_FLAGS, SPLIT_AT
 from intactly.session import scratch_path
 from intactly.sources.tables import month_of, read_table
-from intactly.streaming import incremental
+from intactly.streaming import incremental, pairing
 from intactly.operators import zone
 
 
@@ -52,7 +52,39 @@ def q70_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("month").agg(F.count(F.lit(1)).alias("rows")))
 
 
-QUERIES = {"q70_incremental": q70_incremental}
+# Arrival times of q71 (documents within ten minutes of the start, sidecars a little before or after them,
+# late ones hours later, a heartbeat a day later) and which sidecars record another digest.
+START, LATE_EVERY, OTHER_EVERY = "2026-05-01 00:00:00", 5, 7
+
+
+def q71_stream_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and their labels as data files and sidecars, landing in either order.
+
+    Even documents land before their sidecars, odd ones after. Sidecars that
+    are hours late, and documents without one, stay alone. Equal texts under
+    several names are ingested once.
+    """
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+    labels = read_table(spark, sf_dir, "labels").select("doc_id").distinct().join(docs, "doc_id", "left")
+    key = F.format_string("%09d", "doc_id").alias("key")
+    at = F.lit(START).cast("timestamp") + F.make_dt_interval(secs=F.pmod("doc_id", F.lit(600)))
+    delay = F.when(F.pmod("doc_id", F.lit(LATE_EVERY)) == 0, 180).when(F.pmod("doc_id", F.lit(2)) == 0, 10).otherwise(-10)
+    other = F.pmod("doc_id", F.lit(OTHER_EVERY)) == 0
+    data = docs.select("doc_id", key, "sha256", at.alias("arrived_at"))
+    sides = labels.select("doc_id", key, F.when(other, F.sha2(F.col("sha256"), 256)).otherwise(F.col("sha256"))
+                          .alias("rec_sha256"), (at + F.make_dt_interval(mins=delay)).alias("arrived_at"))
+    base = scratch_path(spark, "q71")
+    even = F.pmod("doc_id", F.lit(2)) == 0
+    beat = spark.range(1).select(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("digest"),
+                                 (F.lit(START).cast("timestamp") + F.expr("INTERVAL 1 DAY")).alias("arrived_at"))
+    for first, second in ((data.where(even), sides.where(~even)), (data.where(~even), sides.where(even)), (beat, beat)):
+        first.drop("doc_id").withColumnRenamed("digest", "sha256").write.mode("append").parquet(f"{base}/data")
+        second.drop("doc_id").withColumnRenamed("digest", "rec_sha256").write.mode("append").parquet(f"{base}/sidecars")
+        pairing.pair_available(spark, f"{base}/data", f"{base}/sidecars", f"{base}/out", f"{base}/checkpoint")
+    return pairing.verdicts(spark, f"{base}/out").select("key", "status")
+
+
+QUERIES = {"q70_incremental": q70_incremental, "q71_stream_pairs": q71_stream_pairs}
 
 SQL = {
     "q70_incremental": """
@@ -62,3 +94,16 @@ WHERE coalesce(l_quantity BETWEEN 1 AND 50, false) AND coalesce(l_discount BETWE
   AND coalesce(l_linestatus IN ('O', 'F'), false) AND coalesce(l_extendedprice > 0, false)
 GROUP BY 1""",
 }
+
+SQL["q71_stream_pairs"] = f"""
+WITH d AS (SELECT doc_id, sha256(text) AS sha FROM documents),
+p AS (SELECT d.doc_id, sha, l.doc_id IS NOT NULL AS labelled, l.doc_id % {LATE_EVERY} = 0 AS late,
+             l.doc_id % {OTHER_EVERY} = 0 AS other
+      FROM d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)),
+f AS (SELECT sha, min(doc_id) AS first FROM p WHERE labelled AND NOT late AND NOT other GROUP BY sha)
+SELECT printf('%09d', doc_id) AS key,
+       CASE WHEN NOT labelled OR late THEN 'data_only' WHEN other THEN 'digest_mismatch'
+            WHEN doc_id = first THEN 'ingested' ELSE 'duplicate' END AS status
+FROM p LEFT JOIN f USING (sha)
+UNION ALL SELECT printf('%09d', doc_id), 'sidecar_only' FROM p WHERE late
+UNION ALL SELECT DISTINCT printf('%09d', doc_id), 'sidecar_only' FROM labels ANTI JOIN documents USING (doc_id)"""
