@@ -111,8 +111,13 @@ def read_sidecars(spark: SparkSession, path: str, complete: bool = False) -> Dat
     return sidecar_fields(raw, "value").withColumn("reasons", rules.reasons(field_rules(complete)))
 
 
-def read_descriptor(spark: SparkSession, path: str, expected_files: list[str]) -> DataFrame:
-    """Reference descriptor: version 1 and filenames equal to an expected ordered list."""
+def read_descriptor(spark: SparkSession, path: str, expected_files: list[str],
+                    snapshot_id: str | None = None) -> DataFrame:
+    """Reference descriptor: version 1 and filenames equal to an expected ordered list.
+
+    With ``snapshot_id`` the descriptor must be the one of that snapshot;
+    ``operators/descriptor.py`` says file by file what differs.
+    """
     schema = ("formatVersion long, snapshotId string, retrievedAt string, "
               "files array<struct<filename string, sourceUrl string, bytes long, "
               "sha256 string, revision string>>")
@@ -122,4 +127,5 @@ def read_descriptor(spark: SparkSession, path: str, expected_files: list[str]) -
         Rule("format_version", F.col("formatVersion") == FORMAT_VERSION),
         Rule("retrieved_at", rules.iso_instant_ok(F.col("retrievedAt"))),
         Rule("file_list", names == F.array(*[F.lit(n) for n in expected_files])),
+        *([Rule("snapshot_id", F.col("snapshotId") == snapshot_id)] if snapshot_id is not None else []),
     ]))

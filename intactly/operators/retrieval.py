@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from intactly.functions import rules, schema, sidecar
 from intactly.operators import integrity, manifest
 from intactly.sources import files as file_sources
+from intactly.sources.objects import claim
 
 # Sidecar and marker suffixes, history folder.
 SIDECAR_SUFFIX = ".metadata.json"
@@ -96,34 +97,13 @@ def schema_changes(spark: SparkSession, raw_dir: str, data_glob: str = "*.parque
     return schema.differences(observed.join(recorded, "filename"), "filename")
 
 
-def _commit(filesystem, part: str, final: str) -> bool:
-    """Moves ``part`` to ``final`` unless ``final`` exists; False when another writer won.
-
-    On a local file system a hard link is an atomic exclusive create; other
-    file systems use a rename, and the read-back comparison catches a writer
-    that raced it.
-    """
-    import os
-    from pyarrow import fs
-    if isinstance(filesystem, fs.LocalFileSystem):
-        try:
-            os.link(part, final)
-        except FileExistsError:
-            return False
-        finally:
-            os.unlink(part)
-        return True
-    filesystem.move(part, final)
-    return True
-
-
 def _copy_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
     for pdf in batches:
         out = []
         for key, source, target, size, sha in pdf[["key", "source", "target", "bytes", "sha256"]] \
                 .itertuples(index=False):
-            outcome, error = None, None
+            outcome, error, part = None, None, None
             try:
                 tfs, tpath = fs.FileSystem.from_uri(target)
                 info = tfs.get_file_info(tpath)
@@ -143,7 +123,7 @@ def _copy_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     elif tfs.get_file_info(tpath).type != fs.FileType.NotFound:
                         tfs.delete_file(part)       # another writer won; judged below
                     else:
-                        outcome = "uploaded" if _commit(tfs, part, tpath) else None
+                        outcome = "uploaded" if claim(tfs, part, tpath) else None
                 if outcome in (None, "uploaded"):
                     # independent read-back: size first, then a full digest
                     stored = tfs.get_file_info(tpath)
@@ -160,6 +140,8 @@ def _copy_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             outcome = "reused"
             except Exception as exc:  # one failing object does not stop the others
                 outcome, error = "failed", f"{type(exc).__name__}: {exc}"
+                if part:
+                    _drop(tfs, part)
             out.append((key, source, target, size, sha, outcome, error))
         yield pd.DataFrame(out, columns=["key", "source", "target", "bytes", "sha256", "outcome", "error"])
 
@@ -170,8 +152,8 @@ def publish_files(manifest_df: DataFrame, target_root: str) -> DataFrame:
     ``manifest_df``: key, source (URI), bytes, sha256 as recorded when the
     file was accepted. The copy digests while copying and commits (renames)
     only when the bytes match the manifest; existing objects are never
-    replaced. The commit is an exclusive create on local file systems; on
-    other stores a concurrent writer is caught by the read-back comparison.
+    replaced. The commit is an exclusive create (``objects.claim``); stores
+    whose move replaces are refused.
     """
     key_ok = F.coalesce(rules.all_pass(rules.relative_path_rules(F.col("key"))), F.lit(False))
     cols = ["key", "source", "target", "bytes", "sha256"]
@@ -198,9 +180,13 @@ def _write_sidecar(filesystem, root: str, name: str, doc: str) -> None:
         filesystem.create_dir(keep.rsplit("/", 1)[0], recursive=True)
         filesystem.copy_file(path, keep)
     part = f"{path}.part-{uuid.uuid4().hex}"
-    with filesystem.open_output_stream(part) as dst:
-        dst.write(doc.encode("utf-8"))
-    filesystem.move(part, path)
+    try:
+        with filesystem.open_output_stream(part) as dst:
+            dst.write(doc.encode("utf-8"))
+        filesystem.move(part, path)
+    except Exception:
+        _drop(filesystem, part)
+        raise
 
 
 def _checked_name(name: str) -> None:

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intactly.functions import sidecar
-from intactly.operators import integrity, publish, retrieval
+from intactly.operators import descriptor, integrity, publication, publish, retrieval
 from intactly.operators.ordered import staged
 from intactly.session import scratch_path
 from intactly.sources import files as file_sources
+from intactly.sources import objects
 from intactly.sources.tables import TABLES, read_table
 
 
@@ -93,6 +94,63 @@ def q26_publish_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.join(second, "key").select("key", "bytes", "first", "second")
 
 
+def q26_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table files published as one transaction, twice; answers come from the stored receipts.
+
+    Each entry names the object, how its key was taken, its provenance under
+    the provenance's own digest, and the rows decoded from the stored copy.
+    """
+    records = staged(integrity.verification_records(file_sources.inventory(spark, sf_dir, "*.parquet")), "q26-records")
+    url = F.concat(F.lit(SOURCE_PREFIX), F.col("filename"))
+    doc = sidecar.document(spark, F.lit(SNAPSHOT_MONTH), url, url, F.lit(f"{SNAPSHOT_MONTH}-01T00:00:00Z"))
+    items = records.select(F.concat(F.lit("inbox/"), "filename").alias("key"), F.col("path").alias("source"), "bytes",
+                           "sha256", doc.alias("provenance"), "rows", "parquet_schema", "spark_schema")
+    root = scratch_path(spark, "q26-objects")
+    rows = []
+    for name in ("first", "second"):
+        report = publication.publish(items, root, {"bucket": "inbox", "snapshotId": SNAPSHOT_MONTH})
+        if report.receipt is None:
+            raise RuntimeError("a publication of sound files has a receipt")
+        entry = F.from_json("value", "key string, bytes long, action string, provenance struct<action string>, "
+                                     "verification struct<rowCount long>").alias("e")
+        read = objects.receipt_entries(spark, root, report.receipt).select(entry)
+        rows.append(read.select("e.key", "e.bytes", F.col("e.action").alias(name), F.col("e.provenance.action").alias(
+            f"{name}_provenance"), F.col("e.verification.rowCount").alias("rows")))
+    return rows[0].join(rows[1].drop("bytes", "rows"), "key").drop("bytes")
+
+
+# What is wrong with the descriptor of q26_descriptor, by the place of a file in name order.
+UNLISTED, SWAPPED, OTHER_SIZE, OTHER_DIGEST, SNAPSHOT = 0, (2, 3), 5, 7, "20260501T000000Z"
+
+
+def q26_descriptor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored descriptor of the table files, with entries missing, surplus, swapped and changed."""
+    names = sorted(f"{t}.parquet" for t in TABLES)
+    digests = file_sources.file_digests(file_sources.inventory(spark, sf_dir, "*.parquet")).select(
+        F.element_at(F.split("path", "/"), -1).alias("filename"), "bytes", "sha256")
+    files = staged(digests, "q26-digests")
+    order = spark.createDataFrame(list(enumerate(names)), "place int, filename string")
+    at = F.col("place")
+    place = F.when(at == SWAPPED[0], SWAPPED[1]).when(at == SWAPPED[1], SWAPPED[0]).otherwise(at)
+    listed = files.join(order, "filename").where(at != UNLISTED).select(place.alias("place"), F.struct(
+        "filename", F.concat(F.lit(SOURCE_PREFIX), "filename").alias("sourceUrl"),
+        (F.col("bytes") + F.when(at == OTHER_SIZE, 1).otherwise(0)).alias("bytes"),
+        F.when(at == OTHER_DIGEST, F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"),
+        F.lit("r1").alias("revision")).alias("file"))
+    absent = spark.range(1).select(F.lit(UNLISTED).alias("place"), F.struct(
+        F.lit("absent.parquet").alias("filename"), F.lit("").alias("sourceUrl"), F.lit(1).cast("long").alias("bytes"),
+        F.lit("").alias("sha256"), F.lit("r1").alias("revision")).alias("file"))
+    # one small document of a fixed list of files, in order
+    ordered = listed.unionByName(absent).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "file"))),
+                                                         lambda x: x["file"]).alias("files"))
+    path = scratch_path(spark, "q26-descriptor")
+    stamp = F.lit(f"{SNAPSHOT_MONTH}-01T00:00:00Z")
+    ordered.select(F.to_json(F.struct(F.lit(1).alias("formatVersion"), F.lit(SNAPSHOT).alias("snapshotId"),
+                                      stamp.alias("retrievedAt"), "files")).alias("value")).write.text(path)
+    return descriptor.matched(sidecar.read_descriptor(spark, path, names, SNAPSHOT), files, names).select(
+        "filename", "position", "status")
+
+
 # The source URL prefix and month recorded for the table files.
 SOURCE_PREFIX = "https://example.org/tables/"
 SNAPSHOT_MONTH = "2026-05"
@@ -172,6 +230,8 @@ QUERIES = {
     "q15_publish_summary": q15_publish_summary,
     "q24_receipt": q24_receipt,
     "q26_publish_files": q26_publish_files,
+    "q26_transaction": q26_transaction,
+    "q26_descriptor": q26_descriptor,
     "q27_retrieve_cycle": q27_retrieve_cycle,
     "q28_schema_drift": q28_schema_drift,
 }
@@ -230,3 +290,17 @@ SELECT 'talks_' || k || '.parquet' AS filename, count(*) AS rows,
        CASE WHEN k = {DRIFTED} THEN 'long' END AS recorded_type,
        CASE WHEN k = {DRIFTED} THEN 'integer' END AS observed_type
 FROM (SELECT conv_id % {TALK_FILES} AS k FROM conversations) GROUP BY k"""
+
+SQL["q26_transaction"] = "\nUNION ALL\n".join(
+    f"SELECT 'inbox/{t}.parquet' AS key, 'uploaded' AS first, 'uploaded' AS first_provenance, count(*) AS rows, "
+    f"'reused' AS second, 'reused' AS second_provenance FROM {t}" for t in TABLES)
+
+_PLACED = ", ".join(f"('{name}', {i})" for i, name in enumerate(sorted(f"{t}.parquet" for t in TABLES)))
+SQL["q26_descriptor"] = f"""
+SELECT filename, CASE place WHEN {UNLISTED} THEN NULL WHEN {SWAPPED[0]} THEN {SWAPPED[1]}
+                            WHEN {SWAPPED[1]} THEN {SWAPPED[0]} ELSE place END AS position,
+       CASE WHEN place = {UNLISTED} THEN 'surplus' WHEN place IN {SWAPPED} THEN 'reordered'
+            WHEN place = {OTHER_SIZE} THEN 'changed_size' WHEN place = {OTHER_DIGEST} THEN 'changed_digest'
+            ELSE 'accepted' END AS status
+FROM (VALUES {_PLACED}) t(filename, place)
+UNION ALL SELECT 'absent.parquet', {UNLISTED}, 'missing'"""
