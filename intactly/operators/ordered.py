@@ -35,9 +35,9 @@ def range_sorted(df: DataFrame, order: Sequence[Column], keep: Sequence[Column |
     of equal rows never has to fit into one task.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*order, F.col("_tie")]
-    dealt = (df.withColumn("_tie", F.monotonically_increasing_id())
-             .repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_tie"))
+    keys = [*order, F.col("_range_tie")]
+    dealt = (df.withColumn("_range_tie", F.monotonically_increasing_id())
+             .repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_range_tie"))
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
     return staged(dealt.select(*keep, F.spark_partition_id().alias(PART), place.alias(AT)), "ranges")
 
@@ -114,3 +114,27 @@ def sequenced(df: DataFrame, key: str, order: Sequence[str], flag: Column | None
         following = F.coalesce("_lnext", "_after")
         out = out.withColumn("_next", following["v"]).withColumn("_has_next", following.isNotNull())
     return out.drop(PART, AT, "_p", "_k", "_off", "_lidx", "_flag", "_lprev", "_flag_before", "_lnext", "_after")
+
+
+def carried_forward(df: DataFrame, key: str, order: Sequence[Column], value: str, name: str = "_last",
+                    partitions: int | None = None) -> DataFrame:
+    """Adds the last non-null ``value`` at or before each row of its key, in ``order``; the key sorts first, nulls too.
+
+    As in ``sequenced``, a hot key is spread over ranges; the last value of
+    the keys at a range's edges (two groups a range at most) is carried on.
+    """
+    rows = range_sorted(df, [F.col(key).asc_nulls_first(), *order], partitions=partitions)
+    ends = rows.groupBy(PART).agg(F.array(*[f(F.struct(F.col(key).alias("_k")), F.col(AT))
+                                            for f in (F.min_by, F.max_by)]).alias("_ends"))
+    edges = ends.select(F.col(PART).alias("_p"), F.explode("_ends").alias("_e")).select("_p", "_e._k").distinct()
+    on_edge = (F.col(PART) == F.col("_p")) & F.col(key).eqNullSafe(F.col("_k"))
+    held = F.when(F.col(value).isNotNull(), F.col(AT))
+    groups = rows.join(F.broadcast(edges), on_edge, "left_semi").groupBy(PART, key).agg(
+        F.max_by(F.col(value), held).alias("_v"))
+    earlier = Window.partitionBy(key).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    carry = groups.select(F.col(PART).alias("_p"), F.col(key).alias("_k"),
+                          F.last("_v", ignorenulls=True).over(earlier).alias("_before"))
+    local = Window.partitionBy(PART, key).orderBy(AT).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = rows.withColumn("_here", F.last(value, ignorenulls=True).over(local))
+    return (here.join(F.broadcast(carry), on_edge, "left").withColumn(name, F.coalesce("_here", "_before"))
+            .drop(PART, AT, "_p", "_k", "_here", "_before"))

@@ -37,7 +37,7 @@ def violation_counts(df: DataFrame, checks: Sequence[Rule], by: Sequence[str]) -
     """Violations per rule × group in a single aggregation pass (then unpivoted)."""
     wide = df.groupBy(*by).agg(*[F.count_if(~F.coalesce(r.ok, F.lit(False))).alias(r.name)
                                  for r in checks])
-    stacked = ", ".join(f"'{r.name}', {r.name}" for r in checks)
+    stacked = ", ".join(f"'{r.name}', `{r.name}`" for r in checks)
     return wide.selectExpr(*by, f"stack({len(checks)}, {stacked}) AS (rule, violations)")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intactly.functions.rules import Rule
-from intactly.operators import harmonise, validate, zone
+from intactly.operators import harmonise, ruletable, validate, zone
 from intactly.operators import ingest as ingest_job
 from intactly.session import scratch_path
 from intactly.sources.tables import month_of, read_months, read_table, trips
@@ -93,6 +93,33 @@ def q33_domain_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.violation_counts(trips(spark, sf_dir), trip_rules(), ["month"])
 
 
+# The rules of q33 as rows; one rule has an older version that no longer holds.
+RULE_ROWS = [
+    ("quantity_range", 1, "l_quantity", "range", 1.0, 50.0, None, None),
+    ("discount_range", 1, "l_discount", "range", 0.0, 0.05, None, None),
+    ("discount_range", 2, "l_discount", "range", 0.0, 0.1, None, None),
+    ("tax_range", 1, "l_tax", "range", 0.0, 0.08, None, None),
+    ("returnflag_domain", 1, "l_returnflag", "domain", None, None, None, list(RETURN_FLAGS)),
+    ("linestatus_domain", 1, "l_linestatus", "domain", None, None, None, list(LINE_STATUSES)),
+    ("order_present", 1, "o_orderkey", "present", None, None, None, None),
+    ("ship_after_order", 1, "l_shipdate", "not_before", None, None, "o_orderdate", None),
+    ("price_positive", 1, "l_extendedprice", "above", 0.0, None, None, None),
+    ("supplier_known", 3, "l_suppkey", "domain", None, None, None, None),
+]
+
+
+def q33_rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations per rule and month, from stored rules and a stored list of the suppliers in credit (C14)."""
+    path = scratch_path(spark, "q33-rules")
+    spark.createDataFrame(RULE_ROWS, ruletable.RULE_SCHEMA).write.parquet(f"{path}/rules")
+    (read_table(spark, sf_dir, "supplier").where("s_acctbal >= 0")
+     .select(F.lit("supplier_known").alias("name"), F.col("s_suppkey").cast("string").alias("code"))
+     .write.parquet(f"{path}/codes"))
+    rules = ruletable.load(spark.read.parquet(f"{path}/rules"), spark.read.parquet(f"{path}/codes"))
+    rows, checks = rules.applied(trips(spark, sf_dir))
+    return validate.violation_counts(rows, checks, ["month"])
+
+
 def q34_clean_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned(validated(spark, sf_dir))
 
@@ -165,6 +192,7 @@ QUERIES = {
     "q31_schema_drift": q31_schema_drift,
     "q32_dictionary_decode": q32_dictionary_decode,
     "q33_domain_violations": q33_domain_violations,
+    "q33_rule_table": q33_rule_table,
     "q34_clean_accepted": q34_clean_accepted,
     "q35_clean_rejected": q35_clean_rejected,
     "q36_orphans": q36_orphans,
@@ -267,3 +295,9 @@ WHERE month IN {SCANNED_MONTHS} GROUP BY month"""
 SQL["q39_cleaned_reader"] = f"""
 SELECT month, CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber
 FROM {ACCEPTED_SQL} WHERE month IN {SCANNED_MONTHS}"""
+
+SQL["q33_rule_table"] = f"""
+WITH t AS {TRIPS_SQL}
+{" UNION ALL ".join(f"SELECT month, '{n}@{2 if n == 'discount_range' else 1}' AS rule, count(*) FILTER (WHERE NOT coalesce({c}, false)) AS violations FROM t GROUP BY month" for n, c in RULES_SQL)}
+UNION ALL SELECT month, 'supplier_known@3', count(*) FILTER (WHERE l_suppkey IS NULL OR l_suppkey NOT IN
+  (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)) FROM t GROUP BY month"""

@@ -102,6 +102,28 @@ def q08_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.column_profile(joined)
 
 
+# The first months whose profiles q08_stored_profile stores later, and the error allowed for distinct counts.
+LATER_MONTHS, DISTINCT_ERROR = "1997-01", 0.06
+
+
+def q08_stored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile of lineitem from stored monthly sketches, the later months added without reading the earlier ones.
+
+    Distinct counts are estimates: the row says whether they are within the
+    sketch's error bound of the exact ones.
+    """
+    li = read_table(spark, sf_dir, "lineitem").withColumn("month", F.coalesce(month_of("l_shipdate"), F.lit("none")))
+    path = scratch_path(spark, "q08-profiles")
+    later = F.col("month") >= LATER_MONTHS
+    profile.store_profiles(li.where(~later), "month", path)
+    profile.store_profiles(li.where(later), "month", path)
+    merged = profile.merged_profile(profile.read_profiles(spark, path, "month"))
+    exact = profile.column_profile(li.drop("month")).select("column_name", "distinct_values")
+    near = F.abs(F.col("distinct") - F.col("distinct_values")) <= DISTINCT_ERROR * F.col("distinct_values")
+    return merged.join(exact, "column_name").select("column_name", "groups", "rows", "nulls", "blanks",
+                                                    near.alias("distinct_within_bound"))
+
+
 def q09_decode_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every table fully decoded through the noop sink, rows counted by ``observe``.
 
@@ -125,6 +147,7 @@ QUERIES = {
     "q06_schema_paths": q06_schema_paths,
     "q07_lookup_profile": q07_lookup_profile,
     "q08_null_profile": q08_null_profile,
+    "q08_stored_profile": q08_stored_profile,
     "q09_decode_tables": q09_decode_tables,
 }
 
@@ -202,3 +225,11 @@ WITH c AS (SELECT table_name || '.parquet' AS filename, column_name AS path, ord
 SELECT filename, path, CAST(position AS INTEGER) AS position,
        CASE WHEN data_type LIKE '%[]' THEN 'array' ELSE type END AS type FROM c
 UNION ALL SELECT filename, path || '.element', 0, type FROM c WHERE data_type LIKE '%[]'"""
+
+_LINE_COLUMNS = [(c, k == "str") for c, k in LINEITEM_COLS]
+SQL["q08_stored_profile"] = "WITH l AS (SELECT *, coalesce(strftime(l_shipdate, '%Y-%m'), 'none') AS month FROM lineitem)\n" + \
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT month) AS groups, count(*) AS rows, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+        + (f"count(*) FILTER (WHERE trim({c}) = '')" if text else "CAST(0 AS BIGINT)")
+        + " AS blanks, true AS distinct_within_bound FROM l" for c, text in _LINE_COLUMNS)

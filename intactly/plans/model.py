@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intactly.functions.rules import Rule
-from intactly.operators import model
+from intactly.operators import asof, model
 from intactly.session import scratch_path
 from intactly.sources.tables import read_table
 
@@ -60,7 +60,18 @@ def q63_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.score(path, data, input_checks(), ["l_orderkey", "l_linenumber"])
 
 
+def q64_asof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with the user's newest other event that is not later than it (L1)."""
+    events = read_table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    bought = events.where("event_type = 'purchase'").select("user_id", "event_id", "ts")
+    others = events.where("event_type <> 'purchase'").select(
+        "user_id", F.col("ts").alias("seen_at"), F.col("event_id").alias("seen_event"), F.col("value").alias("seen_value"))
+    return asof.as_of(bought, others, "user_id", "ts", "seen_at", ["seen_event", "seen_value"], tie=["seen_event"]).select(
+        "event_id", "seen_event", "seen_value")
+
+
 QUERIES = {
+    "q64_asof_features": q64_asof_features,
     "q60_mean_rmse": q60_mean_rmse,
     "q61_ols_rmse": q61_ols_rmse,
     "q62_model_rmse": q62_model_rmse,
@@ -102,3 +113,11 @@ SELECT CAST(sqrt((tsyy - 2.0 * intercept * tsy - 2.0 * slope * tsxy + tn * inter
        CAST(slope AS DECIMAL(18,6)) AS slope, CAST(intercept AS DECIMAL(18,6)) AS intercept,
        train_rows, test_rows FROM a""",
 }
+
+SQL["q64_asof_features"] = """
+SELECT event_id, seen_event, value AS seen_value FROM (
+  SELECT event_id, event_type,
+         last_value(CASE WHEN event_type <> 'purchase' THEN event_id END IGNORE NULLS) OVER (
+           PARTITION BY user_id ORDER BY ts, event_type = 'purchase', event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen_event FROM events) w
+LEFT JOIN (SELECT event_id AS seen_event, value FROM events) v USING (seen_event) WHERE event_type = 'purchase'"""
