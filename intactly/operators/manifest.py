@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from intactly.functions import rules
 from intactly.functions.schema import same_schema
+from intactly.operators.ordered import staged
 
 # Pair statuses in precedence order, and actions.
 PAIR_STATUSES = ("pending", "absent", "incomplete", "duplicate", "bad_metadata",
@@ -166,8 +167,9 @@ def month_selection(requests: DataFrame, available: DataFrame, text: str = "requ
                              .alias("pos", "month"))
              .withColumn("ordinal", (F.col("pos") + 1).cast("int")).drop("pos"))
     copies = F.count(F.lit(1)).over(Window.partitionBy(rid, "month"))
-    items = (items.withColumn("_copies", copies)
-             .join(available.select("month", "rows"), "month", "left"))
+    # Looked at twice below: the available months are counted once.
+    items = staged(items.withColumn("_copies", copies)
+                   .join(available.select("month", "rows"), "month", "left"), "months")
     item_rules = [
         rules.Rule("empty_month", F.col("month") != ""),
         rules.Rule("bad_format", rules.month_format(F.col("month"))),

@@ -14,12 +14,6 @@ from pyspark.sql import functions as F
 ALL = "ALL"
 
 
-def labelled(cols: Sequence[str]) -> list[Column]:
-    """Grouping columns of a rollup/cube with subtotal rows labelled 'ALL'."""
-    return [F.when(F.grouping(c) == 1, F.lit(ALL)).otherwise(F.col(c).cast("string")).alias(c)
-            for c in cols]
-
-
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """Top-k rows; planned as TakeOrderedAndProject (per-task top-k, then merge)."""
     return df.orderBy(*order).limit(k)

@@ -17,9 +17,9 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from intactly.functions import fingerprint as fp
 from intactly.functions import rules
@@ -73,7 +73,9 @@ def summary(result: DataFrame) -> DataFrame:
 def _read_target(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 

@@ -169,7 +169,7 @@ def _trip_months(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """Trips as two monthly deliveries (before and after the split date)."""
     t = trips(spark, sf_dir)
     split = F.col("l_shipdate") < F.lit(SPLIT_AT).cast("timestamp_ntz")
-    return t.where(split), t.where(~split)
+    return t.where(split), t.where(~F.coalesce(split, F.lit(False)))
 
 
 def q39_month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from intactly.operators import olap, warehouse
 from intactly.operators.ordered import staged
 from intactly.plans.ingest import revenue
 from intactly.session import scratch_path
-from intactly.sources.tables import read_table, trips
+from intactly.sources.tables import month_of, read_table, trips
 
 # Size of the top-k report.
 TOP_K = 5
@@ -23,21 +23,25 @@ def _geo(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
     return warehouse.geography(read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region"))
 
 
-def enriched_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips with customer and supplier geography (role-playing lookups, D6/D7)."""
+def enriched_trips(spark: SparkSession, sf_dir: str, roles: tuple[str, ...] = ("cust", "supp")) -> DataFrame:
+    """Trips with the geography of the wanted roles (role-playing lookups, D6/D7); other lookups are not joined."""
     geo, small = _geo(spark, sf_dir)
     hint = F.broadcast if small else (lambda d: d)
-    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    t = (trips(spark, sf_dir)
-         .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
-         .join(supp, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
-    cg, sg = warehouse.role(geo, "cust"), warehouse.role(geo, "supp")
-    t = (t.join(hint(cg), F.col("c_nationkey") == F.col("cust_n_nationkey"), "left")
-         .join(hint(sg), F.col("s_nationkey") == F.col("supp_n_nationkey"), "left"))
+    t = trips(spark, sf_dir) if "cust" in roles else _lines(spark, sf_dir)
+    for name, table, fact_key in (("cust", "customer", "o_custkey"), ("supp", "supplier", "l_suppkey")):
+        if name in roles:
+            c = name[0]
+            member = read_table(spark, sf_dir, table).select(f"{c}_{name}key", f"{c}_nationkey")
+            t = (t.join(member, F.col(fact_key) == F.col(f"{c}_{name}key"), "left")
+                 .join(hint(warehouse.role(geo, name)), F.col(f"{c}_nationkey") == F.col(f"{name}_n_nationkey"), "left"))
     return t.withColumn("revenue", revenue())
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips without their orders: an order's key is unique, so it neither adds nor drops a line."""
+    return read_table(spark, sf_dir, "lineitem").withColumn("month", month_of("l_shipdate"))
+
+
 def q40_zone_roleplay(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = enriched_trips(spark, sf_dir)
     return (t.groupBy(F.col("cust_n_name").alias("cust_nation"), F.col("supp_n_name").alias("supp_nation"))
@@ -86,7 +90,7 @@ def q43_stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q44_month_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = trips(spark, sf_dir).withColumn("revenue", revenue())
+    t = _lines(spark, sf_dir).withColumn("revenue", revenue())
     return (t.rollup("month")
             .agg(F.count(F.lit(1)).alias("rows"), F.sum("revenue").cast("decimal(38,4)").alias("revenue"),
                  F.grouping("month").alias("is_total"))
@@ -99,7 +103,7 @@ def _cube_measures():
 
 
 def q45_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = enriched_trips(spark, sf_dir).withColumnRenamed("cust_r_name", "region")
+    t = enriched_trips(spark, sf_dir, ("cust",)).withColumnRenamed("cust_r_name", "region")
     return t.cube("region", "l_returnflag").agg(*_cube_measures(), *[
         F.grouping(c).alias(f"g_{c}") for c in ("region", "l_returnflag")]).select(
         *[F.when(F.col(f"g_{c}") == 1, F.lit(olap.ALL)).otherwise(F.col(c)).alias(c)
@@ -107,7 +111,7 @@ def q45_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q46_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = enriched_trips(spark, sf_dir).withColumnRenamed("cust_r_name", "region")
+    t = enriched_trips(spark, sf_dir, ("cust",)).withColumnRenamed("cust_r_name", "region")
     dims = ("region", "l_linestatus", "l_returnflag")
     sets = [[F.col("region"), F.col("l_linestatus")], [F.col("l_returnflag")], []]
     out = t.groupingSets(sets, *dims).agg(*_cube_measures(), *[F.grouping(c).alias(f"g_{c}") for c in dims])
@@ -116,21 +120,26 @@ def q46_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q47_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = enriched_trips(spark, sf_dir)
-    per = t.groupBy(F.col("supp_n_name").alias("nation")).agg(
-        F.sum("revenue").cast("decimal(38,4)").alias("revenue"))
+    # Summed by supplier first: suppliers meet their nations with one row each.
+    by_supplier = _lines(spark, sf_dir).groupBy("l_suppkey").agg(F.sum(revenue()).cast("decimal(38,4)").alias("r"))
+    suppliers = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    nations = read_table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
+    per = (by_supplier.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+           .join(warehouse.checked_broadcast(nations, warehouse.NATION_BOUND),
+                 F.col("s_nationkey") == F.col("n_nationkey"), "left")
+           .groupBy("nation").agg(F.sum("r").cast("decimal(38,4)").alias("revenue")))
     return olap.top_k(per, [F.col("revenue").desc(), F.col("nation").asc()], TOP_K)
 
 
 def q48_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = enriched_trips(spark, sf_dir)
+    t = enriched_trips(spark, sf_dir, ("cust",))
     per = t.groupBy("month", F.col("cust_n_name").alias("nation")).agg(
         F.sum("revenue").cast("decimal(38,4)").alias("revenue"))
     return olap.rank_within(per, "month", [F.col("revenue").desc()])
 
 
 def q49_share_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = enriched_trips(spark, sf_dir)
+    t = enriched_trips(spark, sf_dir, ("cust",))
     per = t.groupBy("month", F.col("cust_r_name").alias("region")).agg(
         F.sum("revenue").cast("decimal(38,4)").alias("revenue"))
     return olap.share_trend(per, "month", "region", "revenue", 4)

@@ -29,6 +29,12 @@ SUMMARY_SCHEMA = "path string, row_groups long, footer_rows long, parquet_schema
 LIST_SCHEMA = "path string, length long, modificationTime timestamp, filename string, error string"
 
 
+def _arrow_uri(uri: str) -> str:
+    """Hadoop's names of the S3 scheme are one scheme for the file work on executors."""
+    scheme, sep, rest = uri.partition("://")
+    return f"s3://{rest}" if sep and scheme in ("s3a", "s3n") else uri
+
+
 def _list_partition(batches: Iterator[pd.DataFrame], glob: str, recursive: bool) -> Iterator[pd.DataFrame]:
     import fnmatch
     from pyarrow import fs
@@ -36,7 +42,7 @@ def _list_partition(batches: Iterator[pd.DataFrame], glob: str, recursive: bool)
         out = []
         for root in pdf["root"]:
             try:
-                filesystem, base = fs.FileSystem.from_uri(root)
+                filesystem, base = fs.FileSystem.from_uri(_arrow_uri(root))
                 if isinstance(filesystem, fs.LocalFileSystem):
                     prefix = "file://"
                 else:  # keep the scheme and authority of the root URI
@@ -101,7 +107,7 @@ def _open(path: str):
     from pyarrow import fs
     if path.startswith("file:///"):
         return fs.LocalFileSystem(), path[len("file://"):]
-    return fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri(_arrow_uri(path))
 
 
 def _digest_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -3,7 +3,7 @@
 The file source remembers which files it has delivered in its checkpoint,
 so ``trigger(availableNow=True)`` processes only files that arrived since
 the last run; a run with nothing new delivers no batch. Each micro-batch is
-validated once (persisted), then written to both branches by epoch id, so a
+validated once (staged), then written to both branches by epoch id, so a
 replayed epoch overwrites its own output instead of duplicating it.
 """
 
@@ -12,12 +12,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from intactly.functions.rules import Rule
 from intactly.operators import validate, zone
+from intactly.operators.ordered import staged
 
 
 #: Files in one micro-batch, at most, unless the caller asks for another number; all files are read either way.
@@ -33,12 +33,9 @@ def ingest_available(spark: SparkSession, landing: str, schema: StructType, chec
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         # The stream's own id: a new checkpoint counts epochs from 0 again.
         stream = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
-        valid = validate.with_reasons(prepare(batch), checks).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            zone.write_epoch(spark, validate.accepted(valid), zone_root, epoch_id, stream=stream)
-            zone.write_epoch(spark, validate.rejected(valid), rejects_root, epoch_id, stream=stream)
-        finally:
-            valid.unpersist()
+        valid = staged(validate.with_reasons(prepare(batch), checks), "validated")
+        zone.write_epoch(spark, validate.accepted(valid), zone_root, epoch_id, stream=stream)
+        zone.write_epoch(spark, validate.rejected(valid), rejects_root, epoch_id, stream=stream)
         seen.append(epoch_id)
 
     query = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
