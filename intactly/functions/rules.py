@@ -146,6 +146,11 @@ def storage_retryable(chain: Column) -> Column:
             .otherwise(F.coalesce(outermost["kind"].isin("io", "timeout", "client"), F.lit(False))))
 
 
+def error_text(message: Column, kind: Column) -> Column:
+    """The message of an error, or its class where it has none."""
+    return F.coalesce(F.nullif(message, F.lit("")), kind)
+
+
 def backoff_millis(attempt: Column, base_millis: int = 1000, cap_millis: int = 30000) -> Column:
     """Wait before attempt ``attempt`` (1-based): min(cap, base × (attempt − 1))."""
     return F.when(attempt <= 1, F.lit(0).cast("bigint")).otherwise(

@@ -160,6 +160,24 @@ def q19_attempt_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audited.select("user_id", "event_id", "outcome", "attempt_no", "wait_ms", "stop_reason")
 
 
+# Outer and inner causes of the storage errors of q19_storage_retry, and the statuses of service errors.
+OUTER, INNER, SERVICE_STATUS = ("io", "timeout", "client", "service", "conflict", "other"), ("", "service", "access_denied", "io"), \
+    (429, 500, 403, 404, 503)
+
+
+def q19_storage_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read as storage errors with a cause chain: whether to try again, and the text to report."""
+    k = _k()
+    pick = lambda values, at: F.element_at(F.array(*[F.lit(v) for v in values]), (at + 1).cast("int"))
+    outer, inner = pick(OUTER, F.pmod(k, F.lit(6))), pick(INNER, F.pmod(F.floor(k / 6), F.lit(4)))
+    status = pick(SERVICE_STATUS, F.pmod(k, F.lit(5)))
+    cause = lambda kind: F.struct(kind.alias("kind"), F.when(kind == "service", status).alias("status"))
+    chain = F.filter(F.array(cause(outer), cause(inner)), lambda e: e["kind"] != "")
+    message = F.when(F.pmod(k, F.lit(3)) == 1, F.lit("")).when(F.pmod(k, F.lit(3)) == 2, F.concat(F.lit("failed "), k))
+    return read_table(spark, sf_dir, "events").select(
+        "event_id", rules.storage_retryable(chain).alias("retry"), rules.error_text(message, outer).alias("text"))
+
+
 def q20_response_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     k = _k()
@@ -268,6 +286,7 @@ QUERIES = {
     "q17_latest_version": q17_latest_version,
     "q18_version_intervals": q18_version_intervals,
     "q19_attempt_audit": q19_attempt_audit,
+    "q19_storage_retry": q19_storage_retry,
     "q20_response_acceptance": q20_response_acceptance,
     "q21_storage_keys": q21_storage_keys,
     "q22_name_url_rules": q22_name_url_rules,
@@ -486,3 +505,16 @@ SELECT o_orderkey, 'removed' AS change FROM orders WHERE o_orderkey % {REMOVED[0
 UNION ALL SELECT o_orderkey, 'changed' FROM orders
   WHERE o_orderkey % {CHANGED[0]} = {CHANGED[1]} AND o_orderkey % {REMOVED[0]} <> {REMOVED[1]}
 UNION ALL SELECT o_orderkey + {NEW_KEYS}, 'added' FROM orders WHERE o_orderkey % {ADDED[0]} = {ADDED[1]}"""
+
+_PICK = lambda values, at: f"list_extract({list(values)}, {at} + 1)"
+SQL["q19_storage_retry"] = f"""
+WITH e AS (SELECT event_id, {_K} AS k FROM events),
+c AS (SELECT *, {_PICK(OUTER, 'k % 6')} AS outer_kind, {_PICK(INNER, '(k // 6) % 4')} AS inner_kind,
+             {_PICK(SERVICE_STATUS, 'k % 5')} AS status FROM e),
+s AS (SELECT *, outer_kind = 'service' OR inner_kind = 'service' AS serviced FROM c)
+SELECT event_id,
+       CASE WHEN inner_kind = 'access_denied' OR (serviced AND status IN (401, 403)) OR outer_kind = 'conflict' THEN false
+            WHEN serviced THEN status = 429 OR status >= 500
+            ELSE outer_kind IN ('io', 'timeout', 'client') END AS retry,
+       CASE WHEN k % 3 = 2 THEN 'failed ' || k ELSE outer_kind END AS text
+FROM s"""
