@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 from fixtures_llm import documents, edge_rows, prose
@@ -70,3 +72,38 @@ def test_ids_grow_with_the_distinct_words():
     words = np.array([1, sides[6] ** 2 - 1])
     same = lmscore.Network.of(net.flat(), sides[6])
     assert np.array_equal(net.log_p(words, np.ones((4, 2), int)), same.log_p(words, np.ones((4, 2), int)))
+
+
+def plain_scores(model, corpus, texts):
+    """The sum over a text's words of log p(word | words on both sides), one word after the other."""
+    side = math.isqrt(len(model.by_id))
+    net, ids = lmscore.Network.of(model.flat, side), lmscore.Ids(model.frequent, side)
+    count = Counter(w for t in corpus for w in lmscore.words_of(t))
+    soft = lambda z: z - z.max() - math.log(np.exp(z - z.max()).sum())
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    out = []
+    for text in texts:
+        words, total = lmscore.words_of(text), 0.0
+        own = [int(i) for i in ids(text)]
+        for i, word in enumerate(words):
+            around = [own[j] if 0 <= j < len(own) else 0 for j in (i - 2, i - 1, i + 1, i + 2)]
+            h = np.tanh(p["hidden"] + sum(p["embed"][k][w] for k, w in enumerate(around)))
+            kind, member = divmod(own[i], side)
+            total += soft(h @ p["to_class"] + p["class_bias"])[kind]
+            total += soft(h @ p["to_member"][kind] + p["member_bias"][kind])[member]
+            if own[i] >= ids.first:  # the word's share of the id it shares
+                total += math.log(max(1, count[word])) - math.log(model.by_id[own[i]] + 1)
+        out.append((len(words), total))
+    return out
+
+
+def test_scores_are_those_of_the_plain_pseudo_likelihood(spark):
+    rng = random.Random(31)
+    common = [prose(rng, 400) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(common)] + edge_rows(rng)[:5] + [(50, "zzxq zzxq yyxq é 中")]
+    df = documents(spark, rows)
+    held = [(1, common[3][:300]), (2, "zzxq yyxq neverseen-q"), (3, None), (4, "one"), (5, prose(rng, 80).upper())]
+    model = lmscore.train(df)
+    got = {r.doc_id: r for r in lmscore.scores(documents(spark, held), model).collect()}
+    for (i, _), (n, total) in zip(held, plain_scores(model, [t for _, t in rows], [t for _, t in held]), strict=True):
+        assert got[i].n_words == n and abs(got[i].log_prob - total) < 1e-3 * max(1, n)

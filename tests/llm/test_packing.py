@@ -79,3 +79,28 @@ def test_pack(spark, group):
             at += length
         assert at <= 2048
     assert packing.pack(documents(spark, rows).limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_placement_makes_the_sum_of_squares_least(seed):
+    rng = random.Random(seed)
+    capacity = 24
+    packer = packing.SumOfSquares(capacity)
+    where: dict[int, int] = {}  # the gap of every open sequence, by its number
+    for _ in range(400):
+        size = rng.choice([1, 2, 3, 5, 8, 13, 24, rng.randint(1, capacity)])
+        count = defaultdict(int)
+        for gap in where.values():
+            count[gap] += 1
+        options = []
+        for gap in sorted(g for g in count if g >= size):
+            after = dict(count)
+            after[gap] -= 1
+            if gap > size:
+                after[gap - size] = after.get(gap - size, 0) + 1
+            options.append((sum(n * n for n in after.values()), gap))
+        bin_id, offset = packer.place(size)
+        gap = where.pop(bin_id, capacity)
+        assert gap == (min(options)[1] if options else capacity) and offset == capacity - gap
+        if gap > size:
+            where[bin_id] = gap - size
