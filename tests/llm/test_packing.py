@@ -26,6 +26,21 @@ def test_ids_are_the_librarys(text):
     assert np.frombuffer(packing.token_ids(PATH)(text), "<u4").tolist() == ids_of(text)[:-1]
 
 
+@pytest.mark.parametrize("text", [
+    "a <|endoftext|> b<|endoftext|>", " " * 120_000 + "x", "ab" * 60_000, "don't  \t\r\n  can't'll ", "x" * 99_999 + "\n\n y",
+    "".join(map(chr, range(1, 0xD800))), " ".join(map(chr, range(0xE000, 0x20000, 3)))])
+def test_ids_of_special_strings_long_runs_and_all_scripts(text):
+    assert packing.token_ids(PATH).fast
+    assert np.frombuffer(packing.token_ids(PATH)(text), "<u4").tolist() == ids_of(text)[:-1]
+
+
+def test_vocabularies_without_byte_ranks_use_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.token_ids(path).fast is None
+    want = Tokenizer.from_file(path).encode("Some words, and more", add_special_tokens=False).ids
+    assert np.frombuffer(packing.token_ids(path)("Some words, and more"), "<u4").tolist() == want
+
+
 def test_cut():
     assert packing.cut(5, 5) == [(0, 5)]
     assert packing.cut(12, 5) == [(0, 2), (2, 5), (7, 5)]
