@@ -3,7 +3,9 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from fixtures_llm import documents, edge_rows, prose
+from pyspark.sql import functions as F
 
 from intactly.llm import lmscore
 
@@ -31,6 +33,38 @@ def test_probabilities_sum_to_one():
     assert abs(np.exp(net.log_p(np.arange(lmscore.VOCABULARY), around)).sum() - 1) < 1e-3
 
 
+@pytest.mark.parametrize("run_bytes", [8, 64, lmscore.RUN_BYTES])
+def test_words_are_spelled_alike_wherever_they_stand(run_bytes):
+    rng = random.Random(4)
+    texts = [t for _, t in edge_rows(rng)][:8] + ["A b\x0bc\x0cD\r\n e", "é中 ab\u0000 ab\u00a0ab", "", " x ", None]
+    n, names, tails = lmscore.Spelling(run_bytes)(texts)
+    words = [w for t in texts for w in lmscore.words_of(t)]
+    assert n.tolist() == [len(lmscore.words_of(t)) for t in texts] and len(words) == len(names) == len(tails)
+    of = dict(zip(words, names.tolist(), strict=True))
+    assert [of[w] for w in words] == names.tolist() and len(set(of.values())) == len(of)
+    assert tails.tolist() == [int.from_bytes(w[-3:], "big") for w in words]
+    n, names, _ = lmscore.Spelling(run_bytes)([])
+    assert len(n) == len(names) == 0
+
+
+def test_endings_are_the_same_in_spark_and_numpy(spark):
+    tails = np.random.default_rng(3).integers(0, 2 ** 24, 500)
+    df = spark.createDataFrame([(int(t),) for t in tails], "tail long")
+    for side in (32, 40, 90):
+        got = {r.tail: r.e for r in df.select("tail", lmscore.ending_of(F.col("tail"), side).alias("e")).collect()}
+        want = lmscore.ending_of(tails, side)
+        assert [got[int(t)] for t in tails] == want.tolist()
+        assert 0 <= want.min() and want.max() < lmscore.endings_of(side)[0]
+
+
+def test_added_rows_are_the_sums(spark):
+    rows = [(i, bytearray(np.array([i, 2.0 * i]).tobytes())) for i in range(1, 40)]
+    df = spark.createDataFrame(rows, "read long, flat binary").repartition(5)
+    got = lmscore.added(df).collect()
+    assert len(got) == 1 and got[0].read == 780 and np.frombuffer(got[0].flat).tolist() == [780.0, 1560.0]
+    assert lmscore.added(df.limit(0)).collect() == []
+
+
 def test_windows_stay_in_their_text():
     words, around = lmscore.windows([np.array([1, 2, 3]), np.array([], int), np.array([4])])
     assert words.tolist() == [1, 2, 3, 4]
