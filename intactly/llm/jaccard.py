@@ -246,8 +246,8 @@ _EDGE = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
 
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[int, str, np.ndarray]]]:
-    """(node, role, set) lists of one block after the other, from rows in order of block, role and node; each node once,
-    as 'left' if it is both."""
+    """(node, role, set) lists of one block after the other, from rows in order of block, role (last first) and node; each
+    node once, as 'right' if it is both: two left sets of one group may lie in different parts, and one must walk."""
     now, found, seen = None, [], set()
     for batch in batches:
         for block, node, role, raw in zip(*(batch.column(c).to_pylist() for c in ("block", "node", "role", "set")),
@@ -284,13 +284,14 @@ def _links(rows: DataFrame, share: int) -> DataFrame:
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (rows.select("block", "node", "role", "set").repartition(n, "block")
-               .sortWithinPartitions("block", "role", "node"))
+               .sortWithinPartitions("block", F.desc("role"), "node"))
     return ordered.mapInArrow(run, _EDGE)
 
 
-def candidates(every: DataFrame) -> DataFrame:
-    """node and label of the nodes that signatures connect with others."""
-    signs = (every.where("n_shingles > 1").groupBy("node").agg(F.first("signs").alias("signs"))
+def candidates(every: DataFrame, share: int = SHARE) -> DataFrame:
+    """node and label of the nodes that signatures connect with others. A set of one shingle is linked with other sets
+    only at a similarity of a half or less."""
+    signs = (every.where(F.col("n_shingles") > (1 if 2 * share > PART else 0)).groupBy("node").agg(F.first("signs").alias("signs"))
              .select("node", F.explode("signs").alias("sign")))
     first = (signs.groupBy("sign").agg(F.min("node").alias("b"), F.max("node").alias("last"))
              .where("b <> last").select("sign", "b"))
@@ -320,7 +321,7 @@ def links(docs: DataFrame, every: DataFrame, block_elements: int = BLOCK_ELEMENT
           share: int = SHARE) -> DataFrame:
     """Edges (nodes a and b) that connect exactly what links connect."""
     nodes = every.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-    near = staged(candidates(every).join(nodes, "node"), "candidates")
+    near = staged(candidates(every, share).join(nodes, "node"), "candidates")
     sizes = near.groupBy("label").agg(F.sum("n").alias("elements"))
     parts = sizes.select("label", F.ceil(F.col("elements") / block_elements).cast("int").alias("parts"))
     large = staged(parts.where("parts > 1"), "large")

@@ -158,3 +158,28 @@ def test_other_texts_under_a_repeated_id_stay(spark):
     assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == sorted(map(str, [
         (1, x), (2, other), (2, other), (3, third), (None, x), (5, None), (5, "")]))
     assert kept.columns == documents(spark, rows).columns
+
+
+def test_links_between_sets_outside_the_main_component_of_a_large_block(spark):
+    # One block by shared ranges: a main component, and pairs linked only with each other, which lie in different parts.
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(60):
+        rows.append((i, " ".join([*base[:399], f"m{i}"])))
+    for i in range(30):
+        cut = [*base[:300], *[f"p{i}x{k}" for k in range(100)]]  # about 0.6 with the base
+        rows += [(1000 + 2 * i + k, " ".join([*cut[:399], f"q{i}x{k}"])) for k in (0, 1)]
+    rng.shuffle(rows)
+    docs = documents(spark, rows)
+    every = jaccard.staged(jaccard.sets(docs), "sets")
+    assert len({r.label for r in jaccard.candidates(every).collect()}) == 1
+    got = jaccard.jaccard_components(docs, 8000).collect()  # six parts; one group would hold fewer
+    assert sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got) == brute(rows)
+
+
+def test_a_set_of_one_shingle_at_a_half(spark):
+    docs = documents(spark, [(1, "a b c"), (2, "a b c d"), (3, "x y z")])
+    of = lambda share: {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs, share=share).collect()}
+    assert of(50) == {1: 1, 2: 1, 3: 3}
+    assert of(51) == {1: 1, 2: 2, 3: 3}
