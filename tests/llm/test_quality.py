@@ -1,6 +1,7 @@
 import math
 import random
 from collections import Counter, defaultdict
+from zlib import crc32
 
 import numpy as np
 from fixtures_llm import documents, edge_rows, prose
@@ -102,3 +103,39 @@ def test_perplexities_are_those_of_a_plain_model(spark):
     for text, found in zip(held, got, strict=True):
         want = plain(text or "")
         assert found is None if want is None else abs(found - want) < 1e-9 * want
+
+
+def test_every_trusted_document_counts_and_rare_keys_are_joined(spark):
+    rng = random.Random(31)
+    trusted = [prose(rng, rng.randint(5, 30)) for _ in range(60)]
+    texts = [*trusted, *trusted[:3], prose(rng, 40), "zzzz qqq", "中é", "a", "", None, trusted[0] + "!"]
+    rows = list(enumerate(texts)) + [(3, texts[3]), (None, "the")]
+    df = documents(spark, rows)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(63)] + [(63, 0, 0), (None, 1, 0), (64, None, 0)], LABELS)
+    plain = plain_model({texts[i] for i in range(63) if crc32(str(i).encode()) % 4 != 2})  # copies count once
+    tables = quality.train(df, labels)
+    want = sorted(str((i, None if not t else round(plain(t), 9))) for i, t in rows)
+    for most in (quality.HELD, 100, 0):
+        got = quality.perplexities(df, tables, most=most).collect()
+        assert sorted(str((r.doc_id, r.perplexity if r.perplexity is None else round(r.perplexity, 9))) for r in got) == want
+        assert all(r.n_units == len((texts[r.doc_id] or "").encode("utf-16-le")) // 2 for r in got if r.doc_id is not None)
+        held = sum(len(k) for k, _ in quality.Model.frequent(tables, most).shards)
+        assert held <= most and (most < quality.HELD or held == tables[-1][0].count())
+
+
+def test_good_keeps_what_is_judged_to_be_kept(spark):
+    rng = random.Random(32)
+    rows = [(i, prose(rng, 30)) for i in range(80)] + [(100 + i, "#$%" * (20 + i)) for i in range(4)]
+    df = documents(spark, rows + [(100, rows[0][1]), (None, "#$%" * 20), (1, None)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(70)], LABELS)
+    scored = quality.perplexities(df, quality.train(df, labels))
+    want = sorted(str(r.doc_id) for r in quality.judged(scored, quality.thresholds(scored, labels)).collect() if r.keep)
+    assert sorted(str(r.doc_id) for r in quality.good(df, labels).collect()) == want
+
+
+def test_more_trusted_documents_than_the_old_sample(spark):
+    rows = [(i, f"{i:05d}") for i in range(6000)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(6000)], LABELS)
+    tables = quality.train(documents(spark, rows + rows[:50]), labels)
+    units = sum(5 for i, _ in rows if crc32(str(i).encode()) % 4 != 2)
+    assert units > 5 * 4000 and tables[-1][0].groupBy().sum("n").first()[0] == units
