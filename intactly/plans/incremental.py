@@ -16,6 +16,7 @@ from intactly.session import scratch_path
 from intactly.sources.tables import month_of, read_table
 from intactly.streaming import incremental, pairing
 from intactly.operators import zone
+from intactly.operators.ordered import staged
 
 
 def line_rules() -> list[Rule]:
@@ -64,7 +65,8 @@ def q71_stream_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     are hours late, and documents without one, stay alone. Equal texts under
     several names are ingested once.
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+    # Texts are read and hashed once; every landing below takes its rows from the digests.
+    docs = staged(read_table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256")), "digests")
     labels = read_table(spark, sf_dir, "labels").select("doc_id").distinct().join(docs, "doc_id", "left")
     key = F.format_string("%09d", "doc_id").alias("key")
     at = F.lit(START).cast("timestamp") + F.make_dt_interval(secs=F.pmod("doc_id", F.lit(600)))
