@@ -2,13 +2,17 @@
 
 A copy is stored in folders of key ranges (``2**leaf_bits`` keys each, cut at
 the same keys in every copy) with a tree beside it: one row per range with
-its row count and fingerprint, and above it one row per ``2**fan_bits``
-ranges, up to the top. Fingerprints are sums, so a node's is added up from
-its children's and the data is read once.
+its row count, fingerprint and folder, and above it one row per
+``2**fan_bits`` ranges, up to the top. Fingerprints are sums, so a node's is
+added up from its children's and the data is read once.
+
+Up to ``FOLDERS`` ranges have a folder each. Of more, neighbours share one,
+sorted by range in its files, so that the number of files to write, list and
+open does not grow with the number of ranges.
 
 Two copies are compared from the top: only children of nodes that differ are
-looked at on the next level, and only ranges that differ at the bottom are
-read at all. Ranges are folders, so the others' files are never opened.
+looked at on the next level, and only folders with ranges that differ at the
+bottom are read at all; the others' files are never opened.
 """
 
 from __future__ import annotations
@@ -22,9 +26,12 @@ from pyspark.sql import types as T
 from intactly.functions import fingerprint as fp
 from intactly.operators.ordered import staged
 
-RANGE, LEVEL, NODE = "_range", "level", "node"
+#: A folder is named by RANGE, the lowest range it may hold; its rows have their own range in LEAF.
+RANGE, LEAF, FOLDER, LEVEL, NODE = "_range", "_leaf", "folder", "level", "node"
 #: Keys of one range, and ranges under one node, as powers of two.
 LEAF_BITS, FAN_BITS = 16, 4
+#: Folders of one copy at most.
+FOLDERS = 256
 #: Ranges whose numbers are written into the scan's filter; more are joined.
 LISTED_RANGES = 10_000
 #: The range of rows without a key.
@@ -39,14 +46,17 @@ def range_of(key: Column, leaf_bits: int = LEAF_BITS) -> Column:
 def write_copy(df: DataFrame, key: str, root: str, leaf_bits: int = LEAF_BITS, fan_bits: int = FAN_BITS) -> None:
     """Writes ``df`` by key ranges under ``root/data`` and its tree under ``root/tree`` (both must not exist yet).
 
-    The tree is made from what was written, read back. A range with very many
+    The tree is made from what was written, read back. A folder with very many
     rows is split over several files.
     """
     spark = df.sparkSession
-    (df.withColumn(RANGE, range_of(F.col(key), leaf_bits)).hint("rebalance", RANGE)
+    leaf = range_of(F.col(key), leaf_bits)
+    bits = _folder_bits(df.select(leaf.alias(LEAF)))
+    (df.withColumn(LEAF, leaf).withColumn(RANGE, _folder(F.col(LEAF), bits)).hint("rebalance", RANGE)
+     .sortWithinPartitions(RANGE, LEAF)
      .write.mode("errorifexists").partitionBy(RANGE).parquet(f"{root}/data"))
     data = stored(spark, root, df)
-    level = data.groupBy(F.col(RANGE).alias(NODE)).agg(*fp.fingerprint_aggs(df))
+    level = data.groupBy(F.col(LEAF).alias(NODE)).agg(*fp.fingerprint_aggs(df), F.min(RANGE).alias(FOLDER))
     number = 0
     while True:
         level.write.mode("errorifexists").parquet(f"{root}/tree/{LEVEL}={number}")
@@ -54,23 +64,42 @@ def write_copy(df: DataFrame, key: str, root: str, leaf_bits: int = LEAF_BITS, f
         if below.count() <= 1 << fan_bits:
             return
         level = below.groupBy(_above(fan_bits).alias(NODE)).agg(
-            F.sum("rows").alias("rows"), fp.added(F.col("fingerprint")).alias("fingerprint"))
+            F.sum("rows").alias("rows"), fp.added(F.col("fingerprint")).alias("fingerprint"),
+            F.lit(None).cast("bigint").alias(FOLDER))
         number += 1
 
 
+def _folder(leaf: Column, bits: int) -> Column:
+    return F.shiftleft(F.shiftright(leaf, bits), bits)
+
+
+def _folder_bits(leaves: DataFrame) -> int:
+    """Smallest power of two of ranges to a folder that makes ``FOLDERS`` folders at most.
+
+    A bit more halves the number of folders at best, so no smaller power than the next one tried would do.
+    """
+    ranges = staged(leaves.distinct(), "ranges")
+    bits, folders = 0, ranges.count()
+    while folders > FOLDERS:
+        bits += (-(-folders // FOLDERS) - 1).bit_length()
+        folders = ranges.select(_folder(F.col(LEAF), bits)).distinct().count()
+    return bits
+
+
 def _above(fan_bits: int) -> Column:
     return F.when(F.col(NODE) == NO_KEY, F.lit(NO_KEY)).otherwise(F.shiftright(NODE, fan_bits))
 
 
 def stored(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
-    """The rows of a copy with their range, in the columns of ``like``."""
-    schema = like.drop(RANGE).schema.add(RANGE, T.LongType())
+    """The rows of a copy with their range and folder, in the columns of ``like``."""
+    schema = like.drop(LEAF, RANGE).schema.add(LEAF, T.LongType()).add(RANGE, T.LongType())
     return spark.read.schema(schema).parquet(f"{root}/data")
 
 
 def tree(spark: SparkSession, root: str) -> DataFrame:
-    """level, node, rows and fingerprint of every node."""
-    return spark.read.schema(f"{NODE} bigint, rows bigint, fingerprint string, {LEVEL} int").parquet(f"{root}/tree")
+    """level, node, rows, fingerprint and (on level 0) folder of every node."""
+    return (spark.read.schema(f"{NODE} bigint, rows bigint, fingerprint string, {FOLDER} bigint, {LEVEL} int")
+            .parquet(f"{root}/tree"))
 
 
 def differing_ranges(spark: SparkSession, a: str, b: str, fan_bits: int = FAN_BITS) -> DataFrame:
@@ -92,12 +121,19 @@ def differing_ranges(spark: SparkSession, a: str, b: str, fan_bits: int = FAN_BI
     return suspects.select(F.col(NODE).alias(RANGE))
 
 
-def rows_in(data: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The rows of some ranges; other ranges' folders are pruned before any file is opened."""
+def rows_in(spark: SparkSession, root: str, like: DataFrame, ranges: DataFrame) -> DataFrame:
+    """A copy's rows of some ranges; folders without any of them are pruned before any file is opened."""
+    data = stored(spark, root, like)
+    bottom = tree(spark, root).where(F.col(LEVEL) == 0)
+    folders = [r[FOLDER] for r in bottom.join(ranges, F.col(NODE) == F.col(RANGE), "left_semi")
+               .select(FOLDER).distinct().collect()]
+    if not folders:
+        return data.where(F.lit(False))
+    data = data.where(F.col(RANGE).isin(folders))
     listed = [r[RANGE] for r in ranges.limit(LISTED_RANGES + 1).collect()]
     if len(listed) <= LISTED_RANGES:
-        return data.where(F.col(RANGE).isin(listed)) if listed else data.where(F.lit(False))
-    return data.join(ranges, RANGE, "left_semi")
+        return data.where(F.col(LEAF).isin(listed))
+    return data.join(ranges.select(F.col(RANGE).alias(LEAF)), LEAF, "left_semi")
 
 
 def changed_keys(like: DataFrame, key: str, a: str, b: str, columns: Sequence[str] | None = None,
@@ -112,7 +148,7 @@ def changed_keys(like: DataFrame, key: str, a: str, b: str, columns: Sequence[st
     names = list(columns or like.columns)
     sides = []
     for root, tag in ((a, "a"), (b, "b")):
-        rows = rows_in(stored(spark, root, like), ranges)
+        rows = rows_in(spark, root, like, ranges)
         aggs = F.struct(F.count(F.lit(1)).alias("rows"), fp.digest_sum(fp.canonical_row(like, names)).alias("sum"))
         sides.append(rows.groupBy(F.col(key).alias(f"_{tag}")).agg(aggs.alias(tag)))
     both = sides[0].join(sides[1], F.col("_a").eqNullSafe(F.col("_b")), "full_outer")

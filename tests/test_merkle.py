@@ -83,3 +83,37 @@ def test_keys_are_stable_when_members_are_inserted(spark, workdir):
     with redirect_stdout(io.StringIO()) as out:
         warehouse.assign_keys(df, ["a", "b"], path, "sk").explain()
     assert "Window" not in out.getvalue()
+
+
+def test_many_ranges_share_folders(spark, workdir, monkeypatch):
+    monkeypatch.setattr(merkle, "FOLDERS", 4)
+    # 130 ranges of 4 keys, far ones apart, a negative one and rows without a key.
+    keys = [*range(0, 500), -9, *(10 ** 9 + 10 ** 6 * i for i in range(5)), None, None]
+    before = [(k, f"v{k}") for k in keys]
+    after = [(k, v) for k, v in before if k not in (7, 10 ** 9)] + [(901, "new"), (None, "n")]
+    after = [(k, "other" if k == 250 else v) for k, v in after]
+    like, roots = _copies(spark, os.path.join(workdir, "1"), before, after, leaf_bits=2)
+    for root, rows in zip(roots, (before, after), strict=True):
+        folders = glob.glob(f"{root}/data/{merkle.RANGE}=*")
+        assert 2 <= len(folders) <= 4 and len(glob.glob(f"{root}/data/*/*.parquet")) <= 8
+        leaves = merkle.tree(spark, root).where("level = 0").collect()
+        assert sum(r.rows for r in leaves) == len(rows)
+        assert {r.node for r in leaves if r.node != merkle.NO_KEY} == {k >> 2 for k, _ in rows if k is not None}
+        assert {str(r.folder) for r in leaves} == {f.rsplit("=")[1] for f in folders}
+        stored = merkle.stored(spark, root, like).collect()
+        assert sorted((str(r.k), r.v) for r in stored) == sorted((str(k), v) for k, v in rows)
+    changes = [(False, None, "changed"), (True, 7, "removed"), (True, 250, "changed"), (True, 901, "added"),
+               (True, 10 ** 9, "removed")]
+    assert _changes(like, roots) == changes
+    # More differing ranges than are listed: the folders are pruned, the ranges joined.
+    monkeypatch.setattr(merkle, "LISTED_RANGES", 2)
+    assert _changes(like, roots) == changes
+    # A copy cut into other folders is compared as well, and folders without a difference are not opened.
+    monkeypatch.setattr(merkle, "FOLDERS", 1000)
+    finer = os.path.join(workdir, "finer")
+    merkle.write_copy(spark.createDataFrame([(k, "x" if k == 3 else v) for k, v in before], "k long, v string"), "k", finer,
+                      leaf_bits=2)
+    for path in glob.glob(f"{finer}/data/{merkle.RANGE}=*/*.parquet"):
+        if f"{merkle.RANGE}=0/" not in path:
+            open(path, "wb").write(b"gone")
+    assert _changes(like, [roots[0], finer]) == [(True, 3, "changed")]
