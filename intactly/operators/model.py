@@ -21,6 +21,8 @@ from intactly.functions.rules import Rule
 # Deterministic split — key mod 10 below 8 trains (80 %).
 SPLIT_MOD = 10
 TRAIN_BELOW = 8
+# Rows that one task of boosted trees keeps in memory (about 300 bytes each).
+TRAIN_ROWS = 500_000
 
 
 def split(df: DataFrame, key: str) -> DataFrame:
@@ -80,8 +82,25 @@ def pipeline(numeric: Sequence[str], categorical: Sequence[str], label: str, kin
     return Pipeline(stages=[*idx, ohe, vec, reg])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in partitions of about ``TRAIN_ROWS`` rows at most, dealt out anew if one of its own holds more than that."""
+    rows = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return df.repartition(-(-sum(rows) // TRAIN_ROWS)) if max(rows, default=0) > TRAIN_ROWS else df
+
+
 def fit_save(pipe: Pipeline, train: DataFrame, path: str) -> PipelineModel:
-    model = pipe.fit(train)
+    """Fits all stages and saves the model.
+
+    Boosted trees keep their binned rows in memory, in the partitions they come
+    in, and read them in every round. Those would grow with the size of the
+    scan's splits, so they are dealt out first; no other stage keeps rows.
+    """
+    *stages, last = pipe.getStages()
+    if isinstance(last, GBTRegressor):
+        features = Pipeline(stages=stages).fit(train)
+        model = PipelineModel(stages=[*features.stages, last.fit(features.transform(spread(train)))])
+    else:
+        model = pipe.fit(train)
     model.write().overwrite().save(path)
     return model
 
